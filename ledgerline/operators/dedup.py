@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.operators.rules import valid
+from ledgerline.operators.rules import REASON, valid
 
 SALTS = 256
 _RECENCY = {"customers": "updated_at", "products": "updated_at", "stores": "opened_date", "sales": "sale_timestamp"}
@@ -47,8 +47,13 @@ def superseded(df: DataFrame, key: str, order: list[Column], salts: int = SALTS)
 
 
 def latest_valid(assessed: DataFrame, entity: str) -> DataFrame:
-    """Validate, then keep the latest: an older valid row survives an invalid newer one (initial load)."""
-    return latest(valid(assessed), schemas.KEYS[entity], recency(entity))
+    """Validate, then keep the latest: an older valid row survives an invalid newer one (initial load).
+
+    Valid rows sort before invalid ones, so the first row of a key is its latest valid row if it has one. Filtering
+    before the window would say the same, but the filter would be pushed below the parsing and repeat it per rule.
+    """
+    order = [F.col(REASON).isNotNull(), *recency(entity)]
+    return valid(latest(assessed, schemas.KEYS[entity], order))
 
 
 def valid_latest(assessed: DataFrame, entity: str, by_timestamp: bool = True) -> DataFrame:

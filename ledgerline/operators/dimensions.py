@@ -33,9 +33,10 @@ def _ts(text: str) -> Column:
 
 def _shape(df: DataFrame, schema) -> DataFrame:
     """Columns of ``schema`` in its order, absent ones as NULL."""
-    return df.select(
+    present = set(df.columns)
+    return df.selectExpr(
         *(
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema.fields
         )
     )

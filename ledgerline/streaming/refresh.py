@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.operators.fact import daily_sales_summary
 from ledgerline.operators.merge import upsert
 from ledgerline.streaming.feeds import _one_writer
-from ledgerline.streaming.tables import COMMIT_SCHEMA, DAY, Commit, Tables
+from ledgerline.streaming.tables import COMMIT_SCHEMA, MONTH, Commit, Tables
 
 FEED = "daily_summary"
 FACT, SUMMARY = "gold/fact_sales", "gold/daily_sales_summary"
@@ -20,8 +20,8 @@ FACT, SUMMARY = "gold/fact_sales", "gold/daily_sales_summary"
 def refresh_daily_summary(tables: Tables, now: datetime | None = None) -> Commit | None:
     """Bring the summary up to the latest fact commit; None if it is there already.
 
-    A distinct count cannot be added up, so an affected day is read as a whole; the day is the fact's partition, so
-    nothing else is read. The summary has one row per day and is replaced as a snapshot.
+    A distinct count cannot be added up, so an affected day is computed as a whole; month folders and the time range of
+    the new facts keep other days from being read. The summary has one row per day and is replaced as a snapshot.
     """
     state = tables.snapshot()
     covered = max((int(c.feed_batch) for c in state.commits if c.feed == FEED), default=0)
@@ -31,10 +31,17 @@ def refresh_daily_summary(tables: Tables, now: datetime | None = None) -> Commit
     tx = tables.begin(FEED, str(fresh[-1]))
     if tx is None:
         return None
-    # One value per calendar day: the partition values of the new parts, not their rows.
-    days = [r[0] for r in tx.added(FACT, fresh).select(DAY).distinct().collect()]
-    affected = tx.stored(FACT).filter(F.col(DAY).isin(days))
-    tx.replace(SUMMARY, upsert(tx.read(SUMMARY), daily_sales_summary(affected), [DAY]).coalesce(1))
+    day = F.col("sale_timestamp").cast("date")
+    # One value per calendar day, however many sales a day has.
+    days = sorted(r[0] for r in tx.added(FACT, fresh).select(day).distinct().collect())
+    if days:
+        facts = tx.stored(FACT).filter(
+            F.col(MONTH).isin(sorted({d.year * 100 + d.month for d in days}))
+            & (F.col("sale_timestamp") >= F.lit(days[0]).cast("timestamp_ntz"))
+            & (F.col("sale_timestamp") < F.lit(days[-1] + timedelta(days=1)).cast("timestamp_ntz"))
+            & day.isin(days)
+        )
+        tx.replace(SUMMARY, upsert(tx.read(SUMMARY), daily_sales_summary(facts), ["sale_date"]).coalesce(1))
     return tx.commit(now)
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +40,14 @@ SCHEMAS = {
     "control/pipeline_monitoring": schemas.PIPELINE_MONITORING,
 }
 
-# The fact is laid out by day, so a day's refresh or report reads that day only.
-DAY = "sale_date"
-PARTITIONED_BY_DAY = ("gold/fact_sales",)
+# The fact is laid out by month and sorted by time within: few folders per commit, and a day is found by month folder
+# and Parquet statistics.
+MONTH = "sale_month"
+PARTITIONED_BY_MONTH = ("gold/fact_sales",)
+
+
+def month_of(at: Column) -> Column:
+    return F.year(at) * 100 + F.month(at)
 
 COMMIT_SCHEMA = T.StructType(
     [
@@ -118,8 +123,8 @@ class Snapshot:
         if not parts:
             return spark.createDataFrame([], schema)
         stored = T.StructType([*schema.fields, T.StructField("c", T.LongType())])
-        if table in PARTITIONED_BY_DAY:
-            stored = T.StructType([*stored.fields, T.StructField(DAY, T.DateType())])
+        if table in PARTITIONED_BY_MONTH:
+            stored = T.StructType([*stored.fields, T.StructField(MONTH, T.IntegerType())])
         frame = spark.read.schema(stored).parquet(self.tables.folder(table, version))
         return frame.filter(F.col("c").isin(parts)).drop("c")
 
@@ -158,10 +163,10 @@ class Transaction(Snapshot):
     def _write(self, table: str, df: DataFrame) -> None:
         df = df.select(*SCHEMAS[table].fieldNames())
         path = f"{self.tables.folder(table, self._versions.get(table, 0))}/c={self.number}"
-        if table in PARTITIONED_BY_DAY:
-            # Rebalancing gathers each day into few files and splits a day too large for one task.
-            df = df.withColumn(DAY, F.col("sale_timestamp").cast("date")).hint("rebalance", DAY)
-            df.write.mode("overwrite").partitionBy(DAY).parquet(path)
+        if table in PARTITIONED_BY_MONTH:
+            # Rebalancing gathers each month into few files and splits a month too large for one task.
+            df = df.withColumn(MONTH, month_of(F.col("sale_timestamp"))).hint("rebalance", MONTH)
+            df.sortWithinPartitions(MONTH, "sale_timestamp").write.mode("overwrite").partitionBy(MONTH).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
         if table not in self._wrote:

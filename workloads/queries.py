@@ -277,28 +277,25 @@ _VERSIONS = ("customer_id", "customer_name", "email", "phone", "region", "segmen
              "effective_end_date", "is_current", "is_inferred", "_source_file", "_batch_id", "_loaded_at")
 
 
-def _dim_after_batch_01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    initial = silver.load_silver(retail.raw(spark, sf_dir, "customers", "INITIAL"), "customers")
-    changes = silver.customer_changes(retail.raw(spark, sf_dir, "customers", "BATCH_01"))
-    now = F.lit(retail.LOADED_AT["BATCH_01"]).cast("timestamp_ntz")
-    return dimensions.scd2_apply(dimensions.init_dim_customer(initial), changes, now)
-
-
 @_query("scd2_apply", f"SELECT {', '.join(_VERSIONS)} FROM versions_1")
 def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Initial members, then one batch of changes: as one plan, nothing stored in between."""
-    return _dim_after_batch_01(spark, sf_dir).select(*_VERSIONS)
+    initial = silver.load_silver(retail.raw(spark, sf_dir, "customers", "INITIAL"), "customers")
+    changes = silver.customer_changes(retail.raw(spark, sf_dir, "customers", "BATCH_01"))
+    now = F.lit(retail.LOADED_AT["BATCH_01"]).cast("timestamp_ntz")
+    return dimensions.scd2_apply(dimensions.init_dim_customer(initial), changes, now).select(*_VERSIONS)
 
 
 @_query(
     "point_in_time_join",
     f"""SELECT s.sale_id, s.customer_id, s.sale_timestamp, c.effective_start_date, c.segment
-        FROM ({oracle.latest_valid('sales')}) s JOIN versions_1 c ON c.customer_id = s.customer_id
+        FROM ({oracle.latest_valid('sales')}) s JOIN dim_customer_2 c ON c.customer_id = s.customer_id
         AND c.effective_start_date <= s.sale_timestamp AND s.sale_timestamp < c.effective_end_date""",
 )
 def point_in_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = silver.load_silver(_landed(spark, sf_dir, "sales"), "sales")
-    joined = fact.point_in_time_join(sales, _dim_after_batch_01(spark, sf_dir), "effective_start_date", "segment")
+    versions = warehouse.state(spark, sf_dir).dim_customer()
+    joined = fact.point_in_time_join(sales, versions, "effective_start_date", "segment")
     return joined.select("sale_id", "customer_id", "sale_timestamp", "effective_start_date", "segment")
 
 
