@@ -48,6 +48,18 @@ def raw(spark):
     return make
 
 
+@pytest.fixture(scope="session")
+def stored(tmp_path_factory):
+    """Write a frame and read it back, as tables are between the steps of a load."""
+
+    def store(df):
+        path = str(tmp_path_factory.mktemp("stored") / "table")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return store
+
+
 def rows_of(df, *columns):
     """Sorted tuples of the given columns (default: all)."""
     picked = df.select(*columns) if columns else df

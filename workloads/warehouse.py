@@ -50,6 +50,11 @@ def built(spark: SparkSession, sf_dir: str) -> Tables:
     return _built[key]
 
 
+def use(spark: SparkSession, sf_dir: str, tables: Tables) -> None:
+    """Let reports read tables already loaded."""
+    _built[(spark.sparkContext.applicationId, sf_dir)] = tables
+
+
 def state(spark: SparkSession, sf_dir: str, batch_id: str = "BATCH_02") -> Snapshot:
     """The tables as they were after ``batch_id``."""
     tables = built(spark, sf_dir)
