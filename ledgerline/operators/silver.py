@@ -14,27 +14,25 @@ def assessed(raw: DataFrame, entity: str, path: str = "initial") -> DataFrame:
     return rules.assess(cleanse.clean(raw, entity), entity, path)
 
 
-def load_silver(raw: DataFrame, entity: str, existing: DataFrame | None = None) -> DataFrame:
+def load_silver(assessed: DataFrame, entity: str, existing: DataFrame | None = None) -> DataFrame:
     """Rows to add to the silver table: valid, latest per key, key not there yet."""
-    rows = dedup.latest_valid(assessed(raw, entity), entity).select(*schemas.SILVER[entity].fieldNames())
+    rows = dedup.latest_valid(assessed, entity).select(*schemas.SILVER[entity].fieldNames())
     return rows if existing is None else absent_from(rows, existing, schemas.KEYS[entity])
 
 
-def customer_changes(raw: DataFrame) -> DataFrame:
+def customer_changes(assessed: DataFrame) -> DataFrame:
     """One valid row per customer of a batch; the newest row decides, valid or not."""
-    changes = dedup.valid_latest(assessed(raw, "customers", "batch"), "customers")
-    return changes.select(*schemas.SILVER["customers"].fieldNames())
+    return dedup.valid_latest(assessed, "customers").select(*schemas.SILVER["customers"].fieldNames())
 
 
-def product_changes(raw: DataFrame) -> DataFrame:
+def product_changes(assessed: DataFrame) -> DataFrame:
     """One valid row per product of a batch: the latest valid one."""
-    changes = dedup.latest_valid(assessed(raw, "products"), "products")
-    return changes.select(*schemas.SILVER["products"].fieldNames())
+    return dedup.latest_valid(assessed, "products").select(*schemas.SILVER["products"].fieldNames())
 
 
-def valid_sales(raw: DataFrame) -> DataFrame:
+def valid_sales(assessed: DataFrame) -> DataFrame:
     """One valid row per sale of a batch; the last row of the file decides, valid or not."""
-    changes = dedup.valid_latest(assessed(raw, "sales", "batch"), "sales", by_timestamp=False)
+    changes = dedup.valid_latest(assessed, "sales", by_timestamp=False)
     return changes.select(*schemas.SILVER["sales"].fieldNames())
 
 

@@ -27,6 +27,18 @@ def _moment(at: datetime) -> Column:
     return F.lit(at).cast("timestamp_ntz")
 
 
+def _assess(tx: Transaction, batch: DataFrame, entity: str, keep_all_originals: bool = False) -> DataFrame:
+    """Typed rows with their reason, parsed once for all the steps that need them.
+
+    The original text is kept where it may reach the quarantine.
+    """
+    assessed = silver.assessed(batch, entity, "batch")
+    if not keep_all_originals:
+        original = F.when(F.col(rules.REASON).isNotNull(), F.col(cleanse.ORIGINAL))
+        assessed = assessed.withColumn(cleanse.ORIGINAL, original)
+    return tx.stage(f"assessed_{entity}", assessed)
+
+
 def _quarantine(tx: Transaction, rejects: DataFrame, entity: str) -> int:
     known = tx.read("silver/rejected_records").filter(F.col("entity_name") == rules.ENTITY_TAGS[entity])
     tx.append("silver/rejected_records", quarantine.unseen(rejects, known))
@@ -34,10 +46,10 @@ def _quarantine(tx: Transaction, rejects: DataFrame, entity: str) -> int:
 
 
 def _customers(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column, ignore_stale: bool) -> None:
-    assessed = silver.assessed(batch, "customers", "batch")
+    assessed = _assess(tx, batch, "customers")
     run.rejected = _quarantine(tx, quarantine.rejected(assessed, "customers", now), "customers")
 
-    changes = tx.stage("customer_changes", silver.customer_changes(batch))
+    changes = tx.stage("customer_changes", silver.customer_changes(assessed))
     run.written = changes.count()
     small = fits_broadcast(run.written)
     tx.replace("silver/customers", silver.upsert_silver(tx.read("silver/customers"), changes, "customers", small))
@@ -51,10 +63,10 @@ def _customers(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column, i
 
 
 def _products(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> None:
-    assessed = silver.assessed(batch, "products", "batch")
+    assessed = _assess(tx, batch, "products")
     run.rejected = _quarantine(tx, quarantine.rejected(assessed, "products", now), "products")
 
-    changes = tx.stage("product_changes", silver.product_changes(batch))
+    changes = tx.stage("product_changes", silver.product_changes(assessed))
     run.written = changes.count()
     small = fits_broadcast(run.written)
     tx.replace("silver/products", silver.upsert_silver(tx.read("silver/products"), changes, "products", small))
@@ -64,13 +76,13 @@ def _products(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) ->
 
 
 def _sales(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> None:
-    assessed = silver.assessed(batch, "sales", "batch")
-    rejects = quarantine.duplicate_sales(cleanse.clean_sales(batch), now).unionByName(
+    assessed = _assess(tx, batch, "sales", keep_all_originals=True)
+    rejects = quarantine.duplicate_sales(assessed, now).unionByName(
         quarantine.rejected(assessed, "sales", now)
     )
     run.rejected = _quarantine(tx, rejects, "sales")
 
-    valid = tx.stage("valid_sales", silver.valid_sales(batch))
+    valid = tx.stage("valid_sales", silver.valid_sales(assessed))
     known = fits_broadcast(valid.count())
     tx.append("silver/sales", fact.new_valid_sales(valid, tx.read("silver/sales"), tx.read("gold/fact_sales"), known))
     new = tx.written("silver/sales")

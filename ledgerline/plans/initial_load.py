@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.operators import audit, dimensions, fact, quarantine, silver
+from ledgerline.operators import audit, cleanse, dimensions, fact, quarantine, rules, silver
 from ledgerline.sources import raw
 from ledgerline.streaming.tables import Commit, Tables
 
@@ -24,9 +24,11 @@ def run_initial_load(tables: Tables, now: datetime | None = None, rerun: str = "
 
     rejects = None
     for entity in schemas.BUSINESS_COLUMNS:
-        batch = raw.read_raw(spark, tables.root, entity, raw.INITIAL)
-        tx.append(f"silver/{entity}", silver.load_silver(batch, entity, tx.read(f"silver/{entity}")))
-        found = quarantine.rejected(silver.assessed(batch, entity), entity, stamp)
+        batch = silver.assessed(raw.read_raw(spark, tables.root, entity, raw.INITIAL), entity)
+        kept = F.when(F.col(rules.REASON).isNotNull(), F.col(cleanse.ORIGINAL))
+        assessed = tx.stage(f"assessed_{entity}", batch.withColumn(cleanse.ORIGINAL, kept))
+        tx.append(f"silver/{entity}", silver.load_silver(assessed, entity, tx.read(f"silver/{entity}")))
+        found = quarantine.rejected(assessed, entity, stamp)
         rejects = found if rejects is None else rejects.unionByName(found)
     tx.append("silver/rejected_records", quarantine.unseen(rejects, tx.read("silver/rejected_records")))
 

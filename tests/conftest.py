@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ledgerline import schemas
+from ledgerline.operators import silver
 from ledgerline.session import with_recommended_conf
 
 LOADED = datetime(2026, 9, 1)
@@ -60,6 +61,17 @@ def stored(tmp_path_factory):
     return store
 
 
+def silver_of(raw, entity, existing=None):
+    """Silver rows of a first load."""
+    return silver.load_silver(silver.assessed(raw, entity), entity, existing)
+
+
+def changes_of(pick, raw):
+    """Valid changes of a batch: ``pick`` is one of the functions of ``silver`` for its entity."""
+    entity = {"customer_changes": "customers", "product_changes": "products", "valid_sales": "sales"}[pick.__name__]
+    return pick(silver.assessed(raw, entity, "batch"))
+
+
 def rows_of(df, *columns):
     """Sorted tuples of the given columns (default: all)."""
     picked = df.select(*columns) if columns else df

@@ -1,4 +1,4 @@
-from tests.conftest import rows_of
+from tests.conftest import changes_of, rows_of, silver_of
 from pyspark.sql import functions as F
 
 from ledgerline.operators import cleanse, dedup, quarantine, silver
@@ -11,8 +11,8 @@ def test_initial_keeps_older_valid_row_and_batch_drops_the_key(raw):
         {"updated_at": "2026-02-01 00:00:00", "segment": "old"},
         {"updated_at": "2026-03-01 00:00:00", "email": "broken"},
     )
-    assert rows_of(silver.load_silver(frame, "customers"), "customer_id", "segment") == [("C1", "OLD")]
-    assert silver.customer_changes(frame).count() == 0
+    assert rows_of(silver_of(frame, "customers"), "customer_id", "segment") == [("C1", "OLD")]
+    assert changes_of(silver.customer_changes, frame).count() == 0
 
 
 def test_latest_prefers_timestamp_then_row_number(raw):
@@ -24,7 +24,7 @@ def test_latest_prefers_timestamp_then_row_number(raw):
         {"customer_id": "C2", "segment": "second"},
         {"customer_id": " ", "segment": "no id"},
     )
-    assert rows_of(silver.customer_changes(frame), "customer_id", "segment") == [("C1", "LATE STAMP"), ("C2", "SECOND")]
+    assert rows_of(changes_of(silver.customer_changes, frame), "customer_id", "segment") == [("C1", "LATE STAMP"), ("C2", "SECOND")]
 
 
 def test_sales_batch_keeps_last_row_of_the_file(raw):
@@ -33,16 +33,16 @@ def test_sales_batch_keeps_last_row_of_the_file(raw):
         {"sale_timestamp": "2026-03-09 00:00:00", "quantity": "1"},
         {"sale_timestamp": "2026-03-01 00:00:00", "quantity": "2"},
     )
-    assert rows_of(silver.valid_sales(frame), "sale_id", "quantity") == [("S1", 2)]
+    assert rows_of(changes_of(silver.valid_sales, frame), "sale_id", "quantity") == [("S1", 2)]
     # The initial load goes by time instead.
-    assert rows_of(silver.load_silver(frame, "sales"), "quantity") == [(1,)]
+    assert rows_of(silver_of(frame, "sales"), "quantity") == [(1,)]
     losers = quarantine.duplicate_sales(cleanse.clean_sales(frame), F.lit(None).cast("timestamp_ntz"))
     assert rows_of(losers, "business_key", "rejection_reason") == [("S1", "DUPLICATE_SALE_IN_BATCH")]
 
 
 def test_load_skips_keys_already_in_silver(raw):
-    existing = silver.load_silver(raw("stores", {}), "stores")
-    again = silver.load_silver(raw("stores", {"store_name": "Renamed"}, {"store_id": "ST2"}), "stores", existing)
+    existing = silver_of(raw("stores", {}), "stores")
+    again = silver_of(raw("stores", {"store_name": "Renamed"}, {"store_id": "ST2"}), "stores", existing)
     assert rows_of(again, "store_id") == [("ST2",)]
 
 
@@ -64,7 +64,7 @@ def test_superseded_is_the_exact_complement_for_a_hot_key(spark):
 
 def test_latest_is_limited_per_task_before_the_shuffle(raw, spark):
     frame = raw("customers", {}, {})
-    plan = silver.load_silver(frame, "customers")._jdf.queryExecution().executedPlan().toString()
+    plan = silver_of(frame, "customers")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 

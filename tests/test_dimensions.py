@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import checks, dimensions, silver
-from tests.conftest import rows_of
+from tests.conftest import changes_of, rows_of, silver_of
 
 NOW = datetime(2026, 10, 1)
 START, END = datetime(2026, 1, 5, 10), datetime(9999, 12, 31, 23, 59, 59)
@@ -18,13 +18,13 @@ def _now():
 def dim(raw, stored):
     """C1, C2 and C3 current (C3 without a phone), C9 inferred."""
     members = raw("customers", {}, {"customer_id": "C2"}, {"customer_id": "C3", "phone": ""})
-    first = stored(dimensions.init_dim_customer(silver.load_silver(members, "customers")))
-    sales = silver.valid_sales(raw("sales", {"customer_id": "C9"}, {"sale_id": "S2"}, batch="BATCH_01"))
+    first = stored(dimensions.init_dim_customer(silver_of(members, "customers")))
+    sales = changes_of(silver.valid_sales, raw("sales", {"customer_id": "C9"}, {"sale_id": "S2"}, batch="BATCH_01"))
     return stored(first.unionByName(dimensions.infer_customers(sales, first)))
 
 
 def _changes(raw, *rows):
-    return silver.customer_changes(raw("customers", *rows, batch="BATCH_02", file="b.csv"))
+    return changes_of(silver.customer_changes, raw("customers", *rows, batch="BATCH_02", file="b.csv"))
 
 
 COLUMNS = ("customer_id", "segment", "effective_start_date", "effective_end_date", "is_current", "is_inferred")
@@ -38,13 +38,13 @@ def test_initial_members(dim):
 
 
 def test_initial_load_skips_current_customers(raw, dim):
-    again = silver.load_silver(raw("customers", {"segment": "other"}, {"customer_id": "C4"}), "customers")
+    again = silver_of(raw("customers", {"segment": "other"}, {"customer_id": "C4"}), "customers")
     added = dimensions.init_dim_customer(again, dim, dim)
     assert rows_of(added, "customer_key", "customer_id") == [(5, "C4")]
 
 
 def test_missing_creation_time_starts_at_the_default(spark, raw):
-    row = silver.load_silver(raw("customers", {}), "customers").withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
+    row = silver_of(raw("customers", {}), "customers").withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
     assert dimensions.init_dim_customer(row).first()["effective_start_date"] == datetime(2026, 1, 1)
 
 
@@ -91,12 +91,12 @@ def test_stale_changes(raw, dim, stored):
 
 def test_scd1(raw, stored):
     products = stored(
-        dimensions.init_dim_product(silver.load_silver(raw("products", {}, {"product_id": "P2"}), "products"))
+        dimensions.init_dim_product(silver_of(raw("products", {}, {"product_id": "P2"}), "products"))
     )
-    sales = silver.valid_sales(raw("sales", {"product_id": "P9"}, {"sale_id": "S2"}, batch="BATCH_01"))
+    sales = changes_of(silver.valid_sales, raw("sales", {"product_id": "P9"}, {"sale_id": "S2"}, batch="BATCH_01"))
     products = stored(products.unionByName(dimensions.infer_products(sales, products)))
     keys = {r["product_id"]: r["product_key"] for r in products.collect()}
-    changes = stored(silver.product_changes(
+    changes = stored(changes_of(silver.product_changes, 
         raw(
             "products",
             {"unit_price": "12.00", "updated_at": "2026-05-01 00:00:00"},
@@ -120,7 +120,7 @@ def test_inferred_members_are_single(raw, dim, stored):
     two_files = raw("sales", {"customer_id": "C7"}, batch="BATCH_02", file="z.csv").unionByName(
         raw("sales", {"sale_id": "S2", "customer_id": "C7", "product_id": "P7"}, batch="BATCH_01", file="y.csv")
     )
-    sales = stored(silver.valid_sales(two_files))
+    sales = stored(changes_of(silver.valid_sales, two_files))
     for small in (False, True):
         found = dimensions.infer_customers(sales, dim, small=small)
         assert rows_of(found, "customer_id", "customer_name", "email", "region", "_source_file", "_batch_id") == [

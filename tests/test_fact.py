@@ -5,21 +5,21 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.operators import analytics, checks, dimensions, fact, merge, silver
-from tests.conftest import rows_of
+from tests.conftest import changes_of, rows_of, silver_of
 
 
 def _stars(raw, stored):
-    first = stored(dimensions.init_dim_customer(silver.load_silver(raw("customers", {"region": "north"}), "customers")))
-    changes = stored(silver.customer_changes(raw("customers", {"region": "south", "updated_at": "2026-03-10 08:00:00"})))
+    first = stored(dimensions.init_dim_customer(silver_of(raw("customers", {"region": "north"}), "customers")))
+    changes = stored(changes_of(silver.customer_changes, raw("customers", {"region": "south", "updated_at": "2026-03-10 08:00:00"})))
     customers = dimensions.scd2_apply(first, changes, F.lit(datetime(2026, 4, 1)).cast("timestamp_ntz"))
-    products = dimensions.init_dim_product(silver.load_silver(raw("products", {}), "products"))
-    stores = dimensions.init_dim_store(silver.load_silver(raw("stores", {}), "stores"))
+    products = dimensions.init_dim_product(silver_of(raw("products", {}), "products"))
+    stores = dimensions.init_dim_store(silver_of(raw("stores", {}), "stores"))
     return stored(customers), stored(products), stored(stores)
 
 
 def test_fact(raw, stored):
     customers, products, stores = _stars(raw, stored)
-    sales = stored(silver.load_silver(
+    sales = stored(silver_of(
         raw(
             "sales",
             {"sale_id": "before", "sale_timestamp": "2026-03-10 07:59:59"},
@@ -57,7 +57,7 @@ def test_fact(raw, stored):
 
 
 def test_new_valid_sales_looks_at_silver_and_fact(spark, raw, stored):
-    valid = stored(silver.valid_sales(raw("sales", {"sale_id": "a"}, {"sale_id": "b"}, {"sale_id": "c"})))
+    valid = stored(changes_of(silver.valid_sales, raw("sales", {"sale_id": "a"}, {"sale_id": "b"}, {"sale_id": "c"})))
     in_silver, in_fact = valid.filter("sale_id = 'a'"), valid.filter("sale_id = 'b'").select("sale_id")
     for small in (False, True):
         assert rows_of(fact.new_valid_sales(valid, in_silver, in_fact, small), "sale_id") == [("c",)]
@@ -65,7 +65,7 @@ def test_new_valid_sales_looks_at_silver_and_fact(spark, raw, stored):
 
 def test_small_batches_do_not_shuffle_history(spark, raw, tmp_path):
     """History is reduced by a broadcast of the batch's keys before it meets the batch."""
-    valid = silver.valid_sales(raw("sales", {"sale_id": "a"}))
+    valid = changes_of(silver.valid_sales, raw("sales", {"sale_id": "a"}))
     valid.select("sale_id").write.parquet(str(tmp_path / "h"))
     history = spark.read.parquet(str(tmp_path / "h"))
     plan = merge.absent_from(valid, history, "sale_id", small=True)._jdf.queryExecution().executedPlan().toString()

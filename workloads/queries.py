@@ -44,6 +44,14 @@ def _landed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return retail.raw(spark, sf_dir, entity)
 
 
+def _assessed(spark: SparkSession, sf_dir: str, entity: str, path: str = "initial", batch_id: str | None = None) -> DataFrame:
+    return silver.assessed(retail.raw(spark, sf_dir, entity, batch_id), entity, path)
+
+
+def _silver(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    return silver.load_silver(_assessed(spark, sf_dir, entity), entity)
+
+
 def _now():
     return F.lit(retail.LOADED_AT["BATCH_02"]).cast("timestamp_ntz")
 
@@ -58,9 +66,9 @@ def _rejects_out(df: DataFrame) -> DataFrame:
 
 def _initial_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
-        dimensions.init_dim_customer(silver.load_silver(_landed(spark, sf_dir, "customers"), "customers")),
-        dimensions.init_dim_product(silver.load_silver(_landed(spark, sf_dir, "products"), "products")),
-        dimensions.init_dim_store(silver.load_silver(_landed(spark, sf_dir, "stores"), "stores")),
+        dimensions.init_dim_customer(_silver(spark, sf_dir, "customers")),
+        dimensions.init_dim_product(_silver(spark, sf_dir, "products")),
+        dimensions.init_dim_store(_silver(spark, sf_dir, "stores")),
     )
 
 
@@ -85,9 +93,15 @@ def _landed_sql(body: str) -> str:
 
 @_query("daily_sales_summary")
 def daily_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = silver.load_silver(_landed(spark, sf_dir, "sales"), "sales")
-    rows = fact.fact_rows(sales, *_initial_dims(spark, sf_dir))
-    return fact.daily_sales_summary(rows)
+    """Totals need the dimension members a sale matches, not their numbers, so none are assigned."""
+    unnumbered = F.lit(None).cast("bigint")
+    customers = _silver(spark, sf_dir, "customers").select(
+        "customer_id", F.col("created_at").alias("effective_start_date"),
+        F.lit(dimensions.OPEN_END).cast("timestamp_ntz").alias("effective_end_date"), unnumbered.alias("customer_key"),
+    )
+    products = _silver(spark, sf_dir, "products").select("product_id", unnumbered.alias("product_key"))
+    stores = _silver(spark, sf_dir, "stores").select("store_id", unnumbered.alias("store_key"))
+    return fact.daily_sales_summary(fact.fact_rows(_silver(spark, sf_dir, "sales"), customers, products, stores))
 
 
 ORACLE["daily_sales_summary"] = _landed_sql(
@@ -111,7 +125,7 @@ def _natural(rows: DataFrame, customers: DataFrame, products: DataFrame, stores:
 @_query("fact_sales_initial")
 def fact_sales_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = _initial_dims(spark, sf_dir)
-    sales = silver.load_silver(_landed(spark, sf_dir, "sales"), "sales")
+    sales = _silver(spark, sf_dir, "sales")
     return _natural(fact.build_fact(sales, *dims), *dims).drop("version_start")
 
 
@@ -130,12 +144,12 @@ for _entity in ENTITIES:
 
     @_query(f"rejects_{_entity}", oracle.rejects(_entity))
     def _rejects(spark: SparkSession, sf_dir: str, entity: str = _entity) -> DataFrame:
-        assessed = silver.assessed(_landed(spark, sf_dir, entity), entity)
+        assessed = _assessed(spark, sf_dir, entity)
         return _rejects_out(quarantine.rejected(assessed, entity, _now()))
 
     @_query(f"silver_{_entity}", oracle.latest_valid(_entity))
-    def _silver(spark: SparkSession, sf_dir: str, entity: str = _entity) -> DataFrame:
-        return silver.load_silver(_landed(spark, sf_dir, entity), entity)
+    def _silver_of(spark: SparkSession, sf_dir: str, entity: str = _entity) -> DataFrame:
+        return _silver(spark, sf_dir, entity)
 
 
 _PARSED_TEXTS = {
@@ -183,25 +197,25 @@ def parse_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = None
     for entity in ENTITIES:
-        rows = quarantine.rejected(silver.assessed(_landed(spark, sf_dir, entity), entity), entity, _now())
+        rows = quarantine.rejected(_assessed(spark, sf_dir, entity), entity, _now())
         found = rows if found is None else found.unionByName(rows)
     return checks.rejects_by_reason(found)
 
 
 @_query("dedup_latest_then_validate", oracle.valid_latest("customers", None, True))
 def dedup_latest_then_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.customer_changes(_landed(spark, sf_dir, "customers"))
+    return silver.customer_changes(_assessed(spark, sf_dir, "customers", "batch"))
 
 
 @_query("dedup_latest_valid", oracle.latest_valid("customers"))
 def dedup_latest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assessed = silver.assessed(_landed(spark, sf_dir, "customers"), "customers")
+    assessed = _assessed(spark, sf_dir, "customers")
     return dedup.latest_valid(assessed, "customers").select(*schemas.SILVER["customers"].fieldNames())
 
 
 @_query("sales_batch_valid", oracle.valid_latest("sales", None, False))
 def sales_batch_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.valid_sales(_landed(spark, sf_dir, "sales"))
+    return silver.valid_sales(_assessed(spark, sf_dir, "sales", "batch"))
 
 
 @_query("sales_batch_duplicates", oracle.duplicates())
@@ -211,13 +225,13 @@ def sales_batch_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("rejects_sales_batch", oracle.rejects("sales", None, "batch"))
 def rejects_sales_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assessed = silver.assessed(_landed(spark, sf_dir, "sales"), "sales", "batch")
+    assessed = _assessed(spark, sf_dir, "sales", "batch")
     return _rejects_out(quarantine.rejected(assessed, "sales", _now()))
 
 
 @_query("rejects_customer_batch", oracle.rejects("customers", None, "batch"))
 def rejects_customer_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assessed = silver.assessed(_landed(spark, sf_dir, "customers"), "customers", "batch")
+    assessed = _assessed(spark, sf_dir, "customers", "batch")
     return _rejects_out(quarantine.rejected(assessed, "customers", _now()))
 
 
@@ -266,7 +280,7 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ({oracle.latest_valid('sales')})""",
 )
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = silver.load_silver(_landed(spark, sf_dir, "sales"), "sales").select("sale_id")
+    sales = _silver(spark, sf_dir, "sales").select("sale_id")
     return assign_keys(sales, "sale_key", ["sale_id"]).agg(
         F.count(F.lit(1)).alias("row_count"), F.min("sale_key").alias("first_key"),
         F.max("sale_key").alias("last_key"), F.countDistinct("sale_key").alias("distinct_keys"),
@@ -280,8 +294,8 @@ _VERSIONS = ("customer_id", "customer_name", "email", "phone", "region", "segmen
 @_query("scd2_apply", f"SELECT {', '.join(_VERSIONS)} FROM versions_1")
 def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Initial members, then one batch of changes: as one plan, nothing stored in between."""
-    initial = silver.load_silver(retail.raw(spark, sf_dir, "customers", "INITIAL"), "customers")
-    changes = silver.customer_changes(retail.raw(spark, sf_dir, "customers", "BATCH_01"))
+    initial = silver.load_silver(_assessed(spark, sf_dir, "customers", batch_id="INITIAL"), "customers")
+    changes = silver.customer_changes(_assessed(spark, sf_dir, "customers", "batch", "BATCH_01"))
     now = F.lit(retail.LOADED_AT["BATCH_01"]).cast("timestamp_ntz")
     return dimensions.scd2_apply(dimensions.init_dim_customer(initial), changes, now).select(*_VERSIONS)
 
@@ -293,7 +307,7 @@ def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
         AND c.effective_start_date <= s.sale_timestamp AND s.sale_timestamp < c.effective_end_date""",
 )
 def point_in_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = silver.load_silver(_landed(spark, sf_dir, "sales"), "sales")
+    sales = _silver(spark, sf_dir, "sales")
     versions = warehouse.state(spark, sf_dir).dim_customer()
     joined = fact.point_in_time_join(sales, versions, "effective_start_date", "segment")
     return joined.select("sale_id", "customer_id", "sale_timestamp", "effective_start_date", "segment")
@@ -343,7 +357,7 @@ def silver_products_after_batch_02(spark: SparkSession, sf_dir: str) -> DataFram
 @_query("new_valid_sales", "SELECT * FROM new_sales_2")
 def new_valid_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = warehouse.state(spark, sf_dir, "BATCH_01")
-    valid = silver.valid_sales(retail.raw(spark, sf_dir, "sales", "BATCH_02"))
+    valid = silver.valid_sales(_assessed(spark, sf_dir, "sales", "batch", "BATCH_02"))
     return fact.new_valid_sales(valid, before.read("silver/sales"), before.read("gold/fact_sales"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+SPREAD_BY = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
 BATCHES = ("INITIAL", "BATCH_01", "BATCH_02")
 LOADED_AT = {
     "INITIAL": datetime(2002, 1, 1), "BATCH_01": datetime(2002, 2, 1), "BATCH_02": datetime(2002, 3, 1),
@@ -150,10 +151,19 @@ FROM rows_all
 RAW_SQL = {"customers": CUSTOMERS, "products": PRODUCTS, "stores": STORES, "sales": SALES}
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. A large table in fewer pieces than there are cores is spread out; with enough pieces it is not
+    shuffled."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_BY and rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores, SPREAD_BY[name])
+    return rows
+
+
 def raw(spark: SparkSession, sf_dir: str, entity: str, batch_id: str | None = None) -> DataFrame:
     """All raw rows of ``entity``, or one of its batches."""
     text = RAW_SQL[entity]
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
+    used = {t: _table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
     rows = spark.sql(text, **used).withColumn("_loaded_at", F.col("_loaded_at").cast("timestamp_ntz"))
     return rows if batch_id is None else rows.filter(rows["_batch_id"] == batch_id)
-
