@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A counted frame of at most this many narrow rows may be broadcast.
-BROADCAST_ROWS = 1_000_000
+# A counted frame of at most this many rows may be broadcast; a larger one goes through shuffled joins.
+BROADCAST_ROWS = 500_000
 
 
 def fits_broadcast(rows: int) -> bool:

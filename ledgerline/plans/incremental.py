@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import audit, cleanse, dimensions, fact, quarantine, rules, silver
 from ledgerline.operators.merge import fits_broadcast, hinted
+from ledgerline.session import together
 from ledgerline.streaming.tables import Tables, Transaction
 
 Clock = Callable[[], datetime]
@@ -40,6 +41,7 @@ def _assess(tx: Transaction, batch: DataFrame, entity: str, keep_all_originals:
 
 
 def _quarantine(tx: Transaction, rejects: DataFrame, entity: str) -> int:
+    """Returns how many rejects are new."""
     known = tx.read("silver/rejected_records").filter(F.col("entity_name") == rules.ENTITY_TAGS[entity])
     tx.append("silver/rejected_records", quarantine.unseen(rejects, known))
     return tx.count("silver/rejected_records")
@@ -47,42 +49,49 @@ def _quarantine(tx: Transaction, rejects: DataFrame, entity: str) -> int:
 
 def _customers(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column, ignore_stale: bool) -> None:
     assessed = _assess(tx, batch, "customers")
-    run.rejected = _quarantine(tx, quarantine.rejected(assessed, "customers", now), "customers")
-
-    changes = tx.stage("customer_changes", silver.customer_changes(assessed))
+    run.rejected, changes = together(
+        lambda: _quarantine(tx, quarantine.rejected(assessed, "customers", now), "customers"),
+        lambda: tx.stage("customer_changes", silver.customer_changes(assessed)),
+    )
     run.written = changes.count()
     small = fits_broadcast(run.written)
-    tx.replace("silver/customers", silver.upsert_silver(tx.read("silver/customers"), changes, "customers", small))
-
-    current = tx.read("gold/dim_customer_current")
-    matched = tx.stage("customer_matches", dimensions.scd2_match(current, hinted(changes, small), ignore_stale))
+    before, current = tx.read("silver/customers"), tx.read("gold/dim_customer_current")
+    _, matched = together(
+        lambda: tx.replace("silver/customers", silver.upsert_silver(before, changes, "customers", small)),
+        lambda: tx.stage("customer_matches", dimensions.scd2_match(current, hinted(changes, small), ignore_stale)),
+    )
     delta = dimensions.scd2_delta(current, changes, matched, now, tx.last_key("customer_key"), small)
-    tx.append("gold/dim_customer_closed", delta.closed)
-    tx.replace("gold/dim_customer_current", delta.current)
+    together(
+        lambda: tx.append("gold/dim_customer_closed", delta.closed),
+        lambda: tx.replace("gold/dim_customer_current", delta.current),
+    )
     tx.advance_key("gold/dim_customer_current", "customer_key")
 
 
 def _products(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> None:
     assessed = _assess(tx, batch, "products")
-    run.rejected = _quarantine(tx, quarantine.rejected(assessed, "products", now), "products")
-
-    changes = tx.stage("product_changes", silver.product_changes(assessed))
+    run.rejected, changes = together(
+        lambda: _quarantine(tx, quarantine.rejected(assessed, "products", now), "products"),
+        lambda: tx.stage("product_changes", silver.product_changes(assessed)),
+    )
     run.written = changes.count()
     small = fits_broadcast(run.written)
-    tx.replace("silver/products", silver.upsert_silver(tx.read("silver/products"), changes, "products", small))
-    dim = dimensions.scd1_upsert(tx.read("gold/dim_product"), changes, tx.last_key("product_key"), small)
-    tx.replace("gold/dim_product", dim)
+    before, dim = tx.read("silver/products"), tx.read("gold/dim_product")
+    together(
+        lambda: tx.replace("silver/products", silver.upsert_silver(before, changes, "products", small)),
+        lambda: tx.replace(
+            "gold/dim_product", dimensions.scd1_upsert(dim, changes, tx.last_key("product_key"), small)
+        ),
+    )
     tx.advance_key("gold/dim_product", "product_key")
 
 
 def _sales(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> None:
     assessed = _assess(tx, batch, "sales", keep_all_originals=True)
-    rejects = quarantine.duplicate_sales(assessed, now).unionByName(
-        quarantine.rejected(assessed, "sales", now)
+    rejects = quarantine.duplicate_sales(assessed, now).unionByName(quarantine.rejected(assessed, "sales", now))
+    run.rejected, valid = together(
+        lambda: _quarantine(tx, rejects, "sales"), lambda: tx.stage("valid_sales", silver.valid_sales(assessed))
     )
-    run.rejected = _quarantine(tx, rejects, "sales")
-
-    valid = tx.stage("valid_sales", silver.valid_sales(assessed))
     known = fits_broadcast(valid.count())
     tx.append("silver/sales", fact.new_valid_sales(valid, tx.read("silver/sales"), tx.read("gold/fact_sales"), known))
     new = tx.written("silver/sales")
@@ -90,13 +99,15 @@ def _sales(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> No
     small = fits_broadcast(run.written)
 
     customers, products = tx.dim_customer(), tx.read("gold/dim_product")
-    tx.append(
-        "gold/dim_customer_current", dimensions.infer_customers(new, customers, tx.last_key("customer_key"), small)
-    )
-    tx.advance_key("gold/dim_customer_current", "customer_key")
-    tx.append("gold/dim_product", dimensions.infer_products(new, products, tx.last_key("product_key"), small))
-    tx.advance_key("gold/dim_product", "product_key")
 
+    def add_members(table: str, key: str, infer, dim: DataFrame) -> None:
+        tx.append(table, infer(new, dim, tx.last_key(key), small))
+        tx.advance_key(table, key)
+
+    together(
+        lambda: add_members("gold/dim_customer_current", "customer_key", dimensions.infer_customers, customers),
+        lambda: add_members("gold/dim_product", "product_key", dimensions.infer_products, products),
+    )
     rows = fact.build_fact(
         hinted(new, small),
         customers.unionByName(tx.written("gold/dim_customer_current")),

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial, reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.operators import audit, cleanse, dimensions, fact, quarantine, rules, silver
+from ledgerline.session import together
 from ledgerline.sources import raw
 from ledgerline.streaming.tables import Commit, Tables
 
@@ -22,29 +25,34 @@ def run_initial_load(tables: Tables, now: datetime | None = None, rerun: str = "
     spark = tables.spark
     stamp = F.localtimestamp() if now is None else F.lit(now).cast("timestamp_ntz")
 
-    rejects = None
-    for entity in schemas.BUSINESS_COLUMNS:
+    def load(entity: str):
+        """Silver rows of one entity; returns its rejects."""
         batch = silver.assessed(raw.read_raw(spark, tables.root, entity, raw.INITIAL), entity)
         kept = F.when(F.col(rules.REASON).isNotNull(), F.col(cleanse.ORIGINAL))
         assessed = tx.stage(f"assessed_{entity}", batch.withColumn(cleanse.ORIGINAL, kept))
         tx.append(f"silver/{entity}", silver.load_silver(assessed, entity, tx.read(f"silver/{entity}")))
-        found = quarantine.rejected(assessed, entity, stamp)
-        rejects = found if rejects is None else rejects.unionByName(found)
-    tx.append("silver/rejected_records", quarantine.unseen(rejects, tx.read("silver/rejected_records")))
+        return quarantine.rejected(assessed, entity, stamp)
 
-    def everything(table: str):
+    rejects = reduce(DataFrame.unionByName, together(*(partial(load, entity) for entity in schemas.BUSINESS_COLUMNS)))
+
+    def everything(table: str) -> DataFrame:
         return tx.read(table).unionByName(tx.written(table))
 
-    members = (
+    def add_members(table: str, key: str, build, source: str, dim: DataFrame) -> None:
+        tx.append(table, build(everything(source), dim, tx.last_key(key)))
+        tx.advance_key(table, key)
+
+    known = tx.read("silver/rejected_records")
+    dims = (
         ("gold/dim_customer_current", "customer_key", dimensions.init_dim_customer, "silver/customers", tx.dim_customer()),
         ("gold/dim_product", "product_key", dimensions.init_dim_product, "silver/products", tx.read("gold/dim_product")),
         ("gold/dim_store", "store_key", dimensions.init_dim_store, "silver/stores", tx.read("gold/dim_store")),
     )
-    for table, key, build, source, dim in members:
-        tx.append(table, build(everything(source), dim, tx.last_key(key)))
-        tx.advance_key(table, key)
-    tx.append("gold/dim_date", dimensions.build_dim_date(spark, existing=tx.read("gold/dim_date")))
-
+    together(
+        lambda: tx.append("silver/rejected_records", quarantine.unseen(rejects, known)),
+        *(partial(add_members, *dim) for dim in dims),
+        lambda: tx.append("gold/dim_date", dimensions.build_dim_date(spark, existing=tx.read("gold/dim_date"))),
+    )
     rows = fact.build_fact(
         everything("silver/sales"),
         tx.dim_customer().unionByName(tx.written("gold/dim_customer_current")),

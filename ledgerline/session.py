@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -38,3 +40,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/ledgerline/{purpose}-{uuid.uuid4().hex}"
+
+
+def together(*writes: Callable[[], object]) -> list:
+    """Run independent writes at the same time and wait for all of them.
+
+    Spark shares the cluster between their jobs, so the last tasks of one write do not keep the others waiting. The
+    first failure is raised.
+    """
+    with ThreadPoolExecutor(len(writes)) as pool:
+        return [job.result() for job in [pool.submit(write) for write in writes]]

@@ -89,3 +89,38 @@ def test_checks(spark):
     keys = spark.createDataFrame([("S1",), ("S1",), (None,)], "sale_id string")
     assert rows_of(checks.duplicate_keys(keys, "sale_id")) == [("S1", 2)]
     assert rows_of(checks.duplicate_rows({"sales": keys})) == [("SALES", 2)]
+
+
+def test_hot_customer_is_split_over_tasks(spark, stored):
+    """A customer with a third of all sales: the join splits that customer's partition and loses nothing."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit("C0")).otherwise(F.concat(F.lit("C"), (F.col("id") % 997).cast("string")))
+    sales = stored(
+        spark.range(0, 90_000, 1, 8).select(
+            F.concat(F.lit("S"), F.col("id").cast("string")).alias("sale_id"), hot.alias("customer_id"),
+            F.timestamp_seconds(F.col("id") + 1_700_000_000).cast("timestamp_ntz").alias("sale_timestamp"),
+            F.sha2(F.col("id").cast("string"), 512).alias("payload"),
+        )
+    )
+    dim = stored(
+        spark.range(997).select(
+            F.concat(F.lit("C"), F.col("id").cast("string")).alias("customer_id"),
+            F.lit(datetime(1900, 1, 1)).cast("timestamp_ntz").alias("effective_start_date"),
+            F.lit(datetime(9999, 1, 1)).cast("timestamp_ntz").alias("effective_end_date"), F.col("id").alias("customer_key"),
+        )
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = fact.point_in_time_join(sales, dim, "customer_key")
+        assert len(joined.collect()) == 90_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

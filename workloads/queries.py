@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions import masking, parse
-from ledgerline.operators import analytics, audit, checks, cleanse, dedup, dimensions, fact, quarantine, silver
+from ledgerline.operators import analytics, audit, checks, cleanse, dedup, dimensions, fact, merge, quarantine, silver
 from ledgerline.operators.keys import assign_keys
 from ledgerline.plans import incremental
 from ledgerline.session import scratch_dir
@@ -287,6 +287,34 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    "merge_insert_only",
+    f"""SELECT * FROM customers_0 UNION ALL SELECT * FROM ({oracle.latest_valid('customers')})
+        WHERE customer_id NOT IN (SELECT customer_id FROM customers_0)""",
+)
+def merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Initial customers, completed by customers that came later."""
+    target = silver.load_silver(_assessed(spark, sf_dir, "customers", batch_id="INITIAL"), "customers")
+    return merge.insert_missing(target, _silver(spark, sf_dir, "customers"), "customer_id")
+
+
+@_query(
+    "merge_update_from",
+    f"""SELECT t.customer_id, t.customer_name, t.email, t.phone, t.region,
+            CASE WHEN s.updated_at > t.updated_at THEN s.segment ELSE t.segment END AS segment, t.created_at,
+            CASE WHEN s.updated_at > t.updated_at THEN s.updated_at ELSE t.updated_at END AS updated_at,
+            t._source_file, t._batch_id, t._loaded_at
+        FROM customers_0 t LEFT JOIN ({oracle.valid_latest('customers', None, True)}) s ON s.customer_id = t.customer_id""",
+)
+def merge_update_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Initial customers with the segment of their newest valid change."""
+    target = silver.load_silver(_assessed(spark, sf_dir, "customers", batch_id="INITIAL"), "customers")
+    changes = silver.customer_changes(_assessed(spark, sf_dir, "customers", "batch"))
+    newer = F.col("s.updated_at") > F.col("t.updated_at")
+    values = {name: F.col(f"s.{name}") for name in ("segment", "updated_at")}
+    return merge.update_from(target, changes, "customer_id", newer, values)
+
+
 _VERSIONS = ("customer_id", "customer_name", "email", "phone", "region", "segment", "effective_start_date",
              "effective_end_date", "is_current", "is_inferred", "_source_file", "_batch_id", "_loaded_at")
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import SparkSession
 
 from ledgerline.plans.initial_load import run_initial_load
-from ledgerline.session import scratch_dir
+from ledgerline.session import scratch_dir, together
 from ledgerline.sources.raw import append_raw
 from ledgerline.streaming.feeds import run_available
 from ledgerline.streaming.refresh import refresh_daily_summary
@@ -17,10 +18,16 @@ from workloads import retail
 _built: dict[tuple[str, str], Tables] = {}
 
 
+def _land(tables: Tables, sf_dir: str, batch_id: str, *entities: str) -> None:
+    def land(entity: str) -> None:
+        append_raw(retail.raw(tables.spark, sf_dir, entity, batch_id), tables.root, entity)
+
+    together(*(partial(land, entity) for entity in entities))
+
+
 def load_initial(spark: SparkSession, sf_dir: str) -> Tables:
     tables = Tables(spark, scratch_dir(spark, "warehouse"))
-    for entity in retail.RAW_SQL:
-        append_raw(retail.raw(spark, sf_dir, entity, "INITIAL"), tables.root, entity)
+    _land(tables, sf_dir, "INITIAL", *retail.RAW_SQL)
     run_initial_load(tables, now=retail.LOADED_AT["INITIAL"])
     refresh_daily_summary(tables, retail.LOADED_AT["INITIAL"])
     return tables
@@ -29,8 +36,7 @@ def load_initial(spark: SparkSession, sf_dir: str) -> Tables:
 def load_batch(tables: Tables, sf_dir: str, batch_id: str) -> None:
     """Land one batch in raw and let the feeds pick it up."""
     now: datetime = retail.LOADED_AT[batch_id]
-    for entity in ("customers", "products", "sales"):
-        append_raw(retail.raw(tables.spark, sf_dir, entity, batch_id), tables.root, entity)
+    _land(tables, sf_dir, batch_id, "customers", "products", "sales")
     run_available(tables, clock=lambda: now)
     refresh_daily_summary(tables, now)
 
