@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import read
+from ledgerline.llm.common import read, saved
 from ledgerline.llm.minhash import near_duplicates
+from ledgerline.llm.passages import repeated_passages, word_counts
 from ledgerline.llm.pieces import encode_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,7 +53,7 @@ WITH RECURSIVE words AS (
   FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, unnest(
-    CASE WHEN len(ws) < 2 THEN ws ELSE list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1]) END) AS g
+    CASE WHEN len(ws) < 2 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS g
   FROM words
 ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 links AS (
@@ -66,3 +67,35 @@ links AS (
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN named ON x = d.doc_id
 """
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    counts = saved(word_counts(docs), "words")
+    changed = repeated_passages(docs, counts, window=50).select(
+        "doc_id", "row_key", "n_removed", F.sha2("text", 256).alias("changed_sha256")
+    )
+    return counts.join(changed, ["doc_id", "row_key"], "left").select(
+        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("changed_sha256", "words_sha256").alias("kept_sha256"),
+    )
+
+
+ORACLE["op5_substring_dedup"] = """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i AS s, md5(array_to_string(ws[i:i + 49], ' ')) AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM words WHERE len(ws) >= 50)
+), firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM windows JOIN firsts USING (w) WHERE first < doc_id
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(ws[i], ' ' ORDER BY i) AS t
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM words) a
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = a.doc_id AND g.p = a.i) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
