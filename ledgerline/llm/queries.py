@@ -7,16 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import read, saved
+from ledgerline.llm.common import read, row_key, saved
+from ledgerline.llm.decontaminate import WORD_ANY_CASE, benchmark_hits
 from ledgerline.llm.minhash import near_duplicates
+from ledgerline.llm.native import LOWER, UPPER, on_row
 from ledgerline.llm.passages import repeated_passages, word_counts
 from ledgerline.llm.pieces import encode_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 
 def tokenizer_file(name: str) -> str:
@@ -99,3 +99,44 @@ gone AS (
 SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    counted = docs.select(
+        "doc_id", row_key().alias("row_key"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_ANY_CASE)).cast("long").alias("n_words")
+    )
+    hits = benchmark_hits(docs, read(spark, sf_dir, "benchmark"))
+    n_hit = F.coalesce("n_hit", F.lit(0))
+    return on_row(counted, hits).select(
+        "doc_id", "n_words", n_hit.cast("long").alias("n_hit"),
+        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op8_decontamination"] = f"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM documents
+), bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS l, array_to_string(ws[i:i + 9], ' ') AS w
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM bw WHERE len(ws) > 0)
+), runs AS (
+  SELECT doc_id, l, i, array_to_string(ws[i:i + l - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, l, unnest(range(1, len(ws) - l + 2)) AS i FROM dw, (SELECT DISTINCT l FROM win) WHERE len(ws) >= l)
+), hits AS (SELECT doc_id, item_id, l, i FROM runs JOIN win USING (l, w)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
