@@ -13,6 +13,7 @@ from ledgerline.llm.minhash import near_duplicates
 from ledgerline.llm.native import LOWER, UPPER, on_row
 from ledgerline.llm.passages import repeated_passages, word_counts
 from ledgerline.llm.pieces import encode_texts
+from ledgerline.llm.secrets import BASE, all_spans, secret_spans, span_list
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -140,3 +141,13 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_spans(read(spark, sf_dir, "documents"))
+    base = {k: F.col(k) for k in BASE}
+    return found.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
+        F.sha2(span_list(base), 256).alias("base_sha256"), span_list(all_spans()).alias("spans"),
+    )
