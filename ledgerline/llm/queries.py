@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm import quality
 from ledgerline.llm.common import read, row_key, saved
 from ledgerline.llm.decontaminate import WORD_ANY_CASE, benchmark_hits
 from ledgerline.llm.minhash import near_duplicates
@@ -151,3 +152,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(span_list(base), 256).alias("base_sha256"), span_list(all_spans()).alias("spans"),
     )
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", quality.accepted().cast("int").alias("predicted")
+    )
