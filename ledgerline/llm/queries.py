@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import quality
+from ledgerline.llm import language, quality
 from ledgerline.llm.common import read, row_key, saved
 from ledgerline.llm.decontaminate import WORD_ANY_CASE, benchmark_hits
 from ledgerline.llm.minhash import near_duplicates
@@ -161,3 +161,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model).select(
         "doc_id", quality.held_out().alias("held_out"), "score", quality.accepted().cast("int").alias("predicted")
     )
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs)
+    return language.predicted(docs.drop("lang"), model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
