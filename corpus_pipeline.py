@@ -1,11 +1,27 @@
-"""A corpus pipeline over ``documents``: each stage applies one operator of ``ledgerline.llm`` to all its predecessor kept."""
+"""A corpus pipeline over ``documents``: each stage applies one operator of ``ledgerline.llm`` to all its predecessor kept.
+
+Every stage takes ``(spark, docs, sf_dir)``, works on whole texts and all rows, and returns the columns of ``documents``; the last
+one adds the token ids. Null texts count as empty; rows without an id pass where nothing is known of them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerline.llm import quality
 from ledgerline.llm.common import read, saved
+from ledgerline.llm.decontaminate import without_contaminated
 from ledgerline.llm.minhash import near_duplicates
+from ledgerline.llm.pieces import encode_texts
+from ledgerline.llm.queries import tokenizer_file
+from ledgerline.llm.secrets import redacted
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones, does not reject."""
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    return quality.scored(docs, model, "_score").where(quality.accepted("_score")).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +30,29 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
-STAGES = [("near_dedup", one_of_each_group)]
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of ten words of a benchmark item occurs."""
+    return without_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in their texts replaced by a mark; ``n_chars`` follows the text."""
+    return redacted(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the ids of their pieces, and as text what the ids decode to."""
+    coded = encode_texts(docs, tokenizer_file("piece_bpe_32k.model"), decoded="_decoded")
+    return coded.withColumn("text", F.col("_decoded")).drop("_decoded").withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_dedup", one_of_each_group),
+    ("decontamination", no_benchmark),
+    ("secrets", no_secrets),
+    ("sentencepiece", tokens),
+]
 
 #: Trained weights, probabilistic buckets and tokenizer merges have no SQL form; tests hold each stage against brute force.
 ORACLE_SQL = None
