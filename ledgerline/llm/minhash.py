@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import by_slices, saved, small_batches, texts
 from ledgerline.llm.components import connected_components
+from ledgerline.llm.meeting import groups_for, meeting_keys
 from ledgerline.llm.shingles import WordHashes, mix, shingle_set
 
 ROWS, BANDS = 6, 48
@@ -157,11 +158,18 @@ def _tile_links(percent: int):
     return work
 
 
-def _links(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame | None:
+def _band_entries(batch: pa.RecordBatch):
+    bands = batch.column("bands").values.to_numpy().view(np.uint64)  # every representative has all bands
+    offsets = batch.column("bands").offsets.to_numpy()
+    doc = np.repeat(batch.column("doc_id").to_numpy(), BANDS)
+    yield bands[offsets[0] : offsets[-1]], np.empty(0, np.uint32), doc, np.zeros(len(doc), np.int32)
+
+
+def _links(docs: DataFrame, reps: DataFrame, buckets: int, k: int, percent: int) -> DataFrame | None:
     """Links between representatives that decide all components."""
-    rows = reps.select("doc_id", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = saved(rows.join(shared, "band"), "buckets")
+    members = saved(meeting_keys(reps.select("doc_id", "bands"), buckets, _band_entries).withColumnRenamed("key", "band"), "buckets")
+    sizes = members.groupBy("band").agg(F.count("*").alias("n"))
+    members = members.join(sizes, "band")
     weight = members.groupBy("doc_id").agg(F.sum("n").alias("weight"))
     hubs = members.join(weight, "doc_id").groupBy("band").agg(F.max(F.struct("weight", -F.col("doc_id"))).alias("top"))
     stars = saved(
@@ -172,11 +180,13 @@ def _links(docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame
     if stars.isEmpty():
         return None
     involved = stars.select(F.col("hub").alias("doc_id")).union(stars.select("member")).distinct()
-    found = _full_sets(docs.join(involved, "doc_id", "left_semi"), k)
+    found = _full_sets(docs.join(involved.hint("merge"), "doc_id", "left_semi"), k)
     sets = saved(found.groupBy("doc_id").agg(F.min("shingles").alias("shingles")), "sets")
     size = F.size("shingles").cast("long")
     compared = saved(
-        stars.join(sets.select(F.col("doc_id").alias("member"), F.col("shingles").alias("member_set"), size.alias("n_member")), "member")
+        stars.hint("merge")
+        .join(sets.select(F.col("doc_id").alias("member"), F.col("shingles").alias("member_set"), size.alias("n_member")), "member")
+        .hint("merge")
         .join(sets.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("hub_set"), size.alias("n_hub")), "hub")
         .select("hub", "member", "n_hub", "n_member", "hub_set", "member_set")
         .mapInArrow(_differences, "hub long, member long, n_hub long, n_member long, apart array<long>"),
@@ -223,12 +233,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     taking_part = drawn.where(f"NOT ({alone})")
     first = taking_part.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
     classes = saved(taking_part.select("doc_id", "n_shingles", "f1", "f2").join(first, ["f1", "f2"]), "classes")
-    # one row for each class: an id with several texts stands for each of them
-    reps = (
-        drawn.join(classes.where("doc_id = rep").select("doc_id", "f1", "f2").distinct(), ["doc_id", "f1", "f2"], "left_semi")
-        .dropDuplicates(["f1", "f2"])
-    )
-    links = _links(docs, reps, k, percent)
+    # one row for each class (repeated rows: one for each of them, which meet nothing new)
+    reps = drawn.where(f"NOT ({alone})").join(first, ["f1", "f2"]).where("doc_id = rep").select("doc_id", "bands")
+    links = _links(docs, reps, groups_for(docs, drawn.count() * BANDS), k, percent)
     if links is None:
         named = classes.withColumn("component_id", F.col("rep"))
     else:

@@ -5,14 +5,13 @@ the period that takes both to an anchor, so two documents that share a whole win
 anchor is the hash of the words that are certain to lie in the window. Anchors met in two documents are extended to all
 windows that hold them, and a window counts as repeated if its 96-bit hash occurs in a document with a smaller id.
 
-Both steps shuffle packed arrays, dealt by hash. What a task finds to be repeated among its own rows is settled there, and one
-document for each hash goes on to the others, so a passage that very many documents share stays as small as any other.
+Both steps find what meets under a hash as ``meeting`` describes, so a passage that very many documents share stays small.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +19,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import by_slices, row_key, saved, slices, small_batches, texts
+from ledgerline.llm.common import by_slices, row_key, saved, small_batches, texts
+from ledgerline.llm.meeting import groups_for, places_by_document
 from ledgerline.llm.shingles import WordHashes, mix
 
 #: Perfect difference sets, by period.
 COVERS = {1: (0,), 7: (1, 2, 4), 13: (0, 1, 3, 9), 31: (1, 5, 11, 24, 25, 27)}
-#: Entries that a task gathers before it deals them out, and entries meant for one group of the shuffle.
-GATHERED, DEALT = 1 << 20, 1 << 18
-
 _MASK = (1 << 64) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _words = WordHashes()
@@ -61,118 +58,6 @@ def cover_of(window: int) -> tuple[int, tuple[int, ...], int]:
     return period, COVERS[period], window - period + 1
 
 
-def _packed(bucket, first, second, doc, place) -> dict:
-    return {"bucket": bucket, "h1": first.tobytes(), "h2": second.tobytes(), "doc": doc.tobytes(), "place": place.tobytes()}
-
-
-_PACKED = pa.schema([("bucket", pa.int32()), ("h1", pa.binary()), ("h2", pa.binary()), ("doc", pa.binary()), ("place", pa.binary())])
-_PACKED_DDL = "bucket int, h1 binary, h2 binary, doc binary, place binary"
-_FOUND_DDL = "doc_id long, places array<int>"
-
-
-def _groups(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by hash, begin of each group in that order, group of each place in that order."""
-    order = np.lexsort((second, first)) if len(second) else np.argsort(first, kind="stable")
-    a = first[order]
-    new = np.append(True, a[1:] != a[:-1])
-    if len(second):
-        b = second[order]
-        new[1:] |= b[1:] != b[:-1]
-    return order, np.flatnonzero(new), np.cumsum(new) - 1
-
-
-def _settle(first, second, doc, earliest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries are settled as repeated here, and which must be seen by the other tasks.
-
-    ``earliest``: repeated is what also occurs under a smaller id; else: what occurs under another id.
-    """
-    order, begins, group = _groups(first, second)
-    ordered = doc[order]
-    low = np.minimum.reduceat(ordered, begins)[group]
-    settled, onward = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
-    onward[order] = ordered == low
-    if earliest:
-        settled[order] = ordered > low
-    else:
-        high = np.maximum.reduceat(ordered, begins)[group]
-        settled[order] = low < high
-    return settled, onward
-
-
-def _deal(buckets: int, wide: bool, earliest: bool, entries: Callable) -> Callable:
-    """Gather entries of bounded number, settle what can be settled, deal out the rest by hash."""
-
-    def flush(parts: list) -> Iterator[pa.RecordBatch]:
-        first, second, doc, place = (np.concatenate(x) for x in zip(*parts))
-        if not len(first):
-            return
-        settled, onward = _settle(first, second, doc, earliest)
-        rows = []
-        at = np.flatnonzero(settled)
-        for some in np.array_split(at, len(at) // DEALT + 1):
-            if len(some):
-                spread = buckets + int(first[some[0]] % np.uint64(buckets))  # any group will do
-                rows.append(_packed(spread, first[:0], second[:0], doc[some], place[some]))
-        at = np.flatnonzero(onward)
-        bucket = (first[at] % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        at, bucket = at[order], bucket[order]
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-        rest = first // np.uint64(buckets)
-        rest = rest if wide else (rest & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        for b in np.flatnonzero(np.diff(cuts)):
-            own = at[cuts[b] : cuts[b + 1]]
-            rows.append(_packed(int(b), rest[own], second[own] if wide else second, doc[own], place[own]))
-        yield from pa.Table.from_pylist(rows, _PACKED).to_batches(max_chunksize=1024)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for batch in batches:
-            for part in slices(batch, "text"):
-                for entry in entries(part):
-                    parts.append(entry)
-                    size += len(entry[0])
-                    if size >= GATHERED:
-                        yield from flush(parts)
-                        parts, size = [], 0
-        if parts:
-            yield from flush(parts)
-
-    return run
-
-
-def _meet(buckets: int, wide: bool, earliest: bool) -> Callable:
-    """Entries of one hash range from all tasks: the repeated ones, as places by document."""
-
-    def joined(table: pa.Table, name: str, kind) -> np.ndarray:
-        return np.concatenate([np.frombuffer(v, kind) for v in table.column(name).to_pylist()])
-
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        doc, place = joined(table, "doc", np.int64), joined(table, "place", np.int32)
-        if key[0].as_py() < buckets:
-            first = joined(table, "h1", np.uint64 if wide else np.uint32)
-            second = joined(table, "h2", np.uint32)
-            settled, _ = _settle(first, second, doc, earliest)
-            doc, place = doc[settled], place[settled]
-        order = np.argsort(doc, kind="stable")
-        doc, place = doc[order], place[order]
-        begins = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.empty(0, np.int64)
-        ends = pa.array(np.append(begins, len(doc)).astype(np.int32))
-        return pa.table({"doc_id": pa.array(doc[begins], pa.int64()), "places": pa.ListArray.from_arrays(ends, pa.array(place))})
-
-    return run
-
-
-def _places_by_document(df: DataFrame, buckets: int, wide: bool, earliest: bool, entries: Callable) -> DataFrame:
-    dealt = df.mapInArrow(_deal(buckets, wide, earliest, entries), _PACKED_DDL)
-    met = dealt.groupBy("bucket").applyInArrow(_meet(buckets, wide, earliest), _FOUND_DDL)
-    return met.groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places"))
-
-
-def _buckets(df: DataFrame, entries: int) -> int:
-    return max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), entries // DEALT + 1)
-
-
 def word_counts(docs: DataFrame) -> DataFrame:
     """``doc_id, row_key, n_words, words_sha256, f1, f2`` of each row; words are split at ASCII white space, unchanged.
 
@@ -278,14 +163,14 @@ def repeated_passages(docs: DataFrame, counts: DataFrame, window: int = 50) -> D
     )
     period, cover, _ = cover_of(window)
     words = long_enough.agg(F.sum("n_words")).first()[0] or 0
-    candidates = _places_by_document(
-        docs.where("doc_id IS NOT NULL").select("doc_id", "text"), _buckets(docs, words * len(cover) // period),
-        wide=False, earliest=False, entries=_anchors(window),
+    candidates = places_by_document(
+        docs.where("doc_id IS NOT NULL").select("doc_id", "text"), groups_for(docs, words * len(cover) // period),
+        wide=False, earliest=False, text="text", entries=_anchors(window),
     ).join(copies, "doc_id", "left_anti").join(one_text, "doc_id")
     involved = saved(docs.join(candidates, ["doc_id", "row_key"]).dropDuplicates(["doc_id", "row_key"]), "involved")
     windows = involved.agg(F.sum(F.size("places").cast("long"))).first()[0] or 0
-    removed = _places_by_document(
-        involved.select("doc_id", "text", "places"), _buckets(docs, windows * 5), wide=True, earliest=True, entries=_extended(window)
+    removed = places_by_document(
+        involved.select("doc_id", "text", "places"), groups_for(docs, windows * 5), wide=True, earliest=True, text="text", entries=_extended(window),
     )
     changed = (
         involved.drop("places").join(removed, "doc_id")
