@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import row_key, saved
-from ledgerline.llm.native import let, lower_ascii, on_row
+from ledgerline.llm.native import keyed, let, lower_ascii, on_row, unpacked
 
 #: Between words of lower-cased text: every ASCII character that is neither a digit nor a letter.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -116,4 +116,4 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the documents in which a benchmark window occurs; all columns stay."""
     hits = benchmark_hits(docs, benchmark, window).select("doc_id", "row_key")
-    return on_row(docs.withColumn("row_key", row_key()), hits, "left_anti").select(docs.columns)
+    return on_row(keyed(docs), hits, "left_anti").select(unpacked(docs.columns))

@@ -32,6 +32,10 @@ def words_of(text: bytes) -> list[str]:
     return _runs(text.decode("utf-8", "replace").lower())
 
 
+def has_letter(word: str) -> bool:
+    return word.isalpha() or any(map(str.isalpha, word))
+
+
 def grams_of(word: str, n: int) -> list[str]:
     """All n-grams of a word with its ends marked; single characters without the marks."""
     marked = f"^{word}$" if n > 1 else word
@@ -49,7 +53,7 @@ class LanguageModel:
 
     def backed_off(self, word: str) -> np.ndarray | None:
         """Log frequencies of an unknown word; None if it has no letter."""
-        if not any(map(str.isalpha, word)):
+        if not has_letter(word):
             return None
         for n in range(LONGEST, 0, -1):
             at = [self.grams[n - 1][g] for g in grams_of(word, n) if g in self.grams[n - 1]]
@@ -110,7 +114,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text"):
             for lang, text in zip(part.column("lang").to_pylist(), texts(part, "text")):
                 for word, n in Counter(words_of(text)).items():
-                    sums[lang, word] += n
+                    if has_letter(word):
+                        sums[lang, word] += n
             if len(sums) > KEPT:
                 yield out()
                 sums.clear()

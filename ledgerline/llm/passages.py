@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import by_slices, row_key, saved, small_batches, texts
 from ledgerline.llm.meeting import groups_for, places_by_document
+from ledgerline.llm.native import keyed, on_row, unpacked
 from ledgerline.llm.shingles import WordHashes, mix
 
 #: Perfect difference sets, by period.
@@ -186,6 +187,5 @@ def repeated_passages(docs: DataFrame, counts: DataFrame, window: int = 50) -> D
 
 def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """``docs`` with the kept words of changed documents as their ``text``; all other rows and columns stay as they are."""
-    changed = repeated_passages(docs, saved(word_counts(docs), "words"), window).select("doc_id", "row_key", F.col("text").alias("_kept"))
-    keyed = docs.withColumn("row_key", row_key())
-    return keyed.join(changed, ["doc_id", "row_key"], "left").withColumn("text", F.coalesce("_kept", "text")).select(docs.columns)
+    changed = repeated_passages(docs, saved(word_counts(docs), "words"), window).select("doc_id", "row_key", F.col("text").alias("kept"))
+    return on_row(keyed(docs), changed).select(unpacked(docs.columns, text=F.coalesce(F.col("kept"), F.col("row.text"))))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import by_slices, small_batches, texts
+from ledgerline.llm.native import fresh
 from ledgerline.llm.shingles import WordHashes
 
 #: Labelled rows that a model is fitted on, buckets for words, factors of a pair.
@@ -162,16 +163,17 @@ def scored(docs: DataFrame, model: FactorisationMachine, score: str = "score") -
     """
     small_batches(docs.sparkSession)
     docs = docs.drop(score)
+    recorded = fresh("recorded", docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = shared.value
-        found = [own.score(t, n) for t, n in zip(texts(batch, "text"), batch.column("_recorded").to_pylist())]
-        kept = [n for n in batch.schema.names if n != "_recorded"]
+        found = [own.score(t, n) for t, n in zip(texts(batch, "text"), batch.column(recorded).to_pylist())]
+        kept = [n for n in batch.schema.names if n != recorded]
         return pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(found, pa.float64())], [*kept, score])
 
     schema = ", ".join([f"`{n}` {t}" for n, t in docs.dtypes] + [f"`{score}` double"])
-    return docs.withColumn("_recorded", _recorded(docs)).mapInArrow(by_slices(work, "text"), schema)
+    return docs.withColumn(recorded, _recorded(docs)).mapInArrow(by_slices(work, "text"), schema)
 
 
 def accepted(score="score", least: float = 0.3):

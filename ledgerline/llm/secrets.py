@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import row_key, saved
-from ledgerline.llm.native import let, on_row
+from ledgerline.llm.native import keyed, let, on_row, unpacked
 
 #: The base patterns. A match counts if the group has the length at least.
 BASE = {
@@ -166,16 +166,16 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced by ``mark``; rows without a span and all other columns stay."""
     spans = secret_spans(docs)
     plain = [F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for c in all_spans().values()]
-    hit = spans.select("doc_id", "row_key", F.array_sort(F.concat(*plain)).alias("_spans")).where("size(_spans) > 0").dropDuplicates(["doc_id", "row_key"])
+    hit = spans.select("doc_id", "row_key", F.array_sort(F.concat(*plain)).alias("spans")).where("size(spans) > 0").dropDuplicates(["doc_id", "row_key"])
 
     def cleaned(s):
         reach = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.array_max(F.transform(F.slice(s, 1, i), lambda x: x["end"])))
         pieces = F.transform(F.sequence(F.lit(0), F.size(s)), lambda i: F.when(
-            i == F.size(s), F.substring(F.col("text"), reach(i) + 1, F.length("text"))
+            i == F.size(s), F.substring(F.col("row.text"), reach(i) + 1, F.length("row.text"))
         ).when(s[F.least(i, F.size(s) - 1)]["start"] >= reach(i), F.concat(
-            F.substring(F.col("text"), reach(i) + 1, s[F.least(i, F.size(s) - 1)]["start"] - reach(i)), F.lit(mark))
+            F.substring(F.col("row.text"), reach(i) + 1, s[F.least(i, F.size(s) - 1)]["start"] - reach(i)), F.lit(mark))
         ).otherwise(F.lit("")))
         return F.array_join(pieces, "")
 
-    keyed = on_row(docs.withColumn("row_key", row_key()), hit)
-    return keyed.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(F.col("_spans"), cleaned))).select(docs.columns)
+    new = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(let(F.col("spans"), cleaned))
+    return on_row(keyed(docs), hit).select(unpacked(docs.columns, text=new))

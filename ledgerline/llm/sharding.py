@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm.native import fresh
+
 #: Slots of the table, a prime, and shards of the registered query.
 SLOTS, SHARDS = 3203, 32
 #: A table larger than this is not broadcast.
@@ -51,7 +53,9 @@ def placed(df: DataFrame, shards: list[str], key: str = "doc_id", slots: int = S
     """
     spark: SparkSession = df.sparkSession
     owner = lookup_table(shards, slots)
-    table = spark.createDataFrame([(i, shards[o]) for i, o in enumerate(owner.tolist())], f"_slot long, `{shard}` string")
+    df = df.drop(slot, shard)
+    place = fresh("place", df)
+    table = spark.createDataFrame([(i, shards[o]) for i, o in enumerate(owner.tolist())], f"`{place}` long, `{shard}` string")
     digits = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 15)
-    found = df.drop(slot, shard).withColumn(slot, F.conv(digits, 16, 10).cast("long") % slots)
-    return found.join(F.broadcast(table), F.col(slot) == F.col("_slot")).drop("_slot")
+    found = df.withColumn(slot, F.conv(digits, 16, 10).cast("long") % slots)
+    return found.join(F.broadcast(table), F.col(slot) == F.col(place)).drop(place)

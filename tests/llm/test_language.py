@@ -1,0 +1,54 @@
+"""Language identification: held-out accuracy and the cases without an answer."""
+
+import random
+import zlib
+
+import numpy as np
+
+from ledgerline.llm import language
+
+PARTS = {"xx": ["ka", "mo", "ri", "tu"], "yy": ["sch", "ein", "lich", "ung"], "zz": ["é", "eau", "que", "oi"]}
+
+
+def corpus(n=240):
+    draw = random.Random(4)
+    word = lambda lang: "".join(draw.choice(PARTS[lang]) for _ in range(draw.randint(1, 4)))
+    return [(i, " ".join(word(lang).title() for _ in range(draw.randint(1, 30))) + " 12!", lang) for i, lang in ((i, list(PARTS)[i % 3]) for i in range(n))]
+
+
+def test_held_out_rows_are_recognised(spark):
+    rows = corpus()
+    frame = spark.createDataFrame(rows + rows[:3] + [(900, None, "xx"), (901, "12 ½ _", "xx"), (902, "", None), (None, "ka mo", "yy")],
+                                  "doc_id long, text string, lang string").selectExpr("*", "'x' AS score", "1 AS lang_pred")
+    model = language.train(frame)
+    assert model.languages == ["xx", "yy", "zz"]
+    found = language.predicted(frame, model).withColumn("held", language.held_out()).collect()
+    assert len(found) == len(rows) + 7
+    held = [r for r in found if r.held and r.text and r.lang and r.doc_id < 900]
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in held) and len(held) > 30
+    assert np.mean([r.lang_pred == r.lang for r in held]) >= 0.97
+    assert all(0 <= r.score <= 1 for r in found)
+    assert {(r.lang_pred, r.score) for r in found if r.doc_id in (900, 901, 902)} == {("und", 0.0)}
+
+
+def test_held_out_texts_teach_nothing(spark):
+    rows = [(i, "alpha beta", "xx") if zlib.crc32(str(i).encode()) % 4 != 2 else (i, "gamma", "qq") for i in range(60)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["xx"] and set(model.words) == {"alpha", "beta"}
+
+
+def test_unknown_words_fall_back_to_shorter_grams():
+    logs = np.log(np.array([[0.9, 0.1]]))
+    other = np.log(np.array([[0.2, 0.8]]))
+    none = np.empty((0, 2))
+    model = language.LanguageModel(["a", "b"], {}, none, [{"z": 0}, {}, {"qui": 0}, {}], [other, none, logs, none])
+    assert np.array_equal(model.backed_off("quick"), logs[0]) and np.array_equal(model.backed_off("zoo"), other[0])
+    assert model.backed_off("½") is None and np.array_equal(model.backed_off("m"), [0, 0])
+
+
+def test_nothing_to_learn(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string")
+    model = language.train(empty)
+    assert language.predicted(empty, model).collect() == []
+    one = spark.createDataFrame([(1, "text")], "doc_id long, text string")
+    assert language.predicted(one, model).first().lang_pred == "und"
