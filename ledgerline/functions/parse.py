@@ -8,11 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Shapes and words a parser accepts, and the e-mail shape a valid customer needs.
-TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?$"
+# Shapes and words a parser accepts, and the e-mail shape a valid customer needs. The whole text must fit: "$"
+# would let a final newline through.
+TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?\z"
 TRUE_WORDS = ("true", "t", "yes", "y", "on", "1")
 FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
-EMAIL_SHAPE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+EMAIL_SHAPE = r"^[^@\s]+@[^@\s]+\.[^@\s]+\z"
 
 
 def text(c: Column) -> Column:
@@ -44,8 +45,9 @@ def integer(c: Column) -> Column:
     return text(c).try_cast("decimal(38,0)").try_cast("bigint")
 
 
-def money(c: Column) -> Column:
-    return text(c).try_cast("decimal(12,2)")
+def money(c: Column, precision: int = 12) -> Column:
+    """Two decimals; a value with more digits than ``precision`` allows becomes NULL."""
+    return text(c).try_cast(f"decimal({precision},2)")
 
 
 def boolean(c: Column) -> Column:

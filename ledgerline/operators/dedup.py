@@ -2,7 +2,8 @@
 
 ``latest`` filters ``row_number() = 1``; Spark turns that into a per-task group limit before the shuffle, so a key that
 holds a third of all rows sends one row per task instead of its whole group. ``superseded`` needs every row but the
-winner and therefore numbers rows twice, the first time on (key, salt), so that no task sees all copies of a hot key.
+winner: the winner of a key is a maximum, which tasks aggregate before the shuffle, and the other rows are found by a join
+with the winners, whose hot keys Spark splits.
 """
 
 from __future__ import annotations
@@ -14,16 +15,23 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.operators.rules import REASON, valid
 
-SALTS = 256
 _RECENCY = {"customers": "updated_at", "products": "updated_at", "stores": "opened_date", "sales": "sale_timestamp"}
 
 
-def recency(entity: str, by_timestamp: bool = True) -> list[Column]:
-    """Newest first: timestamp (optional), row in file, file, then the remaining columns so that the order is total."""
+def recency_columns(entity: str, by_timestamp: bool = True) -> list[str]:
+    """What decides, most important first: timestamp (optional), row in file, file, the remaining columns, load and batch.
+
+    Rows equal in all of them differ in nothing a typed table holds.
+    """
     first = [_RECENCY[entity]] if by_timestamp else []
     leading = [*first, "_row_number", "_source_file"]
     rest = [c for c in schemas.BUSINESS_COLUMNS[entity] if c not in (schemas.KEYS[entity], *first)]
-    return [F.col(c).desc_nulls_last() for c in (*leading, *rest)]
+    return [*leading, *rest, "_loaded_at", "_batch_id"]
+
+
+def recency(entity: str, by_timestamp: bool = True) -> list[Column]:
+    """Newest first, by a total order."""
+    return [F.col(c).desc_nulls_last() for c in recency_columns(entity, by_timestamp)]
 
 
 def latest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -32,18 +40,21 @@ def latest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return numbered.filter(F.col("_rn") == 1).drop("_rn")
 
 
-def superseded(df: DataFrame, key: str, order: list[Column], salts: int = SALTS) -> DataFrame:
-    """Every row with a non-null key that ``latest`` leaves out, copies included."""
-    salted = df.filter(F.col(key).isNotNull()).withColumn(
-        "_salt", F.pmod(F.xxhash64("_source_file", "_row_number"), F.lit(salts))
-    )
-    local = salted.withColumn("_local", F.row_number().over(W.partitionBy(key, "_salt").orderBy(*order)))
-    # At most one candidate per (key, salt) reaches the second numbering.
-    finalists = local.filter(F.col("_local") == 1).withColumn(
-        "_rn", F.row_number().over(W.partitionBy(key).orderBy(*order))
+def superseded(df: DataFrame, key: str, rank: Column) -> DataFrame:
+    """Every row with a non-null key but the one that ranks highest (a struct that tells all but identical rows apart).
+
+    Copies of the winner are counted: all but one of them come back.
+    """
+    ranked = df.filter(F.col(key).isNotNull()).withColumn("_rank", rank)
+    winners = ranked.groupBy(F.col(key).alias("_key")).agg(F.max("_rank").alias("_best"))
+    placed = ranked.join(winners, F.col(key) == F.col("_key"))
+    older = placed.filter(F.col("_rank") < F.col("_best")).select(*df.columns)
+    copies = (
+        placed.filter(F.col("_rank") == F.col("_best")).groupBy("_key")
+        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*df.columns)).alias("_row")).filter("_n > 1")
+        .select("_row", F.explode(F.sequence(F.lit(2), F.col("_n")))).select("_row.*")
     )
-    losers = local.filter(F.col("_local") > 1).unionByName(finalists.filter(F.col("_rn") > 1).drop("_rn"))
-    return losers.drop("_salt", "_local")
+    return older.unionByName(copies)
 
 
 def latest_valid(assessed: DataFrame, entity: str) -> DataFrame:

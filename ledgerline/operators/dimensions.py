@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.functions import calendar
 from ledgerline.operators.keys import assign_keys
-from ledgerline.operators.merge import absent_from, hinted
+from ledgerline.operators.merge import absent_from
 
 # Validity bounds, the start of a customer without creation time, the inferred-member label, the calendar.
 OPEN_START = "1900-01-01 00:00:00"
@@ -131,7 +131,7 @@ def scd2_match(current: DataFrame, changes: DataFrame, ignore_stale: bool = Fals
 
 
 def scd2_delta(
-    current: DataFrame, changes: DataFrame, matched: DataFrame, now: Column, after: int | DataFrame, small: bool = False
+    current: DataFrame, changes: DataFrame, matched: DataFrame, now: Column, after: int | DataFrame
 ) -> CustomerDelta:
     """New current rows and newly closed versions, given the output of ``scd2_match``.
 
@@ -158,7 +158,7 @@ def scd2_delta(
         F.lit(True).alias("is_current"), F.lit(False).alias("is_inferred"), *_META,
     )
     touched = matched.filter("action <> 'keep'").select("customer_id")
-    carried = current.join(hinted(touched, small), "customer_id", "left_anti")
+    carried = current.join(touched, "customer_id", "left_anti")
     keyed = assign_keys(opened, "customer_key", ["customer_id"], after)
     return CustomerDelta(
         current=_shape(carried, schema).unionByName(_shape(resolved, schema)).unionByName(_shape(keyed, schema)),
@@ -179,15 +179,15 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, now: Column, ignore_stale: bo
 
 
 def scd1_upsert(
-    dim: DataFrame, changes: DataFrame, after: int | DataFrame | None = None, small: bool = False
+    dim: DataFrame, changes: DataFrame, after: int | DataFrame | None = None, staged: bool = False
 ) -> DataFrame:
     """Latest attributes win and the key stays; unknown products get new keys; an inferred product becomes real."""
     fields = [f.name for f in schemas.DIM_PRODUCT.fields if f.name not in ("product_key", "is_inferred")]
     source = changes.select(*fields).withColumn("is_inferred", F.lit(False))
-    replaced = dim.select("product_key", "product_id").join(hinted(source, small), "product_id")
-    fresh = absent_from(source, dim, "product_id", small=small)
+    replaced = dim.select("product_key", "product_id").join(source, "product_id")
+    fresh = absent_from(source, dim, "product_id", staged=staged)
     added = assign_keys(fresh, "product_key", ["product_id"], dim if after is None else after)
-    kept = dim.join(hinted(source.select("product_id"), small), "product_id", "left_anti")
+    kept = dim.join(source.select("product_id"), "product_id", "left_anti")
     schema = schemas.DIM_PRODUCT
     return _shape(kept, schema).unionByName(_shape(replaced, schema)).unionByName(_shape(added, schema))
 
@@ -195,20 +195,20 @@ def scd1_upsert(
 # --- inferred members for sales that arrive before their dimension rows ------------------------------------------
 
 
-def _unknown_ids(sales: DataFrame, dim: DataFrame, key: str, small: bool) -> DataFrame:
+def _unknown_ids(sales: DataFrame, dim: DataFrame, key: str, staged: bool) -> DataFrame:
     """Ids without any dimension row, with their smallest ingest metadata.
 
     Grouping comes first: its map-side half reduces a hot id to one row per task before anything is shuffled.
     """
     ids = sales.groupBy(key).agg(*(F.min(c).alias(c) for c in _META))
-    return absent_from(ids, dim, key, small=small)
+    return absent_from(ids, dim, key, staged=staged)
 
 
 def infer_customers(
-    sales: DataFrame, dim: DataFrame, after: int | DataFrame | None = None, small: bool = False
+    sales: DataFrame, dim: DataFrame, after: int | DataFrame | None = None, staged: bool = False
 ) -> DataFrame:
     """Placeholder versions, valid for all time, for customers in no version of ``dim``."""
-    rows = _unknown_ids(sales, dim, "customer_id", small).withColumns(
+    rows = _unknown_ids(sales, dim, "customer_id", staged).withColumns(
         {
             "customer_name": F.lit(UNKNOWN), "region": F.lit(UNKNOWN), "segment": F.lit(UNKNOWN),
             "effective_start_date": _ts(OPEN_START), "effective_end_date": _ts(OPEN_END),
@@ -220,9 +220,9 @@ def infer_customers(
 
 
 def infer_products(
-    sales: DataFrame, dim: DataFrame, after: int | DataFrame | None = None, small: bool = False
+    sales: DataFrame, dim: DataFrame, after: int | DataFrame | None = None, staged: bool = False
 ) -> DataFrame:
-    rows = _unknown_ids(sales, dim, "product_id", small).withColumns(
+    rows = _unknown_ids(sales, dim, "product_id", staged).withColumns(
         {
             "product_name": F.lit(UNKNOWN), "category": F.lit(UNKNOWN), "brand": F.lit(UNKNOWN),
             "is_active": F.lit(True), "is_inferred": F.lit(True),

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MIN_BUCKETS = 64
-BUCKETS_PER_PARTITION = 4  # evens out how hashing places buckets on shuffle partitions
+#: Hash buckets, the same at every size: their offsets, two numbers each, are what is broadcast, and they are many enough to
+#: spread evenly over however many shuffle partitions the cluster is set to.
+BUCKETS = 1 << 14
 
 
 def assign_keys(df: DataFrame, key: str, by: list[str], after: int | DataFrame = 0) -> DataFrame:
@@ -19,11 +20,9 @@ def assign_keys(df: DataFrame, key: str, by: list[str], after: int | DataFrame =
 
     ``by`` must identify a row.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(MIN_BUCKETS, BUCKETS_PER_PARTITION * partitions)
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)))
+    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(BUCKETS)))
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most `buckets` rows: small enough for a window without partitions and for a broadcast at any data size.
+    # At most `BUCKETS` rows: small enough for a window without partitions and for a broadcast at any data size.
     before = F.sum("_n").over(W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
     offsets = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_offset"))
     if isinstance(after, DataFrame):

@@ -7,28 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A counted frame of at most this many rows may be broadcast; a larger one goes through shuffled joins.
-BROADCAST_ROWS = 500_000
-
-
-def fits_broadcast(rows: int) -> bool:
-    return rows <= BROADCAST_ROWS
-
-
-def hinted(df: DataFrame, small: bool) -> DataFrame:
-    """``df`` marked for broadcast if the caller counted it and found it small."""
-    return F.broadcast(df) if small else df
-
-
-def absent_from(df: DataFrame, other: DataFrame, *keys: str, small: bool = False) -> DataFrame:
+def absent_from(df: DataFrame, other: DataFrame, *keys: str, staged: bool = False) -> DataFrame:
     """Rows whose key does not occur in ``other``.
 
-    With ``small`` (``df`` was counted) the other side, which may be all of history, is first reduced to the keys of
-    ``df`` by a broadcast semi join: it is scanned where it lies and never shuffled.
+    With ``staged`` (``df`` is a written table, cheap to read twice) the other side, which may be all of history, is first
+    reduced to the keys of ``df`` by a semi join. Spark broadcasts those keys if their size allows it, and history is then
+    scanned where it lies; if not, both joins share one shuffle of it.
     """
     seen = other.select(*keys)
-    if small:
-        seen = seen.join(F.broadcast(df.select(*keys)), list(keys), "left_semi")
+    if staged:
+        seen = seen.join(df.select(*keys), list(keys), "left_semi")
     return df.join(seen, list(keys), "left_anti").select(*df.columns)
 
 
@@ -38,10 +26,9 @@ def insert_missing(target: DataFrame, source: DataFrame, key: str, match: Column
     return target.unionByName(absent_from(source, seen, key), allowMissingColumns=True)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool = False) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows replace target rows of the same key; the others are added."""
-    replaced = hinted(source.select(*keys), small)
-    kept = target.join(replaced, list(keys), "left_anti").select(*target.columns)
+    kept = target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(source.select(*target.columns))
 
 

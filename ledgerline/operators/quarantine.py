@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.operators.cleanse import ORIGINAL
-from ledgerline.operators.dedup import recency, superseded
+from ledgerline.operators.dedup import recency_columns, superseded
 from ledgerline.operators.rules import DUPLICATE_SALE, ENTITY_TAGS, REASON, invalid
 
 _GUARD = ["source_file", "entity_name", "business_key", "batch_id", "rejection_reason"]
@@ -32,16 +32,24 @@ def rejected(assessed: DataFrame, entity: str, now: Column) -> DataFrame:
 
 def duplicate_sales(cleaned: DataFrame, now: Column) -> DataFrame:
     """Sales superseded within their batch, whether or not they are valid."""
-    losers = superseded(cleaned, "sale_id", recency("sales", by_timestamp=False))
+    original = F.to_json(F.to_variant_object(F.col(ORIGINAL))).alias("original")  # copies that differ in spelling only
+    rank = F.struct(*recency_columns("sales", by_timestamp=False), original)
+    losers = superseded(cleaned, "sale_id", rank)
     return _record(losers, "sales", F.lit(DUPLICATE_SALE), now)
 
 
 def unseen(rejects: DataFrame, existing: DataFrame) -> DataFrame:
-    """Rejects not yet quarantined for the same file, entity, key, batch and reason.
+    """Rejects not yet quarantined, each as often as it occurs more than before.
 
-    Rows arriving together are all kept: several rows without an id are several rejects.
+    Two rejects are the same if file, entity, key, batch, reason and original text are: several rows without an id in one file
+    stay several rejects, and a replay adds nothing. Both sides are counted per distinct reject before the shuffle.
     """
-    guard = [F.coalesce(F.col(c), F.lit("")).alias(f"_{c}") for c in _GUARD]
-    known = existing.select(*guard).distinct()
-    match = [F.coalesce(rejects[c], F.lit("")) == known[f"_{c}"] for c in _GUARD]
-    return rejects.join(known, match, "left_anti")
+    payload = F.to_json("raw_record").alias("_payload")
+    times = F.lit(1).cast("long")
+    counted = (
+        rejects.select(*_GUARD, payload, F.col("rejected_at"), times.alias("_n"))
+        .unionByName(existing.select(*_GUARD, payload, F.lit(None).cast("timestamp_ntz").alias("rejected_at"), (-times).alias("_n")))
+        .groupBy(*_GUARD, "_payload").agg(F.sum("_n").alias("_n"), F.max("rejected_at").alias("rejected_at"))
+    )
+    again = counted.filter("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    return again.withColumn("raw_record", F.parse_json("_payload")).select(*rejects.columns)

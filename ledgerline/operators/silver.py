@@ -36,5 +36,5 @@ def valid_sales(assessed: DataFrame) -> DataFrame:
     return changes.select(*schemas.SILVER["sales"].fieldNames())
 
 
-def upsert_silver(existing: DataFrame, changes: DataFrame, entity: str, small: bool = False) -> DataFrame:
-    return upsert(existing, changes, [schemas.KEYS[entity]], small)
+def upsert_silver(existing: DataFrame, changes: DataFrame, entity: str) -> DataFrame:
+    return upsert(existing, changes, [schemas.KEYS[entity]])

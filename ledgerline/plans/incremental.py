@@ -1,7 +1,6 @@
 """One batch of customer, product or sales changes: read, quarantine, merge, commit, leave an audit trail.
 
-Working sets that several writes need are staged as tables. Counting them (Parquet footers) tells whether they are
-small enough to broadcast; beyond that bound the same plans run as shuffled joins.
+Working sets that several writes need are staged as tables. How they are joined is Spark's choice, from their sizes.
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators import audit, cleanse, dimensions, fact, quarantine, rules, silver
-from ledgerline.operators.merge import fits_broadcast, hinted
 from ledgerline.session import together
 from ledgerline.streaming.tables import Tables, Transaction
 
@@ -54,13 +52,12 @@ def _customers(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column, i
         lambda: tx.stage("customer_changes", silver.customer_changes(assessed)),
     )
     run.written = changes.count()
-    small = fits_broadcast(run.written)
     before, current = tx.read("silver/customers"), tx.read("gold/dim_customer_current")
     _, matched = together(
-        lambda: tx.replace("silver/customers", silver.upsert_silver(before, changes, "customers", small)),
-        lambda: tx.stage("customer_matches", dimensions.scd2_match(current, hinted(changes, small), ignore_stale)),
+        lambda: tx.replace("silver/customers", silver.upsert_silver(before, changes, "customers")),
+        lambda: tx.stage("customer_matches", dimensions.scd2_match(current, changes, ignore_stale)),
     )
-    delta = dimensions.scd2_delta(current, changes, matched, now, tx.last_key("customer_key"), small)
+    delta = dimensions.scd2_delta(current, changes, matched, now, tx.last_key("customer_key"))
     together(
         lambda: tx.append("gold/dim_customer_closed", delta.closed),
         lambda: tx.replace("gold/dim_customer_current", delta.current),
@@ -75,12 +72,11 @@ def _products(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) ->
         lambda: tx.stage("product_changes", silver.product_changes(assessed)),
     )
     run.written = changes.count()
-    small = fits_broadcast(run.written)
     before, dim = tx.read("silver/products"), tx.read("gold/dim_product")
     together(
-        lambda: tx.replace("silver/products", silver.upsert_silver(before, changes, "products", small)),
+        lambda: tx.replace("silver/products", silver.upsert_silver(before, changes, "products")),
         lambda: tx.replace(
-            "gold/dim_product", dimensions.scd1_upsert(dim, changes, tx.last_key("product_key"), small)
+            "gold/dim_product", dimensions.scd1_upsert(dim, changes, tx.last_key("product_key"), staged=True)
         ),
     )
     tx.advance_key("gold/dim_product", "product_key")
@@ -92,16 +88,14 @@ def _sales(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> No
     run.rejected, valid = together(
         lambda: _quarantine(tx, rejects, "sales"), lambda: tx.stage("valid_sales", silver.valid_sales(assessed))
     )
-    known = fits_broadcast(valid.count())
-    tx.append("silver/sales", fact.new_valid_sales(valid, tx.read("silver/sales"), tx.read("gold/fact_sales"), known))
+    tx.append("silver/sales", fact.new_valid_sales(valid, tx.read("silver/sales"), tx.read("gold/fact_sales"), staged=True))
     new = tx.written("silver/sales")
     run.written = new.count()
-    small = fits_broadcast(run.written)
 
     customers, products = tx.dim_customer(), tx.read("gold/dim_product")
 
     def add_members(table: str, key: str, infer, dim: DataFrame) -> None:
-        tx.append(table, infer(new, dim, tx.last_key(key), small))
+        tx.append(table, infer(new, dim, tx.last_key(key), staged=True))
         tx.advance_key(table, key)
 
     together(
@@ -109,7 +103,7 @@ def _sales(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> No
         lambda: add_members("gold/dim_product", "product_key", dimensions.infer_products, products),
     )
     rows = fact.build_fact(
-        hinted(new, small),
+        new,
         customers.unionByName(tx.written("gold/dim_customer_current")),
         products.unionByName(tx.written("gold/dim_product")),
         tx.read("gold/dim_store"),

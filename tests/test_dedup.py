@@ -54,7 +54,8 @@ def test_superseded_is_the_exact_complement_for_a_hot_key(spark):
         (F.col("id") % 2).alias("quantity"),
     )
     order = [F.col("_row_number").desc(), F.col("quantity").desc()]
-    winners, losers = dedup.latest(rows, "sale_id", order), dedup.superseded(rows, "sale_id", order, salts=16)
+    winners = dedup.latest(rows, "sale_id", order)
+    losers = dedup.superseded(rows, "sale_id", F.struct("_row_number", "quantity"))
     assert winners.count() == rows.select("sale_id").distinct().count()
     assert winners.unionByName(losers).exceptAll(rows).count() == 0
     assert rows.exceptAll(winners.unionByName(losers)).count() == 0

@@ -59,24 +59,23 @@ def test_fact(raw, stored):
 def test_new_valid_sales_looks_at_silver_and_fact(spark, raw, stored):
     valid = stored(changes_of(silver.valid_sales, raw("sales", {"sale_id": "a"}, {"sale_id": "b"}, {"sale_id": "c"})))
     in_silver, in_fact = valid.filter("sale_id = 'a'"), valid.filter("sale_id = 'b'").select("sale_id")
-    for small in (False, True):
-        assert rows_of(fact.new_valid_sales(valid, in_silver, in_fact, small), "sale_id") == [("c",)]
+    for staged in (False, True):
+        assert rows_of(fact.new_valid_sales(valid, in_silver, in_fact, staged), "sale_id") == [("c",)]
 
 
-def test_small_batches_do_not_shuffle_history(spark, raw, tmp_path):
-    """History is reduced by a broadcast of the batch's keys before it meets the batch."""
-    valid = changes_of(silver.valid_sales, raw("sales", {"sale_id": "a"}))
+def test_small_batches_do_not_shuffle_history(spark, raw, stored, tmp_path):
+    """History is reduced by the batch's keys, which Spark broadcasts by their size, before it meets the batch."""
+    valid = stored(changes_of(silver.valid_sales, raw("sales", {"sale_id": "a"})))
     valid.select("sale_id").write.parquet(str(tmp_path / "h"))
     history = spark.read.parquet(str(tmp_path / "h"))
-    plan = merge.absent_from(valid, history, "sale_id", small=True)._jdf.queryExecution().executedPlan().toString()
+    plan = merge.absent_from(valid, history, "sale_id", staged=True)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
 
 
 def test_merges(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     source = spark.createDataFrame([("b", 20), ("c", 30)], "k string, v int")
-    for small in (False, True):
-        assert rows_of(merge.upsert(target, source, ["k"], small)) == [("a", 1), ("b", 20), ("c", 30)]
+    assert rows_of(merge.upsert(target, source, ["k"])) == [("a", 1), ("b", 20), ("c", 30)]
     assert rows_of(merge.insert_missing(target, source, "k")) == [("a", 1), ("b", 2), ("c", 30)]
     assert rows_of(merge.insert_missing(target, source, "k", F.col("v") < 2)) == [("a", 1), ("b", 2), ("b", 20), ("c", 30)]
     updated = merge.update_from(target, source, "k", F.col("t.v") < F.col("s.v"), {"v": F.col("s.v")})

@@ -132,7 +132,7 @@ def columns(entity: str) -> str:
 def _newest_first(entity: str, by_timestamp: bool = True) -> str:
     first = [_RECENCY[entity]] if by_timestamp else []
     rest = [c for c in schemas.BUSINESS_COLUMNS[entity] if c not in (schemas.KEYS[entity], *first)]
-    return ", ".join(f"{c} DESC NULLS LAST" for c in (*first, "_row_number", "_source_file", *rest))
+    return ", ".join(f"{c} DESC NULLS LAST" for c in (*first, "_row_number", "_source_file", *rest, "_loaded_at", "_batch_id"))
 
 
 for _entity, _names in schemas.BUSINESS_COLUMNS.items():
@@ -215,7 +215,8 @@ def rejects(entity: str, batch: str | None = None, path: str = "initial") -> str
 def duplicates(batch: str | None = None) -> str:
     return f"""SELECT _source_file AS source_file, 'SALE' AS entity_name, sale_id AS business_key,
         'DUPLICATE_SALE_IN_BATCH' AS rejection_reason, cast(payload AS varchar) AS raw_record, _batch_id AS batch_id
-        FROM (SELECT *, row_number() OVER (PARTITION BY sale_id ORDER BY {_newest_first('sales', False)}) AS rn
+        FROM (SELECT *, row_number() OVER (PARTITION BY sale_id ORDER BY {_newest_first('sales', False)},
+                  cast(payload AS varchar) DESC) AS rn
               FROM assessed_sales WHERE {_of(batch)} AND sale_id IS NOT NULL) WHERE rn > 1"""
 
 
