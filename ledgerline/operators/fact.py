@@ -53,7 +53,11 @@ def build_fact(
     """New fact rows with keys, leaving out sales the fact already holds."""
     if existing is not None:
         sales = absent_from(sales, existing, "sale_id")
-    rows = fact_rows(sales, dim_customer, dim_product, dim_store)
+    return numbered(fact_rows(sales, dim_customer, dim_product, dim_store), after)
+
+
+def numbered(rows: DataFrame, after: int | DataFrame = 0) -> DataFrame:
+    """Fact rows with keys. ``rows`` is read twice, so a load writes it first."""
     keyed = assign_keys(rows, "sale_key", ["sale_id", "customer_key", "product_key", "store_key"], after)
     return keyed.select(*schemas.FACT_SALES.fieldNames())
 

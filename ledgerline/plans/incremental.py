@@ -11,8 +11,10 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline import schemas
 from ledgerline.operators import audit, cleanse, dimensions, fact, quarantine, rules, silver
 from ledgerline.session import together
+from ledgerline.sources.raw import read_or_empty
 from ledgerline.streaming.tables import Tables, Transaction
 
 Clock = Callable[[], datetime]
@@ -38,9 +40,11 @@ def _assess(tx: Transaction, batch: DataFrame, entity: str, keep_all_originals:
     return tx.stage(f"assessed_{entity}", assessed)
 
 
-def _quarantine(tx: Transaction, rejects: DataFrame, entity: str) -> int:
-    """Returns how many rejects are new."""
-    known = tx.read("silver/rejected_records").filter(F.col("entity_name") == rules.ENTITY_TAGS[entity])
+def _quarantine(tx: Transaction, rejects: DataFrame, entity: str, batch_id: str) -> int:
+    """Returns how many rejects are new. Of the quarantine only the batch's own files are read: statistics skip the others."""
+    known = tx.read("silver/rejected_records").filter(
+        (F.col("entity_name") == rules.ENTITY_TAGS[entity]) & F.col("batch_id").eqNullSafe(F.lit(batch_id))
+    )
     tx.append("silver/rejected_records", quarantine.unseen(rejects, known))
     return tx.count("silver/rejected_records")
 
@@ -48,7 +52,7 @@ def _quarantine(tx: Transaction, rejects: DataFrame, entity: str) -> int:
 def _customers(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column, ignore_stale: bool) -> None:
     assessed = _assess(tx, batch, "customers")
     run.rejected, changes = together(
-        lambda: _quarantine(tx, quarantine.rejected(assessed, "customers", now), "customers"),
+        lambda: _quarantine(tx, quarantine.rejected(assessed, "customers", now), "customers", run.batch_id),
         lambda: tx.stage("customer_changes", silver.customer_changes(assessed)),
     )
     run.written = changes.count()
@@ -68,7 +72,7 @@ def _customers(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column, i
 def _products(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> None:
     assessed = _assess(tx, batch, "products")
     run.rejected, changes = together(
-        lambda: _quarantine(tx, quarantine.rejected(assessed, "products", now), "products"),
+        lambda: _quarantine(tx, quarantine.rejected(assessed, "products", now), "products", run.batch_id),
         lambda: tx.stage("product_changes", silver.product_changes(assessed)),
     )
     run.written = changes.count()
@@ -86,7 +90,7 @@ def _sales(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> No
     assessed = _assess(tx, batch, "sales", keep_all_originals=True)
     rejects = quarantine.duplicate_sales(assessed, now).unionByName(quarantine.rejected(assessed, "sales", now))
     run.rejected, valid = together(
-        lambda: _quarantine(tx, rejects, "sales"), lambda: tx.stage("valid_sales", silver.valid_sales(assessed))
+        lambda: _quarantine(tx, rejects, "sales", run.batch_id), lambda: tx.stage("valid_sales", silver.valid_sales(assessed))
     )
     tx.append("silver/sales", fact.new_valid_sales(valid, tx.read("silver/sales"), tx.read("gold/fact_sales"), staged=True))
     new = tx.written("silver/sales")
@@ -102,14 +106,13 @@ def _sales(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> No
         lambda: add_members("gold/dim_customer_current", "customer_key", dimensions.infer_customers, customers),
         lambda: add_members("gold/dim_product", "product_key", dimensions.infer_products, products),
     )
-    rows = fact.build_fact(
+    rows = fact.fact_rows(
         new,
         customers.unionByName(tx.written("gold/dim_customer_current")),
         products.unionByName(tx.written("gold/dim_product")),
         tx.read("gold/dim_store"),
-        after=tx.last_key("sale_key"),
     )
-    tx.append("gold/fact_sales", rows)
+    tx.append("gold/fact_sales", fact.numbered(tx.stage("fact_rows", rows), tx.last_key("sale_key")))
     tx.advance_key("gold/fact_sales", "sale_key")
 
 
@@ -118,6 +121,14 @@ def _process(
     work: Callable[[Transaction, Column], None],
 ) -> str | None:
     """Audit and commit around one batch. A failure leaves a FAILED event, no visible change, and is raised again."""
+    with tables.one_writer():
+        return _commit_batch(tables, batch, feed, feed_batch, run, clock, work)
+
+
+def _commit_batch(
+    tables: Tables, batch: DataFrame, feed: str, feed_batch: str, run: audit.Run, clock: Clock,
+    work: Callable[[Transaction, Column], None],
+) -> str | None:
     tx = tables.begin(feed, feed_batch)
     if tx is None:
         return None
@@ -143,6 +154,12 @@ def failures_path(tables: Tables) -> str:
     return f"{tables.root}/control/run_failures"
 
 
+def run_events(tables: Tables) -> DataFrame:
+    """All run events: those committed with their batch, and those of runs that failed."""
+    failed = read_or_empty(tables.spark, failures_path(tables), schemas.RUN_EVENTS)
+    return tables.snapshot().read("control/run_events").unionByName(failed.select(*schemas.RUN_EVENTS.fieldNames()))
+
+
 def process_customers(
     tables: Tables, batch: DataFrame, feed: str, feed_batch: str, clock: Clock = utc_now, ignore_stale: bool = False
 ) -> str | None:

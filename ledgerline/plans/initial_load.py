@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.operators import audit, cleanse, dimensions, fact, quarantine, rules, silver
+from ledgerline.operators.merge import absent_from
 from ledgerline.session import together
 from ledgerline.sources import raw
 from ledgerline.streaming.tables import Commit, Tables
@@ -17,8 +18,16 @@ from ledgerline.streaming.tables import Commit, Tables
 FEED = "initial_load"
 
 
-def run_initial_load(tables: Tables, now: datetime | None = None, rerun: str = "0") -> Commit | None:
+def run_initial_load(
+    tables: Tables, now: datetime | None = None, rerun: str = "0", calendar_start: date = dimensions.CALENDAR_START,
+    calendar_days: int = dimensions.CALENDAR_DAYS,
+) -> Commit | None:
     """Load what raw ``INITIAL`` holds and the tables lack. Safe to rerun: pass a new ``rerun`` label to do so."""
+    with tables.one_writer():
+        return _load(tables, now, rerun, calendar_start, calendar_days)
+
+
+def _load(tables: Tables, now: datetime | None, rerun: str, calendar_start: date, calendar_days: int) -> Commit | None:
     tx = tables.begin(FEED, rerun)
     if tx is None:
         return None
@@ -51,17 +60,16 @@ def run_initial_load(tables: Tables, now: datetime | None = None, rerun: str = "
     together(
         lambda: tx.append("silver/rejected_records", quarantine.unseen(rejects, known)),
         *(partial(add_members, *dim) for dim in dims),
-        lambda: tx.append("gold/dim_date", dimensions.build_dim_date(spark, existing=tx.read("gold/dim_date"))),
+        lambda: tx.append("gold/dim_date", dimensions.build_dim_date(
+            spark, calendar_start, calendar_days, tx.read("gold/dim_date"))),
     )
-    rows = fact.build_fact(
-        everything("silver/sales"),
+    rows = fact.fact_rows(
+        absent_from(everything("silver/sales"), tx.read("gold/fact_sales"), "sale_id"),
         tx.dim_customer().unionByName(tx.written("gold/dim_customer_current")),
         everything("gold/dim_product"),
         everything("gold/dim_store"),
-        existing=tx.read("gold/fact_sales"),
-        after=tx.last_key("sale_key"),
     )
-    tx.append("gold/fact_sales", rows)
+    tx.append("gold/fact_sales", fact.numbered(tx.stage("fact_rows", rows), tx.last_key("sale_key")))
     tx.advance_key("gold/fact_sales", "sale_key")
     checkpoint = audit.checkpoint(everything("gold/fact_sales"), stamp)
     tx.replace("control/pipeline_monitoring", audit.upsert_checkpoint(tx.read("control/pipeline_monitoring"), checkpoint))

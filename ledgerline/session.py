@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # AQE splits skewed join partitions, also where that costs an extra shuffle, and coalesces small ones. Joins are
@@ -48,5 +49,7 @@ def together(*writes: Callable[[], object]) -> list:
     Spark shares the cluster between their jobs, so the last tasks of one write do not keep the others waiting. The
     first failure is raised.
     """
+    session = SparkSession.getActiveSession()
+    carry = inheritable_thread_target(session) if session else lambda write: write  # job groups and cancellation reach them
     with ThreadPoolExecutor(len(writes)) as pool:
-        return [job.result() for job in [pool.submit(write) for write in writes]]
+        return [job.result() for job in [pool.submit(carry(write)) for write in writes]]

@@ -1,10 +1,14 @@
-"""The raw layer: append-only text tables, one folder per batch, loaded at once and never changed."""
+"""The raw layer: append-only text tables, one folder per batch, never changed.
+
+A batch is the unit that feeds process. It may land in several appends; the feed sees it once it is declared complete.
+"""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import schemas
 
@@ -15,9 +19,29 @@ def raw_path(root: str, entity: str) -> str:
     return f"{root}/raw/{entity}"
 
 
-def append_raw(rows: DataFrame, root: str, entity: str) -> None:
+COMPLETE = T.StructType([T.StructField("batch_id", T.StringType()), T.StructField("completed_at", T.TimestampNTZType())])
+
+
+def complete_path(root: str, entity: str) -> str:
+    return f"{root}/raw_complete/{entity}"
+
+
+def append_raw(rows: DataFrame, root: str, entity: str, complete: bool = True) -> None:
+    """Append rows of one or more batches. Pass ``complete=False`` for a piece of a batch of which more is to come."""
     ordered = rows.select(*schemas.RAW[entity].fieldNames())
     ordered.write.mode("append").partitionBy("_batch_id").parquet(raw_path(root, entity))
+    if complete:
+        _declare(rows.select(F.col("_batch_id").alias("batch_id")).distinct(), root, entity)
+
+
+def complete_batch(spark: SparkSession, root: str, entity: str, batch_id: str) -> None:
+    """Declare a batch that landed in pieces complete, so that feeds take it up as a whole."""
+    _declare(spark.createDataFrame([(batch_id,)], "batch_id string"), root, entity)
+
+
+def _declare(batches: DataFrame, root: str, entity: str) -> None:
+    stamped = batches.withColumn("completed_at", F.localtimestamp())
+    stamped.coalesce(1).write.mode("append").parquet(complete_path(root, entity))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -36,12 +60,9 @@ def read_raw(spark: SparkSession, root: str, entity: str, batch_id: str | None =
     return rows if batch_id is None else rows.filter(F.col("_batch_id") == batch_id)
 
 
-def stream_raw(spark: SparkSession, root: str, entity: str, max_files: int | None = None) -> DataFrame:
-    """Rows appended since the consumer's checkpoint. The initial load is not part of the feed."""
-    reader = spark.readStream.schema(schemas.RAW[entity])
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(raw_path(root, entity)).filter(F.col("_batch_id") != INITIAL)
+def stream_batches(spark: SparkSession, root: str, entity: str) -> DataFrame:
+    """Batches declared complete since the consumer's checkpoint. The initial load is not part of the feed."""
+    return spark.readStream.schema(COMPLETE).parquet(complete_path(root, entity)).filter(F.col("batch_id") != INITIAL)
 
 
 def load_history(raw: DataFrame, since: Column | None = None) -> DataFrame:

@@ -1,20 +1,21 @@
-"""Change feeds: raw appends processed once each, as micro-batches of Structured Streaming.
+"""Change feeds: raw batches processed once each, whenever Structured Streaming finds them declared complete.
 
 No feed runs until asked to. ``run_available`` drains what is waiting, customers before sales; ``start`` keeps one feed
-running on a trigger. A feed without new files runs no batch.
+running on a trigger. A feed without new batches runs nothing. However many files or triggers a batch took to land, it is
+read, deduplicated and guarded as a whole.
 """
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.plans import incremental
 from ledgerline.plans.incremental import Clock, utc_now
-from ledgerline.sources.raw import stream_raw
+from ledgerline.sources.raw import read_raw, stream_batches
 from ledgerline.streaming.tables import Tables
 
 PROCESSES: dict[str, Callable[..., str | None]] = {
@@ -23,29 +24,22 @@ PROCESSES: dict[str, Callable[..., str | None]] = {
     "sales": incremental.process_sales,
 }
 
-# Feeds share the customer and product dimensions, so batches of different feeds take turns.
-_one_writer = threading.Lock()
-
 
 def _handler(tables: Tables, entity: str, clock: Clock):
-    def handle(batch: DataFrame, batch_number: int) -> None:
-        if batch.isEmpty():
-            return
-        # The query id lives in the checkpoint. After a reset checkpoint, batch numbers start again under a new id, so
-        # they are not mistaken for batches already committed.
-        query = tables.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        with _one_writer:
-            PROCESSES[entity](tables, batch, f"{entity}_feed/{query}", str(batch_number), clock)
+    def handle(declared: DataFrame, _: int) -> None:
+        # one row per batch declared since the last trigger
+        batches = declared.groupBy("batch_id").agg(F.min("completed_at").alias("at")).orderBy("at", "batch_id").collect()
+        for batch in batches:
+            rows = read_raw(tables.spark, tables.root, entity, batch["batch_id"])
+            # Named by the declaration, so that it is not processed again under a new checkpoint.
+            PROCESSES[entity](tables, rows, f"{entity}_feed", f"{batch['batch_id']}@{batch['at'].isoformat()}", clock)
 
     return handle
 
 
-def start(
-    tables: Tables, entity: str, clock: Clock = utc_now, max_files: int | None = None, **trigger
-) -> StreamingQuery:
+def start(tables: Tables, entity: str, clock: Clock = utc_now, **trigger) -> StreamingQuery:
     """Start the feed of ``entity``; ``trigger`` as for ``DataStreamWriter.trigger`` (default: drain and stop)."""
-    feed = stream_raw(tables.spark, tables.root, entity, max_files)
-    writer = feed.writeStream.queryName(f"{entity}_feed").option(
+    writer = stream_batches(tables.spark, tables.root, entity).writeStream.queryName(f"{entity}_feed").option(
         "checkpointLocation", f"{tables.root}/checkpoints/{entity}"
     )
     return writer.foreachBatch(_handler(tables, entity, clock)).trigger(**(trigger or {"availableNow": True})).start()
@@ -53,8 +47,7 @@ def start(
 
 def run_available(
     tables: Tables, entities: tuple[str, ...] = ("customers", "products", "sales"), clock: Clock = utc_now,
-    max_files: int | None = None,
 ) -> None:
     """Drain the feeds one after the other: dimensions first, so that sales find the members they refer to."""
     for entity in entities:
-        start(tables, entity, clock, max_files).awaitTermination()
+        start(tables, entity, clock).awaitTermination()

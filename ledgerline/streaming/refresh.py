@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.fact import daily_sales_summary
-from ledgerline.operators.merge import upsert
-from ledgerline.streaming.feeds import _one_writer
 from ledgerline.streaming.tables import COMMIT_SCHEMA, MONTH, Commit, Tables
 
 FEED = "daily_summary"
@@ -23,17 +21,23 @@ def refresh_daily_summary(tables: Tables, now: datetime | None = None) -> Commit
     A distinct count cannot be added up, so an affected day is computed as a whole; month folders and the time range of
     the new facts keep other days from being read. The summary has one row per day and is replaced as a snapshot.
     """
-    state = tables.snapshot()
-    covered = max((int(c.feed_batch) for c in state.commits if c.feed == FEED), default=0)
-    fresh = [c.commit for c in state.commits if c.commit > covered and FACT in c.wrote]
+    with tables.one_writer():
+        return _refresh(tables, now)
+
+
+def _refresh(tables: Tables, now: datetime | None) -> Commit | None:
+    log = tables.log()
+    covered = log.filter(F.col("feed") == FEED).agg(F.max(F.col("feed_batch").cast("long"))).first()[0] or 0
+    # the commits since then that wrote facts: as many as there were batches
+    fresh = log.filter((F.col("commit") > covered) & F.array_contains("wrote", FACT)).select("commit", "part").collect()
     if not fresh:
         return None
-    tx = tables.begin(FEED, str(fresh[-1]))
+    tx = tables.begin(FEED, str(max(c["commit"] for c in fresh)))
     if tx is None:
         return None
     day = F.col("sale_timestamp").cast("date")
     # One value per calendar day, however many sales a day has.
-    days = sorted(r[0] for r in tx.added(FACT, fresh).select(day).distinct().collect())
+    days = sorted(r[0] for r in tx.stored(FACT, [c["part"] for c in fresh]).select(day).distinct().collect())
     if days:
         facts = tx.stored(FACT).filter(
             F.col(MONTH).isin(sorted({d.year * 100 + d.month for d in days}))
@@ -41,7 +45,8 @@ def refresh_daily_summary(tables: Tables, now: datetime | None = None) -> Commit
             & (F.col("sale_timestamp") < F.lit(days[-1] + timedelta(days=1)).cast("timestamp_ntz"))
             & day.isin(days)
         )
-        tx.replace(SUMMARY, upsert(tx.read(SUMMARY), daily_sales_summary(facts), ["sale_date"]).coalesce(1))
+        kept = tx.read(SUMMARY).filter(~F.col("sale_date").isin(days))
+        tx.replace(SUMMARY, kept.unionByName(daily_sales_summary(facts)))
     return tx.commit(now)
 
 
@@ -49,8 +54,7 @@ def start_summary(tables: Tables, **trigger) -> StreamingQuery:
     """Refresh after commits, every five minutes unless told otherwise. The commit list is the stream."""
 
     def handle(commits: DataFrame, _: int) -> None:
-        with _one_writer:
-            refresh_daily_summary(tables)
+        refresh_daily_summary(tables)
 
     commits = tables.spark.readStream.schema(COMMIT_SCHEMA).parquet(tables.commits_path)
     writer = commits.writeStream.queryName(FEED).option("checkpointLocation", f"{tables.root}/checkpoints/{FEED}")

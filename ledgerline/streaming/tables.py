@@ -1,9 +1,10 @@
 """Tables that several writes change together: a commit becomes visible as a whole, or not at all.
 
 Plain Parquet offers no multi-table transaction, so every write goes into a folder of its own,
-``{table}/v={version}/c={commit}``, and a one-row Parquet file below ``commits/``, written last, makes it visible.
-Readers take only folders the commits name. A failed attempt leaves folders no commit names; its retry overwrites them.
-There is one writer at a time (the feeds run one after the other).
+``{table}/v={version}/c={part}`` with a part number drawn at random, and a one-row Parquet file below ``commits/``, written
+last, makes it visible. That file names all folders that make up each table, so the last one is all a reader needs. A failed
+attempt leaves folders no commit names. Writers of one application take turns (``one_writer``); of two transactions begun from
+the same state the first to commit wins, and the other fails without having touched what it wrote.
 
 * ``append`` adds a part to the table's current version.
 * ``replace`` starts a new version holding a full snapshot.
@@ -13,9 +14,12 @@ A catalog with row-level operations can replace this module; the operators do no
 
 from __future__ import annotations
 
+import threading
+import uuid
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,26 +59,38 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("feed", T.StringType()),
         T.StructField("feed_batch", T.StringType()),
         T.StructField("committed_at", T.TimestampNTZType()),
+        T.StructField("part", T.LongType()),
         T.StructField("wrote", T.ArrayType(T.StringType())),
+        T.StructField("parts", T.MapType(T.StringType(), T.ArrayType(T.LongType()))),
         T.StructField("versions", T.MapType(T.StringType(), T.LongType())),
         T.StructField("last_keys", T.MapType(T.StringType(), T.LongType())),
     ]
 )
 
 
+class ConflictingCommit(RuntimeError):
+    """Another writer has committed since this transaction began."""
+
+
 @dataclass(frozen=True)
 class Commit:
-    """One committed change: who made it, which tables got a part, and each table's version and highest key."""
+    """One committed change: who made it, which tables got a part, and each table's version, parts and highest key."""
 
     commit: int = 0
     feed: str | None = None
     feed_batch: str | None = None
     committed_at: datetime | None = None
+    part: int = 0
     wrote: tuple[str, ...] = ()
+    parts: dict[str, list[int]] = field(default_factory=dict)
     versions: dict[str, int] = field(default_factory=dict)
     last_keys: dict[str, int] = field(default_factory=dict)
 
 
+#: One writer at a time for all tables of this application; a step inside a longer one may take it again.
+_writing = threading.RLock()
+
+
 class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -84,22 +100,33 @@ class Tables:
     def commits_path(self) -> str:
         return f"{self.root}/commits"
 
-    def commits(self) -> list[Commit]:
-        """The commit list, oldest first: one short row per commit, never data."""
-        log = read_or_empty(self.spark, self.commits_path, COMMIT_SCHEMA).select(*COMMIT_SCHEMA.fieldNames())
-        rows = log.orderBy("commit").collect()
-        return [Commit(**{**r.asDict(), "wrote": tuple(r["wrote"])}) for r in rows]
+    def log(self) -> DataFrame:
+        """The commits: one short row each, never data."""
+        return read_or_empty(self.spark, self.commits_path, COMMIT_SCHEMA).select(*COMMIT_SCHEMA.fieldNames())
 
-    def snapshot(self, at: int | None = None) -> Snapshot:
-        """The tables as of the latest commit, or of commit ``at``."""
-        return Snapshot(self, [c for c in self.commits() if at is None or c.commit <= at])
+    def one_writer(self) -> threading.RLock:
+        """To be held from ``begin`` to ``commit``."""
+        return _writing
+
+    def last(self, at: int | None = None, until: datetime | None = None) -> Commit:
+        """The latest commit, or the latest up to a commit number or a time."""
+        log = self.log()
+        if at is not None:
+            log = log.filter(F.col("commit") <= at)
+        if until is not None:
+            log = log.filter(F.col("committed_at") <= F.lit(until).cast("timestamp_ntz"))
+        rows = log.orderBy(F.desc("commit")).limit(1).collect()
+        return Commit(**{**rows[0].asDict(), "wrote": tuple(rows[0]["wrote"])}) if rows else Commit()
+
+    def snapshot(self, at: int | None = None, until: datetime | None = None) -> Snapshot:
+        """The tables as of the latest commit, or as ``last`` finds it."""
+        return Snapshot(self, self.last(at, until))
 
     def begin(self, feed: str, feed_batch: str) -> Transaction | None:
         """A transaction for one batch of a feed; None if that batch is already committed."""
-        done = self.commits()
-        if any((c.feed, c.feed_batch) == (feed, feed_batch) for c in done):
+        if not self.log().filter((F.col("feed") == feed) & (F.col("feed_batch") == feed_batch)).isEmpty():
             return None
-        return Transaction(self, done, feed, feed_batch)
+        return Transaction(self, self.last(), feed, feed_batch)
 
     def folder(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version}"
@@ -108,14 +135,9 @@ class Tables:
 class Snapshot:
     """Read access to one committed state."""
 
-    def __init__(self, tables: Tables, commits: list[Commit]):
+    def __init__(self, tables: Tables, last: Commit):
         self.tables = tables
-        self.commits = commits
-        self.last = commits[-1] if commits else Commit()
-
-    def _parts(self, table: str) -> tuple[int, list[int]]:
-        version = self.last.versions.get(table, 0)
-        return version, [c.commit for c in self.commits if table in c.wrote and c.versions.get(table, 0) == version]
+        self.last = last
 
     def _load(self, table: str, version: int, parts: list[int]) -> DataFrame:
         schema = SCHEMAS[table]
@@ -128,14 +150,10 @@ class Snapshot:
         frame = spark.read.schema(stored).parquet(self.tables.folder(table, version))
         return frame.filter(F.col("c").isin(parts)).drop("c")
 
-    def stored(self, table: str) -> DataFrame:
-        """The table as stored, including its partition column."""
-        return self._load(table, *self._parts(table))
-
-    def added(self, table: str, commits: list[int]) -> DataFrame:
-        """What the given commits added to the table's current version, as stored."""
-        version, parts = self._parts(table)
-        return self._load(table, version, [c for c in parts if c in commits])
+    def stored(self, table: str, parts: list[int] | None = None) -> DataFrame:
+        """The table, or some parts of its current version, as stored: including its partition column."""
+        held = self.last.parts.get(table, [])
+        return self._load(table, self.last.versions.get(table, 0), held if parts is None else [p for p in held if p in parts])
 
     def read(self, table: str) -> DataFrame:
         return self.stored(table).select(*SCHEMAS[table].fieldNames())
@@ -152,25 +170,27 @@ class Snapshot:
 class Transaction(Snapshot):
     """Writes of one batch. Reads see the committed state; ``written`` reads what this transaction wrote."""
 
-    def __init__(self, tables: Tables, commits: list[Commit], feed: str, feed_batch: str):
-        super().__init__(tables, commits)
-        self.number = self.last.commit + 1
+    def __init__(self, tables: Tables, last: Commit, feed: str, feed_batch: str):
+        super().__init__(tables, last)
+        self.number = last.commit + 1
+        self.part = uuid.uuid4().int >> 65
         self.feed, self.feed_batch = feed, feed_batch
         self._wrote: list[str] = []
-        self._versions = dict(self.last.versions)
-        self._last_keys = dict(self.last.last_keys)
+        self._parts = {table: list(parts) for table, parts in last.parts.items()}
+        self._versions = dict(last.versions)
+        self._last_keys = dict(last.last_keys)
 
     def _write(self, table: str, df: DataFrame) -> None:
         df = df.select(*SCHEMAS[table].fieldNames())
-        path = f"{self.tables.folder(table, self._versions.get(table, 0))}/c={self.number}"
+        path = f"{self.tables.folder(table, self._versions.get(table, 0))}/c={self.part}"
         if table in PARTITIONED_BY_MONTH:
             # Rebalancing gathers each month into few files and splits a month too large for one task.
             df = df.withColumn(MONTH, month_of(F.col("sale_timestamp"))).hint("rebalance", MONTH)
             df.sortWithinPartitions(MONTH, "sale_timestamp").write.mode("overwrite").partitionBy(MONTH).parquet(path)
         else:
             df.write.mode("overwrite").parquet(path)
-        if table not in self._wrote:
-            self._wrote.append(table)
+        self._wrote.append(table)
+        self._parts.setdefault(table, []).append(self.part)
 
     def append(self, table: str, df: DataFrame) -> None:
         if table in self._wrote:
@@ -180,17 +200,17 @@ class Transaction(Snapshot):
     def replace(self, table: str, df: DataFrame) -> None:
         if table in self._wrote:
             raise ValueError(f"{table} is already written in commit {self.number}")
-        self._versions[table] = self.number
+        self._versions[table], self._parts[table] = self.number, []
         self._write(table, df)
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Write a working set and read it back: computed once, and not lost with an executor."""
-        path = f"{self.tables.root}/staging/{name}/c={self.number}"
+        path = f"{self.tables.root}/staging/{name}/c={self.part}"
         df.write.mode("overwrite").parquet(path)
         return self.tables.spark.read.schema(df.schema).parquet(path)
 
     def written(self, table: str) -> DataFrame:
-        part = self._load(table, self._versions.get(table, 0), [self.number])
+        part = self._load(table, self._versions.get(table, 0), [self.part])
         return part.select(*SCHEMAS[table].fieldNames())
 
     def count(self, table: str) -> int:
@@ -205,10 +225,15 @@ class Transaction(Snapshot):
     def commit(self, committed_at: datetime | None = None) -> Commit:
         made = replace(
             self.last, commit=self.number, feed=self.feed, feed_batch=self.feed_batch,
-            committed_at=committed_at or datetime.now(timezone.utc).replace(tzinfo=None),
-            wrote=tuple(self._wrote), versions=self._versions, last_keys=self._last_keys,
+            committed_at=committed_at or datetime.now(timezone.utc).replace(tzinfo=None), part=self.part,
+            wrote=tuple(self._wrote), parts=self._parts, versions=self._versions, last_keys=self._last_keys,
         )
         row = tuple(getattr(made, f) for f in COMMIT_SCHEMA.fieldNames())
         marker = self.tables.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
-        marker.write.mode("overwrite").parquet(f"{self.tables.commits_path}/n={self.number}")
+        try:
+            marker.write.mode("errorifexists").parquet(f"{self.tables.commits_path}/n={self.number}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise ConflictingCommit(f"commit {self.number} was made by another writer; begin again") from error
         return made

@@ -14,6 +14,7 @@ MATRIX = [
     ("timestamp", " 2026-09-05 09:00:00 ", datetime(2026, 9, 5, 9)),
     ("timestamp", "2026-09-05T09:00", datetime(2026, 9, 5, 9)),
     ("timestamp", "2026-09-05", datetime(2026, 9, 5)),
+    ("timestamp", "2026-09-05\n", None),
     ("timestamp", "2026-09-31 10:00:00", None),
     ("timestamp", "2026-13-45 08:00:00", None),
     ("timestamp", "09/12/2026 25:00", None),

@@ -55,8 +55,8 @@ def integer(c: str) -> str:
     return f"cast(try_cast({text(c)} AS decimal(38,0)) AS bigint)"
 
 
-def money(c: str) -> str:
-    return f"try_cast({text(c)} AS decimal(12,2))"
+def money(c: str, precision: int = 12) -> str:
+    return f"try_cast({text(c)} AS decimal({precision},2))"
 
 
 def email(c: str) -> str:

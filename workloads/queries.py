@@ -19,6 +19,7 @@ from ledgerline.operators.keys import assign_keys
 from ledgerline.plans import incremental
 from ledgerline.session import scratch_dir
 from ledgerline.sources import landing, raw as raw_layer
+from ledgerline.streaming import feeds
 from workloads import oracle, retail, warehouse
 from workloads.oracle import statement
 
@@ -124,9 +125,11 @@ def _natural(rows: DataFrame, customers: DataFrame, products: DataFrame, stores:
 
 @_query("fact_sales_initial")
 def fact_sales_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the load does it: the joined rows are written, then numbered."""
     dims = _initial_dims(spark, sf_dir)
-    sales = _silver(spark, sf_dir, "sales")
-    return _natural(fact.build_fact(sales, *dims), *dims).drop("version_start")
+    rows, path = fact.fact_rows(_silver(spark, sf_dir, "sales"), *dims), scratch_dir(spark, "fact_rows")
+    rows.write.parquet(path)
+    return _natural(fact.numbered(spark.read.schema(rows.schema).parquet(path)), *dims).drop("version_start")
 
 
 ORACLE["fact_sales_initial"] = _landed_sql("SELECT * FROM f_all")
@@ -153,9 +156,9 @@ for _entity in ENTITIES:
 
 
 _PARSED_TEXTS = {
-    "customers": ("email", "created_at", "updated_at"),
-    "products": ("unit_price", "updated_at", "is_active"),
-    "stores": ("opened_date",),
+    "customers": ("customer_id", "customer_name", "email", "phone", "region", "segment", "created_at", "updated_at"),
+    "products": ("product_id", "category", "unit_price", "created_at", "updated_at", "is_active"),
+    "stores": ("store_id", "state", "region", "store_type", "opened_date"),
     "sales": ("sale_timestamp", "quantity", "unit_price", "discount_amount", "payment_method"),
 }
 
@@ -165,23 +168,25 @@ _PARSED_TEXTS = {
     "SELECT value, count(*) AS occurrences, " + ", ".join(
         f"any_value({expr}) AS {name}" for name, expr in (
             ("as_text", oracle.text("value")), ("as_timestamp", oracle.stamp("value")), ("as_date", oracle.stamp("value", "date")),
-            ("as_integer", oracle.integer("value")), ("as_money", oracle.money("value")),
+            ("as_integer", oracle.integer("value")), ("as_money", oracle.money("value")), ("as_wide_money", oracle.money("value", 18)),
             ("as_boolean", oracle.flag("value")), ("is_email", oracle.email("value")),
         )
     ) + " FROM (" + " UNION ALL ".join(
-        f"SELECT {c} AS value FROM raw_{entity}" for entity, names in _PARSED_TEXTS.items() for c in names
+        f"SELECT unnest([{c}, {c} || chr(10)]) AS value FROM raw_{entity}" for entity, names in _PARSED_TEXTS.items() for c in names
     ) + ") GROUP BY value",
 )
 def parse_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text of the parsed columns through every parser, once per distinct text."""
+    """Every text of the parsed columns, as it is and with a final newline, through every parser, once per distinct text."""
     texts = None
     for entity, names in _PARSED_TEXTS.items():
-        column = _landed(spark, sf_dir, entity).select(F.explode(F.array(*names)).alias("value"))
+        column = _landed(spark, sf_dir, entity).select(
+            F.explode(F.array(*names, *(F.concat(n, F.lit("\n")) for n in names))).alias("value"))
         texts = column if texts is None else texts.unionByName(column)
     value = F.col("value")
     return texts.groupBy("value").agg(F.count(F.lit(1)).alias("occurrences")).select(
         "value", "occurrences", parse.text(value).alias("as_text"), parse.timestamp(value).alias("as_timestamp"),
         parse.date(value).alias("as_date"), parse.integer(value).alias("as_integer"), parse.money(value).alias("as_money"),
+        parse.money(value, 18).alias("as_wide_money"),
         parse.boolean(value).alias("as_boolean"), parse.is_email(value).alias("is_email"),
     )
 
@@ -269,9 +274,7 @@ def dim_store_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calendar of all days from the first to the last sale."""
-    shipped = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_shipdate").cast("date").alias("day"))
-    first, last = shipped.agg(F.min("day"), F.max("day")).first()
-    return dimensions.build_dim_date(spark, first, (last - first).days + 1)
+    return dimensions.build_dim_date(spark, *warehouse.calendar(spark, sf_dir))
 
 
 @_query(
@@ -442,7 +445,7 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     before = warehouse.state(spark, sf_dir)
     tables = before.tables
-    label = f"replay-{len(tables.commits())}"
+    label = f"replay-{tables.last().commit}"
     for entity, process in (
         ("customers", incremental.process_customers), ("products", incremental.process_products),
         ("sales", incremental.process_sales),
@@ -568,7 +571,7 @@ def check_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("REJECTED_RECORDS", "rejects_2"), ("DIM_CUSTOMER", "dim_customer_2"), ("DIM_PRODUCT", "dim_product_2"),
             ("DIM_STORE", "dim_store"), ("FACT_SALES", "fact_2"),
         )
-    ),
+    ) + " UNION ALL SELECT 'DIM_DATE', cast(max(l_shipdate) AS date) - cast(min(l_shipdate) AS date) + 1 FROM lineitem",
 )
 def check_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = warehouse.state(spark, sf_dir)
@@ -577,26 +580,42 @@ def check_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables |= {
         "REJECTED_RECORDS": state.read("silver/rejected_records"), "DIM_CUSTOMER": state.dim_customer(),
         "DIM_PRODUCT": state.read("gold/dim_product"), "DIM_STORE": state.read("gold/dim_store"),
-        "FACT_SALES": state.read("gold/fact_sales"),
+        "FACT_SALES": state.read("gold/fact_sales"), "DIM_DATE": state.read("gold/dim_date"),
     }
     return checks.table_counts(tables)
 
 
 @_query(
     "check_scd2_current",
-    """SELECT customer_id, count(*) FILTER (is_current) AS current_rows FROM dim_customer_2 GROUP BY 1
-       HAVING count(*) FILTER (is_current) > 1""",
+    """SELECT customer_id, cast(2 AS bigint) AS current_rows FROM dim_customer_2 WHERE is_current AND segment = 'VIP'""",
 )
 def check_scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.multiple_current_versions(warehouse.state(spark, sf_dir).dim_customer())
+    """On a dimension in which a fault opened every VIP twice; the loaded dimension by itself has no such customer."""
+    dim = warehouse.state(spark, sf_dir).dim_customer()
+    return checks.multiple_current_versions(dim.unionByName(dim.filter("is_current AND segment = 'VIP'")))
 
 
 @_query(
     "check_fact_orphans",
-    """SELECT * FROM (VALUES ('customer_key', cast(0 AS bigint)), ('product_key', 0), ('store_key', 0)) t(dimension, orphans)
-       UNION ALL SELECT 'date_key', count(*) FROM fact_2 WHERE date_key NOT BETWEEN 20250101 AND 20271231""",
+    """SELECT 'customer_key' AS dimension, count(*) FILTER (NOT c.is_current) AS orphans FROM fact_2 f JOIN dim_customer_2 c
+         ON c.customer_id = f.customer_id AND c.effective_start_date = f.version_start
+       UNION ALL SELECT 'product_key', count(*) FROM fact_2 f JOIN dim_product_2 p USING (product_id) WHERE p.category = 'PROMO'
+       UNION ALL SELECT 'store_key', count(*) FROM fact_2 f JOIN dim_store t USING (store_id) WHERE t.region = 'ASIA'
+       UNION ALL SELECT 'date_key', count(*) FROM fact_2 WHERE date_key >= 19990101""",
 )
 def check_fact_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On dimensions that lost closed versions, promotional products, the stores of a region and all days from 1999 on."""
+    state = warehouse.state(spark, sf_dir)
+    return checks.fact_orphans(
+        state.read("gold/fact_sales"), state.dim_customer().filter("is_current"),
+        state.read("gold/dim_product").filter("category IS NULL OR category <> 'PROMO'"),
+        state.read("gold/dim_store").filter("region IS NULL OR region <> 'ASIA'"), state.read("gold/dim_date").filter("date_key < 19990101"),
+    )
+
+
+@_query("check_no_orphans", "SELECT dimension, cast(0 AS bigint) AS orphans FROM (VALUES ('customer_key'), ('product_key'), ('store_key'), ('date_key')) t(dimension)")
+def check_no_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables as loaded."""
     state = warehouse.state(spark, sf_dir)
     return checks.fact_orphans(
         state.read("gold/fact_sales"), state.dim_customer(), state.read("gold/dim_product"), state.read("gold/dim_store"),
@@ -607,28 +626,31 @@ def check_fact_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(
     "check_undated_facts",
     """SELECT date_key, cast(sale_timestamp AS date) AS full_date, count(*) AS fact_rows FROM fact_2
-       WHERE date_key NOT BETWEEN 20250101 AND 20271231 GROUP BY 1, 2""",
+       WHERE date_key % 100 = 31 GROUP BY 1, 2""",
 )
 def check_undated_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On a calendar without the 31st of any month; the loaded one covers all sales (``check_no_orphans``)."""
     state = warehouse.state(spark, sf_dir)
-    return checks.undated_facts(state.read("gold/fact_sales"), state.read("gold/dim_date"))
+    return checks.undated_facts(state.read("gold/fact_sales"), state.read("gold/dim_date").filter("day <> 31"))
 
 
 @_query(
     "check_duplicate_keys",
     " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, {key} AS business_key, count(*) AS row_count FROM {part} GROUP BY 2 HAVING count(*) > 1"
+        f"SELECT '{name}' AS table_name, {key} AS business_key, cast(2 AS bigint) AS row_count FROM {part} WHERE right({key}, 1) = '7'"
         for name, part, key in (
             *((e, p, schemas.KEYS[e]) for e, p in _SILVER_PARTS.items()), ("fact_sales", "fact_2", "sale_id"),
         )
     ),
 )
 def check_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On tables into which a fault wrote the keys that end in 7 twice; the loaded tables have no repeated key."""
     state = warehouse.state(spark, sf_dir)
     sides = [(e, state.read(f"silver/{e}"), schemas.KEYS[e]) for e in ENTITIES]
     sides.append(("fact_sales", state.read("gold/fact_sales"), "sale_id"))
     found = [
-        checks.duplicate_keys(df, key).select(F.lit(name).alias("table_name"), F.col(key).alias("business_key"), "row_count")
+        checks.duplicate_keys(df.unionByName(df.filter(F.col(key).endswith("7"))), key)
+        .select(F.lit(name).alias("table_name"), F.col(key).alias("business_key"), "row_count")
         for name, df, key in sides
     ]
     return checks.stack(found)
@@ -699,11 +721,53 @@ def checkpoint_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("PRODUCT", "PROCESS_PRODUCT_INCREMENTAL", "products", ("rejects_products",), "product_changes"),
             ("SALES", "PROCESS_SALES_INCREMENTAL", "sales", ("rejects_sales", "duplicate_sales"), "new_sales"),
         )
-    ),
+    ) + """ UNION ALL SELECT 'BATCH_02', 'CUSTOMER', 'PROCESS_CUSTOMER_INCREMENTAL', 'FAILED',
+        (SELECT count(*) FROM raw_customers WHERE _batch_id = 'BATCH_02'), 0, 0, 'broken file'""",
 )
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = audit.latest_runs(audit.run_log(warehouse.state(spark, sf_dir).read("control/run_events")))
-    return runs.drop("run_id", "started_at", "completed_at")
+    """All runs of the batches, the one that was made to fail included; replays by other queries are left out by their feed."""
+    tables = warehouse.built(spark, sf_dir)
+    until = F.lit(retail.LOADED_AT["BATCH_02"]).cast("timestamp_ntz")
+    events = incremental.run_events(tables).filter(F.col("event_at") <= until)
+    message = F.when(F.col("error_message").contains("broken file"), "broken file").otherwise(F.col("error_message"))
+    return audit.latest_runs(audit.run_log(events)).withColumn("error_message", message).drop("run_id", "started_at", "completed_at")
+
+
+@_query("stream_customer_feed", f"SELECT {', '.join(_VERSIONS)} FROM dim_customer_2")
+def stream_customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension after its feed has run once more on a trigger: nothing new, nothing changed."""
+    tables = warehouse.built(spark, sf_dir)
+    feeds.start(tables, "customers", availableNow=True).awaitTermination()
+    return tables.snapshot().dim_customer().select(*_VERSIONS)
+
+
+@_query("stream_sales_feed", "SELECT * FROM fact_2")
+def stream_sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after the sales feed has run once more on a trigger."""
+    tables = warehouse.built(spark, sf_dir)
+    feeds.start(tables, "sales", availableNow=True).awaitTermination()
+    state = tables.snapshot()
+    return _natural(state.read("gold/fact_sales"), state.dim_customer(), state.read("gold/dim_product"), state.read("gold/dim_store"))
+
+
+@_query(
+    "feed_batch_in_pieces",
+    """SELECT 'silver' AS layer, sale_id AS business_key, quantity, cast(NULL AS varchar) AS reason, cast(NULL AS varchar) AS raw_record
+         FROM sales_1
+       UNION ALL SELECT 'fact', sale_id, quantity, NULL, NULL FROM fact_1
+       UNION ALL SELECT 'rejects', business_key, NULL, rejection_reason, raw_record FROM rejects_1""",
+)
+def feed_batch_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of sales that landed over several triggers ends like one that landed at once."""
+    state = warehouse.in_pieces(spark, sf_dir).snapshot()
+    none, rejects = F.lit(None).cast("string"), _rejects_out(state.read("silver/rejected_records"))
+
+    def sold(layer: str, df: DataFrame) -> DataFrame:
+        return df.select(F.lit(layer).alias("layer"), F.col("sale_id").alias("business_key"), "quantity", none.alias("reason"), none.alias("raw_record"))
+
+    return sold("silver", state.read("silver/sales")).union(sold("fact", state.read("gold/fact_sales"))).union(
+        rejects.select(F.lit("rejects"), "business_key", F.lit(None).cast("long"), "rejection_reason", "raw_record")
+    )
 
 
 @_query(

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Callable
+from datetime import date, datetime
 from functools import partial
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from ledgerline.plans.incremental import process_customers
 from ledgerline.plans.initial_load import run_initial_load
 from ledgerline.session import scratch_dir, together
-from ledgerline.sources.raw import append_raw
+from ledgerline.sources.raw import append_raw, complete_batch, read_raw
 from ledgerline.streaming.feeds import run_available
 from ledgerline.streaming.refresh import refresh_daily_summary
 from ledgerline.streaming.tables import Snapshot, Tables
 from workloads import retail
 
-_built: dict[tuple[str, str], Tables] = {}
+_built: dict[tuple[str, str, str], Tables] = {}
 
 
 def _land(tables: Tables, sf_dir: str, batch_id: str, *entities: str) -> None:
@@ -25,10 +29,18 @@ def _land(tables: Tables, sf_dir: str, batch_id: str, *entities: str) -> None:
     together(*(partial(land, entity) for entity in entities))
 
 
+def calendar(spark: SparkSession, sf_dir: str) -> tuple[date, int]:
+    """First day and number of days that sales fall on."""
+    shipped = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_shipdate").cast("date").alias("day"))
+    first, last = shipped.agg(F.min("day"), F.max("day")).first()
+    return first, (last - first).days + 1
+
+
 def load_initial(spark: SparkSession, sf_dir: str) -> Tables:
     tables = Tables(spark, scratch_dir(spark, "warehouse"))
     _land(tables, sf_dir, "INITIAL", *retail.RAW_SQL)
-    run_initial_load(tables, now=retail.LOADED_AT["INITIAL"])
+    first, days = calendar(spark, sf_dir)
+    run_initial_load(tables, now=retail.LOADED_AT["INITIAL"], calendar_start=first, calendar_days=days)
     refresh_daily_summary(tables, retail.LOADED_AT["INITIAL"])
     return tables
 
@@ -41,28 +53,60 @@ def load_batch(tables: Tables, sf_dir: str, batch_id: str) -> None:
     refresh_daily_summary(tables, now)
 
 
+def fail_batch(tables: Tables, batch_id: str) -> None:
+    """A customer run that breaks while it reads: it must leave a FAILED event and nothing else."""
+    rows = read_raw(tables.spark, tables.root, "customers", batch_id).withColumn("email", F.raise_error(F.lit("broken file")))
+    try:
+        process_customers(tables, rows, "planted_failure", batch_id, lambda: retail.LOADED_AT[batch_id])
+    except PySparkException:
+        return
+    raise AssertionError("the planted failure did not fail")
+
+
 def load_all(spark: SparkSession, sf_dir: str) -> Tables:
     tables = load_initial(spark, sf_dir)
     for batch_id in retail.BATCHES[1:]:
         load_batch(tables, sf_dir, batch_id)
+    fail_batch(tables, retail.BATCHES[-1])
+    return tables
+
+
+def load_in_pieces(spark: SparkSession, sf_dir: str) -> Tables:
+    """The first batch of sales lands in three appends, and the feeds run after each; it is complete with the last."""
+    tables, batch_id = load_initial(spark, sf_dir), retail.BATCHES[1]
+    now = retail.LOADED_AT[batch_id]
+    _land(tables, sf_dir, batch_id, "customers", "products")
+    rows = retail.raw(spark, sf_dir, "sales", batch_id)
+    for piece in range(3):
+        append_raw(rows.filter(F.pmod("_row_number", F.lit(3)) == piece), tables.root, "sales", complete=False)
+        run_available(tables, clock=lambda: now)
+    complete_batch(spark, tables.root, "sales", batch_id)
+    run_available(tables, clock=lambda: now)
     return tables
 
 
 def built(spark: SparkSession, sf_dir: str) -> Tables:
     """The loaded tables, built once per application: reports and checks read them as they would in production."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    return _once(spark, sf_dir, load_all)
+
+
+def in_pieces(spark: SparkSession, sf_dir: str) -> Tables:
+    return _once(spark, sf_dir, load_in_pieces)
+
+
+def _once(spark: SparkSession, sf_dir: str, load: Callable[[SparkSession, str], Tables]) -> Tables:
+    key = (spark.sparkContext.applicationId, sf_dir, load.__name__)
     if key not in _built:
-        _built[key] = load_all(spark, sf_dir)
+        _built[key] = load(spark, sf_dir)
     return _built[key]
 
 
 def use(spark: SparkSession, sf_dir: str, tables: Tables) -> None:
     """Let reports read tables already loaded."""
-    _built[(spark.sparkContext.applicationId, sf_dir)] = tables
+    _built[(spark.sparkContext.applicationId, sf_dir, load_all.__name__)] = tables
 
 
 def state(spark: SparkSession, sf_dir: str, batch_id: str = "BATCH_02") -> Snapshot:
     """The tables as they were after ``batch_id``."""
     tables = built(spark, sf_dir)
-    upto = max(c.commit for c in tables.commits() if c.committed_at <= retail.LOADED_AT[batch_id])
-    return tables.snapshot(upto)
+    return tables.snapshot(until=retail.LOADED_AT[batch_id])
