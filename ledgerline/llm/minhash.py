@@ -231,7 +231,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     drawn = saved(sketches(docs, k), "sketches")
     alone = "doc_id IS NULL OR n_shingles = 0"
     taking_part = drawn.where(f"NOT ({alone})")
-    first = taking_part.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
+    # written, so that the joins below have shuffles of their own, whose hot keys Spark can split
+    first = saved(taking_part.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "first")
     classes = saved(taking_part.select("doc_id", "n_shingles", "f1", "f2").join(first, ["f1", "f2"]), "classes")
     # one row for each class (repeated rows: one for each of them, which meet nothing new)
     reps = drawn.where(f"NOT ({alone})").join(first, ["f1", "f2"]).where("doc_id = rep").select("doc_id", "bands")

@@ -155,7 +155,8 @@ def repeated_passages(docs: DataFrame, counts: DataFrame, window: int = 50) -> D
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), "text")
     long_enough = counts.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
     # an exact copy of a whole document loses all its words; the first of the copies stands for them
-    firsts = long_enough.groupBy("f1", "f2").agg(F.min("doc_id").alias("first"))
+    # (written, so that the join has shuffles of its own, whose hot keys Spark can split)
+    firsts = saved(long_enough.groupBy("f1", "f2").agg(F.min("doc_id").alias("first")), "firsts")
     one_text = long_enough.groupBy("doc_id").agg(F.min("row_key").alias("row_key"))
     copies = saved(
         long_enough.join(firsts, ["f1", "f2"]).where("doc_id > first").select("doc_id", "row_key", "n_words").distinct()
