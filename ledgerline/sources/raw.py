@@ -74,3 +74,8 @@ def load_history(raw: DataFrame, since: Column | None = None) -> DataFrame:
         F.max("_loaded_at").alias("last_load_time"),
     )
     return loads.orderBy(F.desc("last_load_time"), "_source_file")
+
+
+def inserted(changes: DataFrame, action: str = "_action") -> DataFrame:
+    """The rows of a change feed that were inserted; a feed without an action column holds nothing else."""
+    return changes.filter(F.col(action) == "INSERT").drop(action) if action in changes.columns else changes

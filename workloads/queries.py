@@ -787,13 +787,15 @@ def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- CSV landing --------------------------------------------------------------------------------------------------
 
 
+_CSV = {"header": "true", "nullValue": "NULL", "emptyValue": '""', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false"}
+
+
 def _landing(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
     """All raw sales written as landing files."""
     path = scratch_dir(spark, "landing")
     texts = _landed(spark, sf_dir, "sales").select(*schemas.BUSINESS_COLUMNS["sales"])
-    options = {"header": "true", "nullValue": "NULL", "emptyValue": '""', "escape": '"', "compression": compression,
-               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    texts.write.options(**options).csv(path)
+    texts.write.options(**_CSV, compression=compression).csv(path)
     return path
 
 
@@ -830,6 +832,44 @@ def csv_row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query("landing_files")
+def _land_all(spark: SparkSession, sf_dir: str, *entities: str) -> str:
+    """All raw rows of the entities as landing files, one folder per entity and batch."""
+    path = scratch_dir(spark, "landing")
+    for entity in entities:
+        texts = _landed(spark, sf_dir, entity).select(*schemas.BUSINESS_COLUMNS[entity], "_batch_id")
+        texts.write.options(**_CSV).partitionBy("_batch_id").csv(f"{path}/{entity}")
+    return path
+
+
+for _entity in ("customers", "products", "stores"):
+
+    @_query(f"ingest_{_entity}", f"SELECT {oracle.columns(_entity)}, _batch_id, '{_entity}' AS folder FROM raw_{_entity}")
+    def _ingest(spark: SparkSession, sf_dir: str, entity: str = _entity) -> DataFrame:
+        """One entity through landing files and back, batch by batch, with the batch and the folder each row came from."""
+        path = _land_all(spark, sf_dir, entity)
+        present = _landed(spark, sf_dir, entity).select("_batch_id").distinct().collect()  # three at most
+        loaded = [
+            landing.ingest_csv(spark, f"{path}/{entity}/_batch_id={b}", entity, b, _now(), "*.csv") for b in sorted(r[0] for r in present)
+        ]
+        folder = F.regexp_extract("_source_file", "/([a-z]+)/_batch_id=[^/]+/[^/]+$", 1).alias("folder")
+        return checks.stack(loaded).select(*schemas.BUSINESS_COLUMNS[entity], "_batch_id", folder)
+
+
+@_query("landing_files", " UNION ".join(f"SELECT '{e}' AS entity, _batch_id AS batch_id FROM raw_{e}" for e in ENTITIES))
 def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.list_landing(spark, _landing(spark, sf_dir), "*.csv")
+    """The entities and batches of which files lie in the landing."""
+    files = landing.list_landing(spark, _land_all(spark, sf_dir, *ENTITIES), "*.csv")
+    shape = "/([a-z]+)/_batch_id=([^/]+)/[^/]+$"
+    return files.filter("length > 0").select(
+        F.regexp_extract("path", shape, 1).alias("entity"), F.regexp_extract("path", shape, 2).alias("batch_id")
+    ).distinct()
+
+
+@_query(
+    "feed_inserts_only",
+    "SELECT sale_id, quantity FROM raw_sales WHERE _batch_id = 'BATCH_01'",
+)
+def feed_inserts_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change feed with an action column: only what was inserted goes on."""
+    action = F.when(F.col("_batch_id") == "BATCH_01", "INSERT").when(F.col("_batch_id") == "INITIAL", "DELETE")
+    return raw_layer.inserted(_landed(spark, sf_dir, "sales").withColumn("_action", action)).select("sale_id", "quantity")
