@@ -14,7 +14,9 @@ from ledgerline.llm.minhash import near_duplicates
 from ledgerline.llm.native import LOWER, UPPER, on_row
 from ledgerline.llm.passages import repeated_passages, word_counts
 from ledgerline.llm.pieces import encode_texts
-from ledgerline.llm.secrets import BASE, all_spans, secret_spans, span_list
+from ledgerline.llm.secrets import BASE, REACH, WEAK, all_spans, secret_spans, span_list
+
+ALL_KINDS = BASE | WEAK
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -239,3 +241,37 @@ SELECT doc_id, slot, name AS shard
 FROM (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {sharding.SLOTS} AS slot FROM documents)
 JOIN claimed USING (slot) JOIN shards USING (i)
 """
+
+
+def _scan_sql(kind: str, pattern: str, group: int, least: int) -> str:
+    """Matches of one pattern with their places: pieces and matches alternate."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, text, '{kind}' AS kind, {list(ALL_KINDS).index(kind)} AS place, g[i] AS hit,
+      (list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS a,
+      length(m[i]) AS n FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+        SELECT doc_id, text, regexp_extract_all(text, '{quoted}') AS m, regexp_extract_all(text, '{quoted}', {group}) AS g,
+          string_split_regex(text, '{quoted}') AS p FROM t)) WHERE length(g[i]) >= {least}"""
+
+
+_near = "b.doc_id = w.doc_id AND b.a < w.b + {r} AND b.b > w.a - {r}"
+ORACLE["op9_secret_scan"] = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+parts AS (SELECT doc_id, kind, place, a, a + n AS b FROM ({" UNION ALL ".join(_scan_sql(k, *v) for k, v in ALL_KINDS.items())})
+  WHERE kind <> 'opaque' OR (regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]'))),
+base AS (SELECT * FROM parts WHERE place < 3),
+loose AS (SELECT * FROM parts w WHERE place >= 3 AND NOT EXISTS (SELECT 1 FROM base b WHERE {_near.format(r=0)})),
+ids AS (SELECT * FROM base WHERE kind = 'access' UNION ALL SELECT * FROM loose WHERE kind = 'login'),
+secrets AS (SELECT * FROM base WHERE kind <> 'access' UNION ALL SELECT * FROM loose WHERE kind = 'opaque'),
+linked AS (
+  SELECT * FROM loose w WHERE (kind = 'opaque' OR EXISTS (SELECT 1 FROM secrets b WHERE {_near.format(r=REACH)}))
+    AND (kind = 'login' OR EXISTS (SELECT 1 FROM ids b WHERE {_near.format(r=REACH)}))
+), lists AS (
+  SELECT doc_id, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place) FILTER (place < 3) AS base,
+    string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place) AS every,
+    count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM linked) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM t LEFT JOIN lists USING (doc_id)
+"""
