@@ -40,6 +40,7 @@ class Run:
         return (self.run_id, self.batch_id, self.entity, self.process_name, at, RUNNING, self.read, 0, 0, None)
 
     def summary(self) -> str:
+        # Fixed value: the wording of the summary.
         return (
             f"{self.entity}_INCREMENTAL_COMPLETED: {self.run_id} | READ={self.read}"
             f" | REJECTED={self.rejected} | WRITTEN={self.written}"

@@ -35,6 +35,9 @@ def _not_positive(name: str) -> Column:
     return _not(F.col(name) > 0)
 
 
+# The reason codes below, in the order in which they are tried.
+
+
 def _customers_initial() -> Rules:
     return [
         ("MISSING_CUSTOMER_ID", _absent("customer_id")),

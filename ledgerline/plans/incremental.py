@@ -160,6 +160,9 @@ def run_events(tables: Tables) -> DataFrame:
     return tables.snapshot().read("control/run_events").unionByName(failed.select(*schemas.RUN_EVENTS.fieldNames()))
 
 
+# The process names below.
+
+
 def process_customers(
     tables: Tables, batch: DataFrame, feed: str, feed_batch: str, clock: Clock = utc_now, ignore_stale: bool = False
 ) -> str | None:

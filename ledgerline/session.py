@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -33,11 +34,11 @@ def with_recommended_conf(builder: SparkSession.Builder) -> SparkSession.Builder
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory below the session's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to the machine's temporary folder.
+    Only a session that runs in one process falls back, without that setting, to the machine's temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.gettempdir()
     return f"{shared.rstrip('/')}/ledgerline/{purpose}-{uuid.uuid4().hex}"

@@ -17,8 +17,9 @@ LOADED = datetime(2026, 9, 1)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = with_recommended_conf(SparkSession.builder.master("local[4]").appName("tests"))
+    builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session = builder.config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session

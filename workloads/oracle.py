@@ -32,6 +32,7 @@ def statement(body: str) -> str:
 
 # --- raw, typed and assessed rows ---------------------------------------------------------------------------------
 
+# Accepted shapes, words, reason codes and their order, entity tags, sentinels of inferred members.
 _SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?$"
 _EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 
@@ -87,6 +88,7 @@ _TYPED = {
 }
 
 _BAD_MAIL = f"NOT {email('email')}"
+# The reason codes, in the order in which they are tried.
 _REASONS = {
     "customers": {
         "initial": """CASE WHEN customer_id IS NULL THEN 'MISSING_CUSTOMER_ID' WHEN customer_name IS NULL THEN 'MISSING_CUSTOMER_NAME'
