@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import slices, small_batches
+from ledgerline.llm.common import prepare, slices
 from ledgerline.llm.pieces import ragged
 
 START, MIDDLE, END = b"<|im_start|>", b"<|im_sep|>", b"<|im_end|>"
@@ -136,7 +136,7 @@ def format_chat(turns: DataFrame) -> DataFrame:
     empty. Turns without a conversation id make up one conversation without an id; repeated turns are all kept. Only a role that
     is exactly ``assistant`` is under the loss mask.
     """
-    small_batches(turns.sparkSession)
+    prepare(turns.sparkSession)
     blank = F.lit("")
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
@@ -185,6 +185,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_back(parts: DataFrame) -> DataFrame:
     """What the formatted parts say of each conversation: turns, digest of roles and texts, text under the loss mask, length."""
+    prepare(parts.sparkSession)
     dealt = parts.repartition("conv_id").sortWithinPartitions("conv_id", *_ORDER)
     return dealt.select("conv_id", "formatted", "loss").mapInArrow(
         _read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

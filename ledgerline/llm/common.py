@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,14 +13,23 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_dir
 
+#: The folder this library was imported from.
+LIBRARY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows an Arrow batch may hold, and bytes of text that one step of vectorised work takes at a time.
 BATCH_ROWS = 512
 SLICE_BYTES = 1 << 21
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small enough for whole texts, in this session."""
+def prepare(spark: SparkSession) -> None:
+    """Keep Arrow batches small enough for whole texts, and let workers find this library where the driver found it.
+
+    On a cluster whose machines do not have it there, it comes with the job as usual (``--py-files``).
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if LIBRARY not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, LIBRARY])
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import by_slices, saved, slices, small_batches, texts
+from ledgerline.llm.common import by_slices, prepare, saved, slices, texts
 
 #: Words and n-grams of each length that a model holds, longest n-gram, smoothing, words a task keeps at a time.
 WORDS, GRAMS, LONGEST, SMOOTHING, KEPT = 100_000, 40_000, 4, 0.5, 300_000
@@ -124,7 +124,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> LanguageModel:
     """A model of all rows with a ``lang`` and an id that is not held out; null texts have no words."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("lang", "text")
     counts = saved(known.mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     languages = sorted(r.lang for r in known.select("lang").distinct().collect())  # as many as there are languages
@@ -163,7 +163,7 @@ def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
     ``und`` with score 0 for null texts, texts without a letter, and if nothing was learned; of equal languages the first by
     name. Only ``text`` is looked at. Columns already called so are replaced; all others and repeated rows stay.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

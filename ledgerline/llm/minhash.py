@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import by_slices, saved, small_batches, texts
+from ledgerline.llm.common import by_slices, prepare, saved, texts
 from ledgerline.llm.components import connected_components
 from ledgerline.llm.meeting import groups_for, meeting_keys
 from ledgerline.llm.shingles import WordHashes, mix, shingle_set
@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     component and is kept. Repeated rows give repeated rows. If an id comes with several texts, each is grouped with its own exact
     copies, and one of them (the smallest set) stands for the id in near links.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     drawn = saved(sketches(docs, k), "sketches")
     alone = "doc_id IS NULL OR n_shingles = 0"

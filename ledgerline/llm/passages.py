@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import by_slices, row_key, saved, small_batches, texts
+from ledgerline.llm.common import by_slices, prepare, row_key, saved, texts
 from ledgerline.llm.meeting import groups_for, places_by_document
 from ledgerline.llm.native import keyed, on_row, unpacked
 from ledgerline.llm.shingles import WordHashes, mix
@@ -64,7 +64,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     ``words_sha256`` is the digest of all words joined by one space, ``f1, f2`` a fingerprint of the same.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         split = [text.split() for text in texts(batch, "text")]
@@ -151,7 +151,7 @@ def repeated_passages(docs: DataFrame, counts: DataFrame, window: int = 50) -> D
     Null and blank texts have no words. Rows without an id take no part. If an id comes with several texts, the one with the
     smallest key takes part; repeated rows are one document, returned once.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), "text")
     long_enough = counts.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
     # an exact copy of a whole document loses all its words; the first of the copies stands for them

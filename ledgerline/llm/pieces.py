@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import by_slices, small_batches, texts
+from ledgerline.llm.common import by_slices, prepare, texts
 
 SPACE = "▁"
 #: Distinct segments whose ids a task keeps at a time.
@@ -315,7 +315,7 @@ def encode_texts(df: DataFrame, model_file: str, text: str = "text", ids: str =
     A null or empty text has no ids and decodes to the empty text. Columns already called so are replaced; all other columns
     and repeated rows stay. No begin or end ids, no sampling.
     """
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     pieces = Pieces(model_file)
     df = df.drop(ids, *([decoded] if decoded else []))
 
@@ -330,7 +330,7 @@ def encode_texts(df: DataFrame, model_file: str, text: str = "text", ids: str =
 
 def decode_ids(df: DataFrame, model_file: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``df`` with the text of each row's ``ids`` in ``text``; null or no ids are the empty text."""
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     pieces = Pieces(model_file)
     df = df.drop(text).withColumn(ids, F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>")))
 

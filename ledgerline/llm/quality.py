@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import by_slices, small_batches, texts
+from ledgerline.llm.common import by_slices, prepare, texts
 from ledgerline.llm.native import fresh
 from ledgerline.llm.shingles import WordHashes
 
@@ -129,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     An id with several labels has their largest; an id with several texts is used with each of them.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality")
     # a random subset by hash, then the rows that hash lowest: at most sample_rows
     drawn = (
@@ -161,7 +161,7 @@ def scored(docs: DataFrame, model: FactorisationMachine, score: str = "score") -
 
     Uses ``text`` and, if there is one, ``n_chars``. Other columns and repeated rows stay; a column called ``score`` is replaced.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.drop(score)
     recorded = fresh("recorded", docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)

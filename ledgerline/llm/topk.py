@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import saved
+from ledgerline.llm.common import prepare, saved
 
 #: Candidates and queries of a tile, candidates and queries looked at together, dimensions of a block.
 CANDIDATES, QUERIES, PANEL, GROUP, BLOCK = 16_384, 4_096, 2_048, 64, 16
@@ -103,6 +103,7 @@ def top_k(df: DataFrame, is_query, k: int = 10, vector: str = "embedding") -> Da
     Every vector meets every query once: tiles are (block of candidates, block of queries), blocks are dealt by hash of the id
     and their number follows the counts, so a tile's size does not grow with the table.
     """
+    prepare(df.sparkSession)
     vectors = saved(integer_vectors(df, vector), "vectors")
     total, asked = vectors.count(), vectors.where(is_query).count()
     columns, rows = total // CANDIDATES + 1, asked // QUERIES + 1
