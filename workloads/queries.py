@@ -849,7 +849,8 @@ for _entity in ("customers", "products", "stores"):
         path = _land_all(spark, sf_dir, entity)
         present = _landed(spark, sf_dir, entity).select("_batch_id").distinct().collect()  # three at most
         loaded = [
-            landing.ingest_csv(spark, f"{path}/{entity}/_batch_id={b}", entity, b, _now(), "*.csv") for b in sorted(r[0] for r in present)
+            landing.ingest_csv(spark, f"{path}/{entity}/_batch_id={b}", entity, b, _now(), "*.csv", multiline=True)
+            for b in sorted(r[0] for r in present)
         ]
         folder = F.regexp_extract("_source_file", "/([a-z]+)/_batch_id=[^/]+/[^/]+$", 1).alias("folder")
         return checks.stack(loaded).select(*schemas.BUSINESS_COLUMNS[entity], "_batch_id", folder)

@@ -2,7 +2,8 @@
 
 Each text below derives one raw entity from whole tables: typed columns become text, batches follow from dates and
 market segments, and dirt sits where prices and balances fall into given ranges. The texts are portable SQL, run by
-Spark here and by the SQL check on the other side, so that both start from the same raw rows.
+Spark here and by the SQL check on the other side, so that both start from the same raw rows. Some sales are loaded twice, as by a
+forced reload a day later, and some texts end in a line break.
 
 Batches: ``INITIAL``, ``BATCH_01``, ``BATCH_02``. Customers of the FURNITURE segment and parts of type PROMO arrive with
 BATCH_02 only, after sales that refer to them.
@@ -52,12 +53,14 @@ profile AS (
          CASE WHEN o_totalprice >= 5000 AND o_totalprice < 10000 THEN '   ' ELSE c_name END AS customer_name,
          CASE WHEN o_totalprice >= 10000 AND o_totalprice < 15000 THEN 'customer@@example.com'
               WHEN o_totalprice >= 15000 AND o_totalprice < 20000 THEN ''
+              WHEN o_totalprice >= 30000 AND o_totalprice < 35000 THEN 'customer@example.com' || chr(10)
               WHEN o_orderpriority = '1-URGENT' THEN 'customer' || cast(c_custkey AS string) || '@priority.example.com'
               ELSE 'customer' || cast(c_custkey AS string) || '@example.com' END AS email,
          coalesce(phone, '') AS phone, region,
          CASE o_orderstatus WHEN 'F' THEN c_mktsegment WHEN 'O' THEN 'premium' ELSE 'vip' END AS segment,
          CASE WHEN o_totalprice >= 20000 AND o_totalprice < 25000 THEN '1994-13-01 00:00:00' ELSE created_at END AS created_at,
          CASE WHEN o_totalprice >= 25000 AND o_totalprice < 30000 THEN '2026'
+              WHEN o_totalprice >= 35000 AND o_totalprice < 40000 THEN cast(o_orderdate AS string) || chr(10)
               ELSE cast(o_orderdate AS string) END AS updated_at,
          CASE WHEN c_mktsegment = 'FURNITURE' OR o_orderdate >= timestamp '1999-07-01 00:00:00' THEN 'BATCH_02'
               ELSE 'BATCH_01' END AS _batch_id,
@@ -139,12 +142,14 @@ WITH rows_all AS (
               WHEN l_linestatus = 'F' THEN 'UPI' ELSE ' wallet ' END AS payment_method,
          CASE WHEN l_shipdate < timestamp '1998-01-01 00:00:00' THEN 'INITIAL'
               WHEN l_shipdate < timestamp '2000-01-01 00:00:00' THEN 'BATCH_01' ELSE 'BATCH_02' END AS _batch_id,
-         l_partkey + 1 AS _row_number
+         l_partkey + 1 AS _row_number, l_quantity
   FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-)
+),
+reloaded AS (SELECT *, false AS again FROM rows_all UNION ALL SELECT *, true FROM rows_all WHERE l_quantity = 3)
 SELECT sale_id, sale_timestamp, customer_id, product_id, store_id, quantity, unit_price, discount_amount, payment_method,
-       'sales_' || lower(_batch_id) || '.csv' AS _source_file, """ + _LOADED + """ AS _loaded_at, _batch_id, _row_number
-FROM rows_all
+       'sales_' || lower(_batch_id) || '.csv' AS _source_file,
+       CASE WHEN again THEN """ + _LOADED + """ + INTERVAL '1' DAY ELSE """ + _LOADED + """ END AS _loaded_at, _batch_id, _row_number
+FROM reloaded
 """
 
 RAW_SQL = {"customers": CUSTOMERS, "products": PRODUCTS, "stores": STORES, "sales": SALES}
