@@ -49,3 +49,19 @@ def test_stages_keep_columns_and_do_their_work(spark):
             assert all(r.n_chars == len(r.text) for r in kept.values())
             assert all(("[SECRET]" in kept[i].text) == bool(base(r.text)) for i, r in had.items())
         before = after
+
+
+def test_stages_take_odd_and_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = spark.createDataFrame(
+        [(None, None, None, None, None), (None, "some plain words of a text", "en", "s", 26), (-5, None, "en", "s", 0), (-6, "", None, None, None),
+         (-7, "a repeated row with password=hunter22 in it", "en", "s", 43), (-7, "a repeated row with password=hunter22 in it", "en", "s", 43)],
+        docs.schema,
+    )
+    for table in (docs.limit(0), odd, docs.limit(30).union(odd)):
+        before = table
+        for name, stage in corpus_pipeline.STAGES:
+            before = corpus_pipeline.saved(stage(spark, before, SF), "odd")
+            assert before.columns[: len(docs.columns)] == docs.columns
+        assert before.count() <= table.count()
+        assert not before.where("text LIKE '%hunter22%'").count()
