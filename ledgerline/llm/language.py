@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import by_slices, prepare, saved, slices, texts
 
 #: Words and n-grams of each length that a model holds, longest n-gram, smoothing, words a task keeps at a time.
-WORDS, GRAMS, LONGEST, SMOOTHING, KEPT = 100_000, 40_000, 4, 0.5, 300_000
+WORDS, GRAMS, LONGEST, SMOOTHING, KEPT = 100_000, 40_000, 4, 0.5, 100_000
 UNKNOWN = "und"
 
 _runs = re.compile(r"[^\W\d_]+").findall
@@ -51,19 +52,26 @@ class LanguageModel:
     gram_logs: list[np.ndarray]
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def backed_off(self, word: str) -> np.ndarray | None:
-        """Log frequencies of an unknown word; None if it has no letter."""
-        if not has_letter(word):
-            return None
+    def backed_off(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Log frequencies of unknown words, and which of them have a letter; without one they count for nothing."""
+        letters = np.fromiter(map(has_letter, words), bool, count=len(words))
+        logs = np.zeros((len(words), len(self.languages)))
+        open_ = np.flatnonzero(letters)
         for n in range(LONGEST, 0, -1):
-            at = [self.grams[n - 1][g] for g in grams_of(word, n) if g in self.grams[n - 1]]
-            if at:
-                return self.gram_logs[n - 1][at].mean(axis=0)
-        return np.zeros(len(self.languages))
+            grams = [grams_of(words[i], n) for i in open_.tolist()]
+            owner = np.repeat(np.arange(len(open_)), [len(g) for g in grams])
+            place = np.fromiter(map(self.grams[n - 1].get, chain.from_iterable(grams), repeat(-1)), np.int64, count=len(owner))
+            owner, place = owner[place >= 0], place[place >= 0]
+            known = np.bincount(owner, minlength=len(open_))
+            for column in range(len(self.languages)):
+                sums = np.bincount(owner, self.gram_logs[n - 1][place, column], minlength=len(open_))
+                logs[open_, column] += sums / np.maximum(known, 1)
+            open_ = open_[known == 0]
+        return logs, letters
 
 
 class _Lookup(dict):
-    """Row of each word in ``logs``; a word not met before is worked out once."""
+    """Row of each word in ``logs``; words not met before are worked out together, once per batch."""
 
     def __init__(self, model: LanguageModel):
         super().__init__()
@@ -76,18 +84,17 @@ class _Lookup(dict):
         self.logs, self.letters, self.waiting = self.model.word_logs, np.ones(len(self.model.words), bool), []
 
     def __missing__(self, word: str) -> int:
-        self.waiting.append(self.model.backed_off(word))
+        self.waiting.append(word)
         place = self[word] = len(self)
         return place
 
-    def rows(self, words: list[str]) -> np.ndarray:
+    def rows(self, split: list[list[str]], count: int) -> np.ndarray:
         if len(self) > len(self.model.words) + KEPT:
             self.forget()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, count=len(words))
+        at = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, count=count)
         if self.waiting:
-            none = np.zeros(len(self.model.languages))
-            self.logs = np.concatenate((self.logs, [none if v is None else v for v in self.waiting]))
-            self.letters = np.concatenate((self.letters, [v is not None for v in self.waiting]))
+            logs, letters = self.model.backed_off(self.waiting)
+            self.logs, self.letters = np.concatenate((self.logs, logs)), np.concatenate((self.letters, letters))
             self.waiting = []
         return at
 
@@ -102,24 +109,24 @@ def held_out(key="doc_id"):
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of each language, added up within the task as far as memory is bounded."""
-    sums: Counter = Counter()
+    sums: defaultdict[str, Counter] = defaultdict(Counter)
 
-    def out() -> pa.RecordBatch:
-        langs, words = zip(*sums) if sums else ((), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(list(sums.values()), pa.int64())], ["lang", "word", "n"]
-        )
+    def out() -> Iterator[pa.RecordBatch]:
+        for lang, counts in sums.items():
+            words = [w for w in counts if has_letter(w)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(words), pa.string()), pa.array(words, pa.string()), pa.array([counts[w] for w in words], pa.int64())],
+                ["lang", "word", "n"],
+            )
 
     for batch in batches:
         for part in slices(batch, "text"):
             for lang, text in zip(part.column("lang").to_pylist(), texts(part, "text")):
-                for word, n in Counter(words_of(text)).items():
-                    if has_letter(word):
-                        sums[lang, word] += n
-            if len(sums) > KEPT:
-                yield out()
+                sums[lang].update(words_of(text))
+            if sum(map(len, sums.values())) > KEPT:
+                yield from out()
                 sums.clear()
-    yield out()
+    yield from out()
 
 
 def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> LanguageModel:
@@ -127,7 +134,7 @@ def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS) -> LanguageMo
     prepare(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("lang", "text")
     counts = saved(known.mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    languages = sorted(r.lang for r in known.select("lang").distinct().collect())  # as many as there are languages
+    languages = sorted(r.lang for r in counts.select("lang").distinct().collect())  # as many as there are languages
 
     def kept(table: DataFrame, limit: int) -> tuple[dict[str, int], np.ndarray]:
         totals = table.groupBy("word").agg(F.sum("n").alias("n"))
@@ -174,8 +181,8 @@ def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
             _lookups[own.name] = _Lookup(own)
         lookup = _lookups[own.name]
         split = [words_of(t) for t in texts(batch, "text")]
-        at = lookup.rows([w for ws in split for w in ws])
         ends = np.cumsum([0, *map(len, split)])
+        at = lookup.rows(split, int(ends[-1]))
         names, scores = [], []
         for a, b in zip(ends[:-1], ends[1:]):
             if not own.languages or not lookup.letters[at[a:b]].any():
