@@ -26,8 +26,8 @@ def assign_keys(df: DataFrame, key: str, by: list[str], after: int | DataFrame =
     before = F.sum("_n").over(W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
     offsets = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_offset"))
     if isinstance(after, DataFrame):
-        last = after.agg(F.coalesce(F.max(key), F.lit(0)).alias("_last"))
-        offsets = offsets.join(F.broadcast(last)).select("_bucket", (F.col("_offset") + F.col("_last")).alias("_offset"))
+        last = after.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
+        offsets = offsets.select("_bucket", (F.col("_offset") + last).alias("_offset"))
         after = 0
     position = F.row_number().over(W.partitionBy("_bucket").orderBy(*by))
     numbered = bucketed.withColumn("_position", position).join(F.broadcast(offsets), "_bucket")
