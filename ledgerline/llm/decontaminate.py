@@ -19,8 +19,6 @@ from ledgerline.llm.native import keyed, let, lower_ascii, on_row, unpacked
 
 #: Between words of lower-cased text: every ASCII character that is neither a digit nor a letter.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same for text in either case, counted instead of split.
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 
 

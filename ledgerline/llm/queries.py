@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import chat, language, quality, sharding, topk
 from ledgerline.llm.common import read, row_key, saved
-from ledgerline.llm.decontaminate import WORD_ANY_CASE, benchmark_hits
+from ledgerline.llm.decontaminate import benchmark_hits, words_of
 from ledgerline.llm.minhash import near_duplicates
 from ledgerline.llm.native import LOWER, UPPER, on_row
 from ledgerline.llm.passages import repeated_passages, word_counts
@@ -109,7 +109,7 @@ FROM words LEFT JOIN kept USING (doc_id)
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     counted = docs.select(
-        "doc_id", row_key().alias("row_key"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_ANY_CASE)).cast("long").alias("n_words")
+        "doc_id", row_key().alias("row_key"), F.size(words_of(F.col("text"))).cast("long").alias("n_words")
     )
     hits = benchmark_hits(docs, read(spark, sf_dir, "benchmark"))
     n_hit = F.coalesce("n_hit", F.lit(0))
