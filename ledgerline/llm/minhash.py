@@ -27,7 +27,7 @@ from ledgerline.llm.shingles import WordHashes, mix, shingle_set
 
 ROWS, BANDS = 6, 48
 #: Members of one hub that meet in one task.
-TILE = 2048
+TILE = 512
 
 _SHIFTS = np.arange(ROWS * BANDS, dtype=np.uint32)[:, None]
 _WEIGHTS = mix(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -199,9 +199,10 @@ def _links(docs: DataFrame, reps: DataFrame, buckets: int, k: int, percent: int)
     known = compared.join(first.withColumnRenamed("node", "member"), "member", "left").withColumn(
         "component", F.coalesce("component", "member")
     )
-    open_hubs = (
+    open_hubs = saved(
         known.groupBy("hub").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
-        .where("a <> b").select("hub", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+        .where("a <> b").select("hub", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")),
+        "open",
     )
     spread = known.join(open_hubs, "hub").withColumn("tile", F.pmod(F.xxhash64("member"), F.col("tiles")).cast("int"))
     # a member of tile t meets tiles t..last as first side and tiles 0..t as second side
