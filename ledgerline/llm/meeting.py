@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import slices
 
-#: Entries that a task gathers before it deals them out, and entries meant for one group of the shuffle.
-GATHERED, DEALT = 1 << 20, 1 << 18
+#: Entries that a task gathers before it deals them out, entries meant for one group of the shuffle, settled entries in a row.
+GATHERED, DEALT, SETTLED = 1 << 20, 1 << 18, 1 << 13
 
 
 def _packed(bucket, first, second, doc, place) -> dict:
@@ -67,7 +67,7 @@ def _deal(buckets: int, wide: bool, earliest: bool, entries: Callable, text: str
         settled, onward = _settle(first, second, doc, earliest)
         rows = []
         at = np.flatnonzero(settled)
-        for some in np.array_split(at, len(at) // DEALT + 1):
+        for some in np.array_split(at, len(at) // SETTLED + 1):
             if len(some):
                 spread = buckets + int(first[some[0]] % np.uint64(buckets))  # any group will do
                 rows.append(_packed(spread, first[some] if keyed else first[:0], second[:0], doc[some], place[some]))
