@@ -136,8 +136,9 @@ def _tile_links(percent: int):
         minor = at != often.argmax()  # two members of the largest component need no look
         marks = np.zeros(len(values) + 1, np.int64)
         us, vs = [], []
-        for x in np.flatnonzero(minor & first):
-            other = second & (group != group[x]) & ~(minor & first & (np.arange(len(member)) < x) & second[x])
+        for x in np.flatnonzero(minor):  # of both sides: the other side may be in the largest component
+            other = (second & first[x]) | (first & second[x])
+            other &= (group != group[x]) & ~(minor & (np.arange(len(member)) < x))  # those have met x already
             other &= _similar(size[x], size, np.abs(count - count[x]), percent)  # the least they can be apart
             ys = np.flatnonzero(other)
             if not len(ys):
@@ -158,6 +159,24 @@ def _tile_links(percent: int):
     return work
 
 
+def _open_links(known: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one hub that are in different components, from what hub and member do not share."""
+    open_hubs = saved(
+        known.groupBy("hub").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
+        .where("a <> b").select("hub", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")),
+        "open",
+    )
+    spread = known.join(open_hubs, "hub").withColumn("tile", F.pmod(F.xxhash64("member"), F.col("tiles")).cast("int"))
+    # a member of tile t meets tiles t..last as first side and tiles 0..t as second side
+    each = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    each = each.select(
+        "hub", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
+        (F.col("tile") <= F.col("other")).alias("first"), (F.col("tile") >= F.col("other")).alias("second"),
+        "member", "component", "n_member", "apart",
+    )
+    return each.groupBy("hub", "low", "high").applyInArrow(_tile_links(percent), "u long, v long")
+
+
 def _band_entries(batch: pa.RecordBatch):
     bands = batch.column("bands").values.to_numpy().view(np.uint64)  # every representative has all bands
     offsets = batch.column("bands").offsets.to_numpy()
@@ -199,20 +218,7 @@ def _links(docs: DataFrame, reps: DataFrame, buckets: int, k: int, percent: int)
     known = compared.join(first.withColumnRenamed("node", "member"), "member", "left").withColumn(
         "component", F.coalesce("component", "member")
     )
-    open_hubs = saved(
-        known.groupBy("hub").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
-        .where("a <> b").select("hub", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")),
-        "open",
-    )
-    spread = known.join(open_hubs, "hub").withColumn("tile", F.pmod(F.xxhash64("member"), F.col("tiles")).cast("int"))
-    # a member of tile t meets tiles t..last as first side and tiles 0..t as second side
-    each = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    each = each.select(
-        "hub", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
-        (F.col("tile") <= F.col("other")).alias("first"), (F.col("tile") >= F.col("other")).alias("second"),
-        "member", "component", "n_member", "apart",
-    )
-    more = each.groupBy("hub", "low", "high").applyInArrow(_tile_links(percent), "u long, v long")
+    more = _open_links(known, percent)
     return first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more)
 
 

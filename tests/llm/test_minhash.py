@@ -65,6 +65,23 @@ def test_small_tiles_find_the_same(spark, monkeypatch):
     assert run(spark, rows, 2) == brute(rows, 2)
 
 
+def test_tiles_lose_no_link(spark, monkeypatch):
+    # 12 members in the largest component, 4 by themselves, each of these like one or two of the 12 only; tiles are dealt by hash
+    monkeypatch.setattr(minhash, "TILE", 2)
+    hub = set(range(100))
+    sets = {i: hub ^ set(range(10 * (i % 3), 10 * (i % 3) + 10)) ^ {1000 + 100 * i + j for j in range(12)} for i in range(12)}
+    sets |= {100 + i: sets[i] ^ {5000 + 100 * i + j for j in range(20)} for i in (0, 1, 5, 10)}
+    component = {i: 0 if i < 100 else i for i in sets}
+    rows = [(-1, i, len(s), sorted(s ^ hub), component[i]) for i, s in sets.items()]
+    known = spark.createDataFrame(rows, "hub long, member long, n_member long, apart array<long>, component long")
+    expected = {
+        (a, b) for a in sets for b in sets
+        if a < b and component[a] != component[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    found = [(min(r), max(r)) for r in minhash._open_links(known, 80).collect()]
+    assert len(expected) == 4 and sorted(found) == sorted(expected)
+
+
 def test_tables_without_groups(spark):
     assert run(spark, [(1, "a b c"), (2, "d e f")], 2) == [(1, 2, 1, True), (2, 2, 2, True)]
     empty = spark.createDataFrame([], "doc_id long, text string")
