@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -46,6 +47,50 @@ def test_unknown_words_fall_back_to_shorter_grams():
     assert np.allclose(found, [logs[0], other[0], [0, 0], [0, 0]]) and letters.tolist() == [True, True, False, True]
 
 
+def plain(rows):
+    """Language and score of each text by all learned words and n-grams, in plain Python."""
+    words, grams = {}, [{} for _ in range(language.LONGEST + 1)]
+    for i, text, lang in rows:
+        for w in language.words_of(text.encode()) if zlib.crc32(str(i).encode()) % 4 != 2 else []:
+            words.setdefault(lang, Counter())[w] += 1
+            for n in range(1, language.LONGEST + 1):
+                grams[n].setdefault(lang, Counter()).update(language.grams_of(w, n))
+    langs = sorted(words)
+
+    def logs(table, key):
+        if not any(key in c for c in table.values()):
+            return None
+        return np.log([(table[x][key] + 0.5) / (sum(table[x].values()) + 0.5 * (len(table[x]) + 1)) for x in langs])
+
+    def of(word):
+        if logs(words, word) is not None:
+            return logs(words, word)
+        for n in range(language.LONGEST, 0, -1):
+            known = [v for g in language.grams_of(word, n) if (v := logs(grams[n], g)) is not None]
+            if known:
+                return np.mean(known, axis=0)
+        return np.zeros(len(langs))
+
+    for _, text, _ in rows:
+        total = np.sum([of(w) for w in language.words_of(text.encode())], axis=0)
+        yield langs[int(total.argmax())], float(1 / np.exp(total - total.max()).sum())
+
+
+def test_every_learned_word_counts(spark):
+    # a hot language, so that a small head holds no word of the others; repeated rows and held-out words no one knows
+    rows = [(i, text, lang) for i, text, lang in corpus(60)] + [(100 + i, "one hot text of the hot language kamo", "ho") for i in range(80)]
+    rows += [(300 + i, f"schung {chr(97 + i)}qu kamotu einé", "yy") for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    expected = {i: answer for (i, _, _), answer in zip(rows, plain(rows))}
+    for caps in ({"words": 3, "grams": 5}, {"words": 3}, {}):
+        model = language.train(frame, **caps)
+        assert model.grams_whole == ("grams" not in caps)
+        found = language.predicted(frame, model).collect()
+        assert len(found) == len(rows)
+        for r in found:
+            assert r.lang_pred == expected[r.doc_id][0] and abs(r.score - expected[r.doc_id][1]) < 1e-6
+
+
 def test_nothing_to_learn(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     model = language.train(empty)
