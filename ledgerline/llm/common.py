@@ -76,3 +76,12 @@ def by_slices(work: Callable[[pa.RecordBatch], pa.RecordBatch], column: str):
                 yield work(part)
 
     return run
+
+
+def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all values on end, and where each begins and the last ends; a null is empty."""
+    column = pc.fill_null(column, "").cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    return whole[ends[0] : ends[-1]], ends - ends[0]

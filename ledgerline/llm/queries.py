@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, language, quality, sharding, topk
+from ledgerline.llm import chat, infill, language, ledger, quality, sharding, topk
 from ledgerline.llm.common import read, row_key, saved
 from ledgerline.llm.decontaminate import benchmark_hits, words_of
 from ledgerline.llm.minhash import near_duplicates
@@ -275,3 +275,77 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
   sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
 FROM t LEFT JOIN lists USING (doc_id)
 """
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.infilled(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "infill.n", "infill.form", "infill.prefix_chars", "infill.middle_chars",
+        F.sha2("infill.output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("infill.output"), F.col("infill.form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLE["op11_fill_in_middle"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS toks
+  FROM documents
+), drawn AS (
+  SELECT *, len(toks) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+    ('0x' || h[25:32])::BIGINT AS h4 FROM cut
+), parts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), laid AS (
+  SELECT *, array_to_string(toks[1:a], '') AS p, array_to_string(toks[a + 1:b], '') AS m, array_to_string(toks[b + 1:], '') AS s FROM parts
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END)
+    AS output_sha256, sha256(text) AS restored_sha256
+FROM laid
+"""
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = ledger.ledger(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    bits = F.col("rule_bits")
+    return entries.select(
+        "doc_id", *[f"measures.{m}" for m in base], (~ledger.kept(bits, "base-1")).alias("base_failed"),
+        ledger.kept(bits).alias("kept"), "rule_bits",
+    )
+
+
+def _count_sql(characters: str) -> str:
+    return f"(length(text) - length(regexp_replace(text, '[{characters}]', '', 'g')))::BIGINT"
+
+
+ORACLE["op13_quality_rules"] = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS i, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+), windows AS (
+  SELECT i, s, count(*) OVER (PARTITION BY i, w) AS times
+  FROM (SELECT i, s, array_to_string(ws[s:s + 7], ' ') AS w FROM (SELECT i, ws, unnest(range(1, len(ws) - 6)) AS s FROM t WHERE len(ws) >= 8))
+), covered AS (
+  SELECT i, count(DISTINCT p) AS n FROM (SELECT i, unnest(range(s, s + 8)) AS p FROM windows WHERE times > 1) GROUP BY i
+), measures AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, {_count_sql(r'^\x20\x09-\x0D')} AS word_chars, {_count_sql('#*$%&|<>')} AS n_symbols,
+    len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    {_count_sql('A-Z')} AS n_upper, {_count_sql('A-Za-z' + chr(0x80) + '-' + chr(0x10FFFF))} AS n_letters,
+    len(list_filter(ws, lambda w: ends_with(w, '!'))) AS n_marked_words
+  FROM t LEFT JOIN covered USING (i)
+), ledger AS (
+  SELECT *, ({' | '.join(f'CASE WHEN {rule} THEN {1 << i} ELSE 0 END' for i, rule in enumerate(ledger.RULES.values()))})::BIGINT AS rule_bits
+  FROM measures
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (rule_bits & {ledger.mask(ledger.BASE)}) <> 0 AS base_failed,
+  (rule_bits & {ledger.mask(ledger.POLICIES[ledger.CURRENT])}) = 0 AS kept, rule_bits
+FROM ledger
+"""
