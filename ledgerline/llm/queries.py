@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, infill, language, ledger, quality, sharding, topk
+from ledgerline.llm import chat, infill, language, ledger, quality, repair, sharding, topk
 from ledgerline.llm.common import read, row_key, saved
 from ledgerline.llm.decontaminate import benchmark_hits, words_of
 from ledgerline.llm.minhash import near_duplicates
@@ -349,3 +349,87 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (rul
   (rule_bits & {ledger.mask(ledger.POLICIES[ledger.CURRENT])}) = 0 AS kept, rule_bits
 FROM ledger
 """
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.summary(repair.repaired(repair.damaged(turns))).withColumnRenamed("conv_id", "_conv")
+    every = turns.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    zero, empty = F.lit(0).cast("long"), F.lit("")
+    return joined.select(
+        "conv_id", *[F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", empty).alias("audit"), F.coalesce("repaired_sha256", F.sha2(empty, 256)).alias("repaired_sha256"),
+    )
+
+
+def _repair_sql() -> str:
+    """A walk over the rows of each conversation at once: per state the cheapest, then least audit, and the turns it leaves."""
+    far = "{'c': 1000000000, 'a': '', 't': ''}"
+
+    def edit(state: str, letter: str, cost: str, turn: str = "''") -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {turn}}}"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    def inserted(v: str) -> str:
+        two = least(f"{v}[3]", *[edit(f"{v}[{i}]", "I", "5", "chr(10) || 'user:'") for i in (1, 2, 4)])
+        return f"list_transform([{two}], lambda x: [{v}[1], {v}[2], x, {least(f'{v}[4]', edit('x', 'I', '5', 'chr(10) || ' + repr('assistant:')))}])[1]"
+
+    def kept(initial: str, state: str) -> str:
+        return f"CASE WHEN stays AND code = '{initial}' THEN {edit(state, 'K', 'more', 'chr(10) || role || chr(58) || text')} ELSE {far} END"
+
+    def reroled(state: str, role: str) -> str:
+        return f"CASE WHEN stays THEN {edit(state, 'R', '1 + more', f'chr(10) || {role!r} || chr(58) || text')} ELSE {far} END"
+
+    gone = [edit(f"w[{i}]", "D", "2") for i in (1, 2, 3, 4)]
+    states = [
+        gone[0], least(gone[1], kept("s", "w[1]")),
+        least(gone[2], *[kept("u", f"w[{i}]") for i in (1, 2, 4)], *[reroled(f"w[{i}]", "user") for i in (1, 2, 4)]),
+        least(gone[3], kept("a", "w[3]"), reroled("w[3]", "assistant")),
+    ]
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+), drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295] || list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+      lambda x: unicode(x)::BIGINT), lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256)), 4294967295) % 20 AS draw
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN draw = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM drawn WHERE draw <> 0
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS k, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS times, left(role, 1) AS code FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN times > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE 'none' END AS fault,
+    lag(code) OVER (PARTITION BY k ORDER BY i) AS before FROM placed
+), counts AS (
+  SELECT k, conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND before || code NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY k, conv_id
+), walk(k, i, v) AS (
+  SELECT k, 0::BIGINT, [{{'c': 0::BIGINT, 'a': ''::VARCHAR, 't': ''::VARCHAR}}, {far}, {far}, {far}] FROM counts
+  UNION ALL
+  SELECT k, i, [{', '.join(states)}] FROM (
+    SELECT w.k, j.i, role, text, code, fault NOT IN ('blank', 'duplicate') AS stays, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more,
+      {inserted('v')} AS w
+    FROM walk w JOIN judged j ON j.k = w.k AND j.i = w.i + 1)
+), final AS (
+  SELECT k, list_min([w[1], w[4]]) AS best FROM (SELECT k, {inserted('v')} AS w FROM walk JOIN counts USING (k) WHERE i = n)
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(best.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN final f ON f.k = c.k
+"""
+
+
+ORACLE["op12_conversation_repair"] = _repair_sql()
