@@ -1,34 +1,45 @@
-"""Dense surrogate keys without a global sort.
+"""Dense surrogate keys, numbered from written files.
 
-Rows are spread over hash buckets of their business key. Counting the buckets gives each its first key; numbering runs
-inside the buckets in parallel. The result depends on the data alone, so a recomputed task hands out the same keys.
+A written file keeps its rows in order, and Parquet tells each row its place in it. The number of rows of each file, which the
+footers hold, gives every file its first key. So rows are written once and read once, nothing is sorted, shuffled or evaluated
+again, and a task that is repeated hands out the same keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Hash buckets, the same at every size: their offsets, two numbers each, are what is broadcast, and they are many enough to
-#: spread evenly over however many shuffle partitions the cluster is set to.
-BUCKETS = 1 << 14
+from ledgerline.session import scratch_dir
+
+Stage = Callable[[str, DataFrame], DataFrame]
+
+
+def in_scratch(name: str, df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def assign_keys(df: DataFrame, key: str, by: list[str], after: int | DataFrame = 0) -> DataFrame:
+def assign_keys(df: DataFrame, key: str, after: int | DataFrame = 0, stage: Stage = in_scratch) -> DataFrame:
     """Add ``key``, dense and continuing after ``after``: the last key, or a frame whose highest ``key`` it is.
 
-    ``by`` must identify a row.
+    ``stage`` writes the rows and reads them back. Which row gets which key depends on the files it writes.
     """
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(BUCKETS)))
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most `BUCKETS` rows: small enough for a window without partitions and for a broadcast at any data size.
-    before = F.sum("_n").over(W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
-    offsets = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_offset"))
+    rows = stage(f"rows_for_{key}", df)
+    places = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    # One row per file, whatever the files hold. The driver lists the files to read them, so their counts are small enough for a
+    # window without partitions and for a broadcast.
+    counts = rows.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1))
+    firsts = counts.select("_file", F.coalesce(before, F.lit(0)).alias("_first"))
     if isinstance(after, DataFrame):
         last = after.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-        offsets = offsets.select("_bucket", (F.col("_offset") + last).alias("_offset"))
+        firsts = firsts.select("_file", (F.col("_first") + last).alias("_first"))
         after = 0
-    position = F.row_number().over(W.partitionBy("_bucket").orderBy(*by))
-    numbered = bucketed.withColumn("_position", position).join(F.broadcast(offsets), "_bucket")
-    return numbered.select((F.col("_offset") + F.col("_position") + F.lit(after)).alias(key), *df.columns)
+    numbered = places.join(F.broadcast(firsts), "_file")
+    return numbered.select((F.col("_first") + F.col("_place") + F.lit(after + 1)).alias(key), *df.columns)

@@ -7,17 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-def absent_from(df: DataFrame, other: DataFrame, *keys: str, staged: bool = False) -> DataFrame:
-    """Rows whose key does not occur in ``other``.
 
-    With ``staged`` (``df`` is a written table, cheap to read twice) the other side, which may be all of history, is first
-    reduced to the keys of ``df`` by a semi join. Spark broadcasts those keys if their size allows it, and history is then
-    scanned where it lies; if not, both joins share one shuffle of it.
-    """
-    seen = other.select(*keys)
-    if staged:
-        seen = seen.join(df.select(*keys), list(keys), "left_semi")
-    return df.join(seen, list(keys), "left_anti").select(*df.columns)
+def absent_from(df: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose key does not occur in ``other``."""
+    return df.join(other.select(*keys), list(keys), "left_anti").select(*df.columns)
 
 
 def insert_missing(target: DataFrame, source: DataFrame, key: str, match: Column | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """One batch of customer, product or sales changes: read, quarantine, merge, commit, leave an audit trail.
 
-Working sets that several writes need are staged as tables. How they are joined is Spark's choice, from their sizes.
+Working sets that several steps need are staged as tables, and counted as they are written. Of the lake's tables a batch reads and
+writes the buckets that its keys fall into. How tables are joined is Spark's choice, from their sizes.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from ledgerline import schemas
 from ledgerline.operators import audit, cleanse, dimensions, fact, quarantine, rules, silver
 from ledgerline.session import together
 from ledgerline.sources.raw import read_or_empty
-from ledgerline.streaming.tables import Tables, Transaction
+from ledgerline.streaming.tables import Load, Tables
 
 Clock = Callable[[], datetime]
 
@@ -28,7 +29,7 @@ def _moment(at: datetime) -> Column:
     return F.lit(at).cast("timestamp_ntz")
 
 
-def _assess(tx: Transaction, batch: DataFrame, entity: str, keep_all_originals: bool = False) -> DataFrame:
+def _assess(load: Load, batch: DataFrame, entity: str, run: audit.Run, keep_all_originals: bool = False) -> DataFrame:
     """Typed rows with their reason, parsed once for all the steps that need them.
 
     The original text is kept where it may reach the quarantine.
@@ -37,116 +38,127 @@ def _assess(tx: Transaction, batch: DataFrame, entity: str, keep_all_originals:
     if not keep_all_originals:
         original = F.when(F.col(rules.REASON).isNotNull(), F.col(cleanse.ORIGINAL))
         assessed = assessed.withColumn(cleanse.ORIGINAL, original)
-    return tx.stage(f"assessed_{entity}", assessed)
+    name = f"assessed_{entity}"
+    assessed = load.stage(name, assessed, F.max("_batch_id").alias("batch_id"))
+    run.read, run.batch_id = load.rows[name], load.measured[name].get("batch_id")
+    return assessed
 
 
-def _quarantine(tx: Transaction, rejects: DataFrame, entity: str, batch_id: str) -> int:
-    """Returns how many rejects are new. Of the quarantine only the batch's own files are read: statistics skip the others."""
-    known = tx.read("silver/rejected_records").filter(
-        (F.col("entity_name") == rules.ENTITY_TAGS[entity]) & F.col("batch_id").eqNullSafe(F.lit(batch_id))
-    )
-    tx.append("silver/rejected_records", quarantine.unseen(rejects, known))
-    return tx.count("silver/rejected_records")
+def _quarantine(load: Load, rejects: DataFrame, run: audit.Run) -> None:
+    """New rejects. Of the quarantine only the batch's own partition is read."""
+    known = load.tables.read("silver/rejected_records").filter(F.col("batch_id").eqNullSafe(F.lit(run.batch_id)))
+    load.write("silver/rejected_records", quarantine.unseen(rejects, known))
+    run.rejected = load.rows["silver/rejected_records"]
 
 
-def _customers(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column, ignore_stale: bool) -> None:
-    assessed = _assess(tx, batch, "customers")
-    run.rejected, changes = together(
-        lambda: _quarantine(tx, quarantine.rejected(assessed, "customers", now), "customers", run.batch_id),
-        lambda: tx.stage("customer_changes", silver.customer_changes(assessed)),
+def _customers(load: Load, batch: DataFrame, run: audit.Run, now: Column, ignore_stale: bool) -> None:
+    assessed = _assess(load, batch, "customers", run)
+    _, changes = together(
+        lambda: _quarantine(load, quarantine.rejected(assessed, "customers", now), run),
+        lambda: load.stage("customer_changes", silver.customer_changes(assessed)),
     )
-    run.written = changes.count()
-    before, current = tx.read("silver/customers"), tx.read("gold/dim_customer_current")
-    _, matched = together(
-        lambda: tx.replace("silver/customers", silver.upsert_silver(before, changes, "customers")),
-        lambda: tx.stage("customer_matches", dimensions.scd2_match(current, changes, ignore_stale)),
+    run.written = load.rows["customer_changes"]
+    if not run.written:
+        return
+    tables, touched = load.tables, load.tables.touched("silver/customers", changes)
+    before, current = tables.read("silver/customers", touched), tables.read("gold/dim_customer_current", touched)
+    _, versions = together(
+        lambda: load.write("silver/customers", silver.upsert_silver(before, changes, "customers")),
+        lambda: load.stage("versions", dimensions.scd2_versions(current, changes, now, ignore_stale)),
     )
-    delta = dimensions.scd2_delta(current, changes, matched, now, tx.last_key("customer_key"))
+    keyed = dimensions.scd2_keyed(versions, load.last_key("customer_key"), load.stage)
     together(
-        lambda: tx.append("gold/dim_customer_closed", delta.closed),
-        lambda: tx.replace("gold/dim_customer_current", delta.current),
+        lambda: load.write("gold/dim_customer_closed", keyed.filter("NOT is_current")),
+        lambda: load.write("gold/dim_customer_current", keyed.filter("is_current")),
     )
-    tx.advance_key("gold/dim_customer_current", "customer_key")
+    load.advance_key("customer_key", load.rows["rows_for_customer_key"])
 
 
-def _products(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> None:
-    assessed = _assess(tx, batch, "products")
-    run.rejected, changes = together(
-        lambda: _quarantine(tx, quarantine.rejected(assessed, "products", now), "products", run.batch_id),
-        lambda: tx.stage("product_changes", silver.product_changes(assessed)),
+def _products(load: Load, batch: DataFrame, run: audit.Run, now: Column) -> None:
+    assessed = _assess(load, batch, "products", run)
+    _, changes = together(
+        lambda: _quarantine(load, quarantine.rejected(assessed, "products", now), run),
+        lambda: load.stage("product_changes", silver.product_changes(assessed)),
     )
-    run.written = changes.count()
-    before, dim = tx.read("silver/products"), tx.read("gold/dim_product")
+    run.written = load.rows["product_changes"]
+    if not run.written:
+        return
+    tables, touched = load.tables, load.tables.touched("silver/products", changes)
+    before, dim = tables.read("silver/products", touched), tables.read("gold/dim_product", touched)
     together(
-        lambda: tx.replace("silver/products", silver.upsert_silver(before, changes, "products")),
-        lambda: tx.replace(
-            "gold/dim_product", dimensions.scd1_upsert(dim, changes, tx.last_key("product_key"), staged=True)
-        ),
+        lambda: load.write("silver/products", silver.upsert_silver(before, changes, "products")),
+        lambda: load.write("gold/dim_product", dimensions.scd1_upsert(dim, changes, load.last_key("product_key"), load.stage)),
     )
-    tx.advance_key("gold/dim_product", "product_key")
+    load.advance_key("product_key", load.rows["rows_for_product_key"])
 
 
-def _sales(tx: Transaction, batch: DataFrame, run: audit.Run, now: Column) -> None:
-    assessed = _assess(tx, batch, "sales", keep_all_originals=True)
+def _sales(load: Load, batch: DataFrame, run: audit.Run, now: Column) -> None:
+    assessed = _assess(load, batch, "sales", run, keep_all_originals=True)
     rejects = quarantine.duplicate_sales(assessed, now).unionByName(quarantine.rejected(assessed, "sales", now))
-    run.rejected, valid = together(
-        lambda: _quarantine(tx, rejects, "sales", run.batch_id), lambda: tx.stage("valid_sales", silver.valid_sales(assessed))
+    _, valid = together(
+        lambda: _quarantine(load, rejects, run), lambda: load.stage("valid_sales", silver.valid_sales(assessed))
     )
-    tx.append("silver/sales", fact.new_valid_sales(valid, tx.read("silver/sales"), tx.read("gold/fact_sales"), staged=True))
-    new = tx.written("silver/sales")
-    run.written = new.count()
-
-    customers, products = tx.dim_customer(), tx.read("gold/dim_product")
-
-    def add_members(table: str, key: str, infer, dim: DataFrame) -> None:
-        tx.append(table, infer(new, dim, tx.last_key(key), staged=True))
-        tx.advance_key(table, key)
-
-    together(
+    tables, touched = load.tables, load.tables.touched("silver/sales", valid)
+    known = tables.read("silver/sales", touched), tables.read("gold/fact_sales", touched)
+    load.write("silver/sales", fact.new_valid_sales(valid, *known))
+    new = load.written("silver/sales")
+    run.written = load.rows["silver/sales"]
+    if not run.written:
+        return
+    of_customers = tables.touched("gold/dim_customer_current", new)
+    of_products = tables.touched("gold/dim_product", new)
+    customers, products = tables.dim_customer(of_customers), tables.read("gold/dim_product", of_products)
+
+    def add_members(table: str, key: str, infer, dim: DataFrame) -> DataFrame:
+        inferred = load.stage(f"inferred_{key}", infer(new, dim, load.last_key(key), load.stage))
+        load.add(table, inferred)
+        load.advance_key(key, load.rows[f"inferred_{key}"])
+        return inferred
+
+    inferred = together(
         lambda: add_members("gold/dim_customer_current", "customer_key", dimensions.infer_customers, customers),
         lambda: add_members("gold/dim_product", "product_key", dimensions.infer_products, products),
     )
     rows = fact.fact_rows(
-        new,
-        customers.unionByName(tx.written("gold/dim_customer_current")),
-        products.unionByName(tx.written("gold/dim_product")),
-        tx.read("gold/dim_store"),
+        new, customers.unionByName(inferred[0]), products.unionByName(inferred[1]), tables.read("gold/dim_store"), load.stage
     )
-    tx.append("gold/fact_sales", fact.numbered(tx.stage("fact_rows", rows), tx.last_key("sale_key")))
-    tx.advance_key("gold/fact_sales", "sale_key")
+    load.write("gold/fact_sales", fact.numbered(rows, load.last_key("sale_key"), load.stage))
+    load.advance_key("sale_key", load.rows["gold/fact_sales"])
 
 
 def _process(
     tables: Tables, batch: DataFrame, feed: str, feed_batch: str, run: audit.Run, clock: Clock,
-    work: Callable[[Transaction, Column], None],
+    work: Callable[[Load, Column], None],
 ) -> str | None:
-    """Audit and commit around one batch. A failure leaves a FAILED event, no visible change, and is raised again."""
+    """Audit and load log around one batch. A failure leaves a FAILED event, no change, and is raised again."""
     with tables.one_writer():
-        return _commit_batch(tables, batch, feed, feed_batch, run, clock, work)
+        return _load_batch(tables, batch, feed, feed_batch, run, clock, work)
 
 
-def _commit_batch(
+def _load_batch(
     tables: Tables, batch: DataFrame, feed: str, feed_batch: str, run: audit.Run, clock: Clock,
-    work: Callable[[Transaction, Column], None],
+    work: Callable[[Load, Column], None],
 ) -> str | None:
-    tx = tables.begin(feed, feed_batch)
-    if tx is None:
+    load = tables.begin(feed, feed_batch)
+    if load is None:
         return None
     started = clock()
     try:
-        run.read, run.batch_id = batch.agg(F.count(F.lit(1)), F.max("_batch_id")).first()
+        work(load, _moment(started))
         if run.read == 0:
             return None
-        work(tx, _moment(started))
         ended = clock()
         events = [run.started(started), run.event(audit.SUCCESS, ended)]
-        tx.append("control/run_events", audit.events_frame(tables.spark, events))
-        tx.commit(ended)
+        load.write("control/run_events", audit.events_frame(tables.spark, events))
+        made = load.decide(ended)
     except Exception as error:
+        if run.batch_id is None:  # it broke while the batch was read for the first time
+            run.read, run.batch_id = batch.agg(F.count(F.lit(1)), F.max("_batch_id")).first()
         failure = run.event(audit.FAILED, clock(), f"{type(error).__name__}: {error}")
-        # Outside the transaction, which never becomes visible.
+        # Outside the load, of which nothing remains.
         audit.events_frame(tables.spark, [failure]).write.mode("append").parquet(failures_path(tables))
         raise
+    tables.publish(made)
     return run.summary()
 
 
@@ -157,7 +169,7 @@ def failures_path(tables: Tables) -> str:
 def run_events(tables: Tables) -> DataFrame:
     """All run events: those committed with their batch, and those of runs that failed."""
     failed = read_or_empty(tables.spark, failures_path(tables), schemas.RUN_EVENTS)
-    return tables.snapshot().read("control/run_events").unionByName(failed.select(*schemas.RUN_EVENTS.fieldNames()))
+    return tables.read("control/run_events").unionByName(failed.select(*schemas.RUN_EVENTS.fieldNames()))
 
 
 # The process names below.
@@ -169,7 +181,7 @@ def process_customers(
     """Upsert silver customers and maintain the Type 2 dimension. Returns the run summary, or None if nothing to do."""
     run = audit.Run("CUSTOMER", "PROCESS_CUSTOMER_INCREMENTAL")
     return _process(
-        tables, batch, feed, feed_batch, run, clock, lambda tx, now: _customers(tx, batch, run, now, ignore_stale)
+        tables, batch, feed, feed_batch, run, clock, lambda load, now: _customers(load, batch, run, now, ignore_stale)
     )
 
 
@@ -178,10 +190,10 @@ def process_products(
 ) -> str | None:
     """Upsert silver products and overwrite the Type 1 dimension."""
     run = audit.Run("PRODUCT", "PROCESS_PRODUCT_INCREMENTAL")
-    return _process(tables, batch, feed, feed_batch, run, clock, lambda tx, now: _products(tx, batch, run, now))
+    return _process(tables, batch, feed, feed_batch, run, clock, lambda load, now: _products(load, batch, run, now))
 
 
 def process_sales(tables: Tables, batch: DataFrame, feed: str, feed_batch: str, clock: Clock = utc_now) -> str | None:
     """Append new valid sales to silver and fact, creating inferred dimension members where needed."""
     run = audit.Run("SALES", "PROCESS_SALES_INCREMENTAL")
-    return _process(tables, batch, feed, feed_batch, run, clock, lambda tx, now: _sales(tx, batch, run, now))
+    return _process(tables, batch, feed, feed_batch, run, clock, lambda load, now: _sales(load, batch, run, now))

@@ -1,4 +1,8 @@
-"""The first load: raw batch ``INITIAL`` through silver and quarantine into the star schema, as one commit."""
+"""The first load: raw batch ``INITIAL`` through silver and quarantine into the star schema.
+
+The tables are empty, or lack some of what raw holds, so they are written in place, without a second copy of everything in staging.
+A load that breaks off is not in the log; run again, it overwrites the partitions it had written.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ from ledgerline.operators import audit, cleanse, dimensions, fact, quarantine, r
 from ledgerline.operators.merge import absent_from
 from ledgerline.session import together
 from ledgerline.sources import raw
-from ledgerline.streaming.tables import Commit, Tables
+from ledgerline.streaming.tables import Logged, Tables
 
 FEED = "initial_load"
 
@@ -21,56 +25,51 @@ FEED = "initial_load"
 def run_initial_load(
     tables: Tables, now: datetime | None = None, rerun: str = "0", calendar_start: date = dimensions.CALENDAR_START,
     calendar_days: int = dimensions.CALENDAR_DAYS,
-) -> Commit | None:
+) -> Logged | None:
     """Load what raw ``INITIAL`` holds and the tables lack. Safe to rerun: pass a new ``rerun`` label to do so."""
     with tables.one_writer():
         return _load(tables, now, rerun, calendar_start, calendar_days)
 
 
-def _load(tables: Tables, now: datetime | None, rerun: str, calendar_start: date, calendar_days: int) -> Commit | None:
-    tx = tables.begin(FEED, rerun)
-    if tx is None:
+def _load(tables: Tables, now: datetime | None, rerun: str, calendar_start: date, calendar_days: int) -> Logged | None:
+    load = tables.begin(FEED, rerun, in_place=True)
+    if load is None:
         return None
     spark = tables.spark
     stamp = F.localtimestamp() if now is None else F.lit(now).cast("timestamp_ntz")
 
-    def load(entity: str):
+    def entity_rows(entity: str):
         """Silver rows of one entity; returns its rejects."""
         batch = silver.assessed(raw.read_raw(spark, tables.root, entity, raw.INITIAL), entity)
         kept = F.when(F.col(rules.REASON).isNotNull(), F.col(cleanse.ORIGINAL))
-        assessed = tx.stage(f"assessed_{entity}", batch.withColumn(cleanse.ORIGINAL, kept))
-        tx.append(f"silver/{entity}", silver.load_silver(assessed, entity, tx.read(f"silver/{entity}")))
+        assessed = load.stage(f"assessed_{entity}", batch.withColumn(cleanse.ORIGINAL, kept))
+        load.add(f"silver/{entity}", silver.load_silver(assessed, entity, tables.read(f"silver/{entity}")))
         return quarantine.rejected(assessed, entity, stamp)
 
-    rejects = reduce(DataFrame.unionByName, together(*(partial(load, entity) for entity in schemas.BUSINESS_COLUMNS)))
-
-    def everything(table: str) -> DataFrame:
-        return tx.read(table).unionByName(tx.written(table))
+    rejects = reduce(DataFrame.unionByName, together(*(partial(entity_rows, entity) for entity in schemas.BUSINESS_COLUMNS)))
 
     def add_members(table: str, key: str, build, source: str, dim: DataFrame) -> None:
-        tx.append(table, build(everything(source), dim, tx.last_key(key)))
-        tx.advance_key(table, key)
+        load.add(table, build(tables.read(source), dim, load.last_key(key), load.stage))
+        load.advance_key(key, load.rows[table])
 
-    known = tx.read("silver/rejected_records")
+    known = tables.read("silver/rejected_records")
     dims = (
-        ("gold/dim_customer_current", "customer_key", dimensions.init_dim_customer, "silver/customers", tx.dim_customer()),
-        ("gold/dim_product", "product_key", dimensions.init_dim_product, "silver/products", tx.read("gold/dim_product")),
-        ("gold/dim_store", "store_key", dimensions.init_dim_store, "silver/stores", tx.read("gold/dim_store")),
+        ("gold/dim_customer_current", "customer_key", dimensions.init_dim_customer, "silver/customers", tables.dim_customer()),
+        ("gold/dim_product", "product_key", dimensions.init_dim_product, "silver/products", tables.read("gold/dim_product")),
+        ("gold/dim_store", "store_key", dimensions.init_dim_store, "silver/stores", tables.read("gold/dim_store")),
     )
     together(
-        lambda: tx.append("silver/rejected_records", quarantine.unseen(rejects, known)),
+        lambda: load.add("silver/rejected_records", quarantine.unseen(rejects, known)),
         *(partial(add_members, *dim) for dim in dims),
-        lambda: tx.append("gold/dim_date", dimensions.build_dim_date(
-            spark, calendar_start, calendar_days, tx.read("gold/dim_date"))),
+        lambda: load.add("gold/dim_date", dimensions.build_dim_date(spark, calendar_start, calendar_days, tables.read("gold/dim_date"))),
     )
     rows = fact.fact_rows(
-        absent_from(everything("silver/sales"), tx.read("gold/fact_sales"), "sale_id"),
-        tx.dim_customer().unionByName(tx.written("gold/dim_customer_current")),
-        everything("gold/dim_product"),
-        everything("gold/dim_store"),
+        absent_from(tables.read("silver/sales"), tables.read("gold/fact_sales"), "sale_id"),
+        tables.dim_customer(), tables.read("gold/dim_product"), tables.read("gold/dim_store"), load.stage,
     )
-    tx.append("gold/fact_sales", fact.numbered(tx.stage("fact_rows", rows), tx.last_key("sale_key")))
-    tx.advance_key("gold/fact_sales", "sale_key")
-    checkpoint = audit.checkpoint(everything("gold/fact_sales"), stamp)
-    tx.replace("control/pipeline_monitoring", audit.upsert_checkpoint(tx.read("control/pipeline_monitoring"), checkpoint))
-    return tx.commit(now)
+    load.add("gold/fact_sales", fact.numbered(rows, load.last_key("sale_key"), load.stage))
+    load.advance_key("sale_key", load.rows["gold/fact_sales"])
+    checkpoint = audit.checkpoint(tables.read("gold/fact_sales"), stamp)
+    monitoring = load.stage("monitoring", audit.upsert_checkpoint(tables.read("control/pipeline_monitoring"), checkpoint))
+    load.write("control/pipeline_monitoring", monitoring)
+    return load.commit(now)

@@ -44,6 +44,23 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/ledgerline/{purpose}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder, on whatever file system the path names."""
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of working data, if it is there."""
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
 def together(*writes: Callable[[], object]) -> list:
     """Run independent writes at the same time and wait for all of them.
 

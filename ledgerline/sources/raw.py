@@ -1,68 +1,84 @@
 """The raw layer: append-only text tables, one folder per batch, never changed.
 
-A batch is the unit that feeds process. It may land in several appends; the feed sees it once it is declared complete.
+A batch is the unit that feeds process. It may land in several appends; the feed sees it once it is declared complete. Entities
+declared together become visible together.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
+from ledgerline.session import exists
 
 INITIAL = "INITIAL"
+#: Optional column of a change feed that says what happened to a row.
+ACTION = "_action"
 
 
 def raw_path(root: str, entity: str) -> str:
     return f"{root}/raw/{entity}"
 
 
-COMPLETE = T.StructType([T.StructField("batch_id", T.StringType()), T.StructField("completed_at", T.TimestampNTZType())])
+COMPLETE = T.StructType(
+    [T.StructField("entity", T.StringType()), T.StructField("batch_id", T.StringType()), T.StructField("completed_at", T.TimestampNTZType())]
+)
 
 
-def complete_path(root: str, entity: str) -> str:
-    return f"{root}/raw_complete/{entity}"
+def complete_path(root: str) -> str:
+    return f"{root}/raw_complete"
 
 
 def append_raw(rows: DataFrame, root: str, entity: str, complete: bool = True) -> None:
-    """Append rows of one or more batches. Pass ``complete=False`` for a piece of a batch of which more is to come."""
-    ordered = rows.select(*schemas.RAW[entity].fieldNames())
+    """Append rows of one or more batches. Pass ``complete=False`` for a piece of a batch of which more is to come.
+
+    An ``_action`` column, if there is one, is kept for the feed.
+    """
+    action = [ACTION] if ACTION in rows.columns else []
+    observed = Observation()
+    ordered = rows.select(*schemas.RAW[entity].fieldNames(), *action).observe(observed, F.collect_set("_batch_id").alias("batches"))
     ordered.write.mode("append").partitionBy("_batch_id").parquet(raw_path(root, entity))
     if complete:
-        _declare(rows.select(F.col("_batch_id").alias("batch_id")).distinct(), root, entity)
+        _declare(rows.sparkSession, root, [(entity, batch) for batch in sorted((observed.get or {}).get("batches") or [])])
 
 
-def complete_batch(spark: SparkSession, root: str, entity: str, batch_id: str) -> None:
-    """Declare a batch that landed in pieces complete, so that feeds take it up as a whole."""
-    _declare(spark.createDataFrame([(batch_id,)], "batch_id string"), root, entity)
+def complete_batch(spark: SparkSession, root: str, batch_id: str, *entities: str) -> None:
+    """Declare a batch complete, of one entity or of several that landed together, so that feeds take it up as a whole."""
+    _declare(spark, root, [(entity, batch_id) for entity in entities])
 
 
-def _declare(batches: DataFrame, root: str, entity: str) -> None:
-    stamped = batches.withColumn("completed_at", F.localtimestamp())
-    stamped.coalesce(1).write.mode("append").parquet(complete_path(root, entity))
+def _declare(spark: SparkSession, root: str, batches: list[tuple[str, str]]) -> None:
+    """One file, so that a feed sees all of its batches or none."""
+    declared = spark.createDataFrame(batches, "entity string, batch_id string").withColumn("completed_at", F.localtimestamp())
+    declared.coalesce(1).write.mode("append").parquet(complete_path(root))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     """A declared table that has no files yet reads as an empty frame."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def read_raw(spark: SparkSession, root: str, entity: str, batch_id: str | None = None) -> DataFrame:
-    """All rows, or one batch through partition pruning."""
-    rows = read_or_empty(spark, raw_path(root, entity), schemas.RAW[entity])
+def read_raw(spark: SparkSession, root: str, entity: str, batch_id: str | None = None, actions: bool = False) -> DataFrame:
+    """All rows, or one batch through partition pruning; ``actions`` adds the action column, null where a row came without."""
+    schema = schemas.RAW[entity]
+    if actions:
+        schema = T.StructType([*schema.fields, T.StructField(ACTION, T.StringType())])
+    rows = read_or_empty(spark, raw_path(root, entity), schema).select(*schema.fieldNames())
     return rows if batch_id is None else rows.filter(F.col("_batch_id") == batch_id)
 
 
-def stream_batches(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """Batches declared complete since the consumer's checkpoint. The initial load is not part of the feed."""
-    return spark.readStream.schema(COMPLETE).parquet(complete_path(root, entity)).filter(F.col("batch_id") != INITIAL)
+def stream_batches(spark: SparkSession, root: str, entities: tuple[str, ...]) -> DataFrame:
+    """Batches of ``entities`` declared complete since the consumer's checkpoint. The initial load is not part of the feed.
+
+    Nothing needs to have landed yet.
+    """
+    path = complete_path(root)
+    if not exists(spark, path):
+        spark.createDataFrame([], COMPLETE).write.mode("ignore").parquet(path)
+    declared = spark.readStream.schema(COMPLETE).parquet(path)
+    return declared.filter((F.col("batch_id") != INITIAL) & F.col("entity").isin(*entities))
 
 
 def load_history(raw: DataFrame, since: Column | None = None) -> DataFrame:
@@ -76,6 +92,8 @@ def load_history(raw: DataFrame, since: Column | None = None) -> DataFrame:
     return loads.orderBy(F.desc("last_load_time"), "_source_file")
 
 
-def inserted(changes: DataFrame, action: str = "_action") -> DataFrame:
-    """The rows of a change feed that were inserted; a feed without an action column holds nothing else."""
-    return changes.filter(F.col(action) == "INSERT").drop(action) if action in changes.columns else changes
+def inserted(changes: DataFrame) -> DataFrame:
+    """The rows of a change feed that were inserted; a row without an action was."""
+    if ACTION not in changes.columns:
+        return changes
+    return changes.filter(F.coalesce(ACTION, F.lit("INSERT")) == "INSERT").drop(ACTION)

@@ -1,89 +1,107 @@
-"""Tables that several writes change together: a commit becomes visible as a whole, or not at all.
+"""The lake's tables: plain partitioned Parquet, changed by loads.
 
-Plain Parquet offers no multi-table transaction, so every write goes into a folder of its own,
-``{table}/v={version}/c={part}`` with a part number drawn at random, and a one-row Parquet file below ``commits/``, written
-last, makes it visible. That file names all folders that make up each table, so the last one is all a reader needs. A failed
-attempt leaves folders no commit names. Writers of one application take turns (``one_writer``); of two transactions begun from
-the same state the first to commit wins, and the other fails without having touched what it wrote.
+A table with a business key is laid out by a hash of it (``bucket``), so a load reads and writes only the buckets its keys fall
+into. Two kinds of table exist. *Merged* ones hold one current row per key, and a load overwrites the partitions of the buckets it
+touches. In *appended* ones every load has partitions of its own (``load``), so writing them again changes nothing.
 
-* ``append`` adds a part to the table's current version.
-* ``replace`` starts a new version holding a full snapshot.
-
-A catalog with row-level operations can replace this module; the operators do not know about it.
+A load writes what it will change below ``staging/``, then one row into the load log, and then overwrites those partitions from
+staging, which is removed at the end. Before the log row nothing has changed; after it the load is done, and should the last step
+break off, the next load begins by repeating it. Writers of one application take turns; of two applications that began at the same
+load, the second finds the log row taken and fails without having changed anything. There are no versions: a reader who needs all tables as of one
+load reads between loads.
 """
 
 from __future__ import annotations
 
 import threading
-import uuid
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
+from ledgerline.session import exists, remove
 from ledgerline.sources.raw import read_or_empty
 
-SCHEMAS = {
-    "silver/customers": schemas.SILVER["customers"],
-    "silver/products": schemas.SILVER["products"],
-    "silver/stores": schemas.SILVER["stores"],
-    "silver/sales": schemas.SILVER["sales"],
-    "silver/rejected_records": schemas.REJECTED_RECORDS,
-    "gold/dim_customer_current": schemas.DIM_CUSTOMER,
-    "gold/dim_customer_closed": schemas.DIM_CUSTOMER,
-    "gold/dim_product": schemas.DIM_PRODUCT,
-    "gold/dim_store": schemas.DIM_STORE,
-    "gold/dim_date": schemas.DIM_DATE,
-    "gold/fact_sales": schemas.FACT_SALES,
-    "gold/daily_sales_summary": schemas.DAILY_SALES_SUMMARY,
-    "control/run_events": schemas.RUN_EVENTS,
-    "control/pipeline_monitoring": schemas.PIPELINE_MONITORING,
-}
+#: Buckets of a new lake: choose so that one bucket of the largest table fits a task. A lake keeps the number it was made with.
+BUCKETS = 8
+
+
+def hashed(key: str) -> Callable[[int], Column]:
+    return lambda buckets: F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
 
-# The fact is laid out by month and sorted by time within: few folders per commit, and a day is found by month folder
-# and Parquet statistics.
-MONTH = "sale_month"
-PARTITIONED_BY_MONTH = ("gold/fact_sales",)
+def month_of(at: str) -> Callable[[int], Column]:
+    return lambda _: (F.year(at) * 100 + F.month(at)).cast("int")
 
 
-def month_of(at: Column) -> Column:
-    return F.year(at) * 100 + F.month(at)
+@dataclass(frozen=True)
+class Layout:
+    """Columns of a table, what its buckets are made from, further partition columns, and the order inside a file."""
+
+    schema: T.StructType
+    bucket: Callable[[int], Column] | None = None
+    merged: bool = False
+    by: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()
 
-COMMIT_SCHEMA = T.StructType(
+    @property
+    def partitions(self) -> list[str]:
+        return [*(["bucket"] if self.bucket else []), *self.by, *([] if self.merged else ["load"])]
+
+    @property
+    def stored(self) -> T.StructType:
+        own = [T.StructField(c, T.IntegerType() if c == "bucket" else T.LongType()) for c in self.partitions if c in ("bucket", "load")]
+        return T.StructType([*self.schema.fields, *own])
+
+
+LAYOUTS = {
+    "silver/customers": Layout(schemas.SILVER["customers"], hashed("customer_id"), merged=True),
+    "silver/products": Layout(schemas.SILVER["products"], hashed("product_id"), merged=True),
+    "silver/stores": Layout(schemas.SILVER["stores"]),
+    "silver/sales": Layout(schemas.SILVER["sales"], hashed("sale_id")),
+    "silver/rejected_records": Layout(schemas.REJECTED_RECORDS, by=("batch_id",)),
+    "gold/dim_customer_current": Layout(schemas.DIM_CUSTOMER, hashed("customer_id"), merged=True),
+    "gold/dim_customer_closed": Layout(schemas.DIM_CUSTOMER, hashed("customer_id")),
+    "gold/dim_product": Layout(schemas.DIM_PRODUCT, hashed("product_id"), merged=True),
+    "gold/dim_store": Layout(schemas.DIM_STORE),
+    "gold/dim_date": Layout(schemas.DIM_DATE),
+    # A span of time is found in each bucket by the statistics of its files and row groups, which are in order of time.
+    "gold/fact_sales": Layout(schemas.FACT_SALES, hashed("sale_id"), order=("sale_timestamp",)),
+    "gold/daily_sales_summary": Layout(schemas.DAILY_SALES_SUMMARY, month_of("sale_date"), merged=True),
+    "control/run_events": Layout(schemas.RUN_EVENTS),
+    "control/pipeline_monitoring": Layout(schemas.PIPELINE_MONITORING, lambda _: F.lit(0), merged=True),
+}
+
+LOADS = T.StructType(
     [
-        T.StructField("commit", T.LongType()),
+        T.StructField("load", T.LongType()),
         T.StructField("feed", T.StringType()),
         T.StructField("feed_batch", T.StringType()),
         T.StructField("committed_at", T.TimestampNTZType()),
-        T.StructField("part", T.LongType()),
         T.StructField("wrote", T.ArrayType(T.StringType())),
-        T.StructField("parts", T.MapType(T.StringType(), T.ArrayType(T.LongType()))),
-        T.StructField("versions", T.MapType(T.StringType(), T.LongType())),
         T.StructField("last_keys", T.MapType(T.StringType(), T.LongType())),
     ]
 )
 
 
-class ConflictingCommit(RuntimeError):
-    """Another writer has committed since this transaction began."""
+class ConflictingLoad(RuntimeError):
+    """Another writer has finished a load since this one began."""
 
 
 @dataclass(frozen=True)
-class Commit:
-    """One committed change: who made it, which tables got a part, and each table's version, parts and highest key."""
+class Logged:
+    """One finished load: who made it, the tables it wrote, and the highest key of each kind handed out so far."""
 
-    commit: int = 0
+    load: int = 0
     feed: str | None = None
     feed_batch: str | None = None
     committed_at: datetime | None = None
-    part: int = 0
     wrote: tuple[str, ...] = ()
-    parts: dict[str, list[int]] = field(default_factory=dict)
-    versions: dict[str, int] = field(default_factory=dict)
     last_keys: dict[str, int] = field(default_factory=dict)
 
 
@@ -92,148 +110,170 @@ _writing = threading.RLock()
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, root: str):
+    """Read access to a lake, and the way to change it."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        path = f"{self.root}/control/layout"
+        if not exists(spark, path):
+            spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("ignore").parquet(path)
+        self.buckets = spark.read.schema("buckets int").parquet(path).first()[0]
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def staging(self, load: int) -> str:
+        return f"{self.root}/staging/load={load}"
 
     @property
-    def commits_path(self) -> str:
-        return f"{self.root}/commits"
+    def log_path(self) -> str:
+        return f"{self.root}/control/loads"
 
     def log(self) -> DataFrame:
-        """The commits: one short row each, never data."""
-        return read_or_empty(self.spark, self.commits_path, COMMIT_SCHEMA).select(*COMMIT_SCHEMA.fieldNames())
+        """The finished loads: one short row each."""
+        return read_or_empty(self.spark, self.log_path, LOADS).select(*LOADS.fieldNames())
+
+    def last(self) -> Logged:
+        rows = self.log().orderBy(F.desc("load")).limit(1).collect()
+        return Logged(**{**rows[0].asDict(), "wrote": tuple(rows[0]["wrote"])}) if rows else Logged()
 
     def one_writer(self) -> threading.RLock:
         """To be held from ``begin`` to ``commit``."""
         return _writing
 
-    def last(self, at: int | None = None, until: datetime | None = None) -> Commit:
-        """The latest commit, or the latest up to a commit number or a time."""
-        log = self.log()
-        if at is not None:
-            log = log.filter(F.col("commit") <= at)
-        if until is not None:
-            log = log.filter(F.col("committed_at") <= F.lit(until).cast("timestamp_ntz"))
-        rows = log.orderBy(F.desc("commit")).limit(1).collect()
-        return Commit(**{**rows[0].asDict(), "wrote": tuple(rows[0]["wrote"])}) if rows else Commit()
-
-    def snapshot(self, at: int | None = None, until: datetime | None = None) -> Snapshot:
-        """The tables as of the latest commit, or as ``last`` finds it."""
-        return Snapshot(self, self.last(at, until))
-
-    def begin(self, feed: str, feed_batch: str) -> Transaction | None:
-        """A transaction for one batch of a feed; None if that batch is already committed."""
-        if not self.log().filter((F.col("feed") == feed) & (F.col("feed_batch") == feed_batch)).isEmpty():
-            return None
-        return Transaction(self, self.last(), feed, feed_batch)
+    def stored(self, table: str, buckets: list[int] | None = None) -> DataFrame:
+        """The table with its partition columns, or the given buckets of it: the folders of the others are not opened."""
+        rows = read_or_empty(self.spark, self.path(table), LAYOUTS[table].stored)
+        return rows if buckets is None else rows.filter(F.col("bucket").isin(buckets))
 
-    def folder(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version}"
+    def read(self, table: str, buckets: list[int] | None = None) -> DataFrame:
+        return self.stored(table, buckets).select(*LAYOUTS[table].schema.fieldNames())
 
+    def dim_customer(self, buckets: list[int] | None = None) -> DataFrame:
+        """All versions of all customers, or of those in the given buckets."""
+        return self.read("gold/dim_customer_current", buckets).unionByName(self.read("gold/dim_customer_closed", buckets))
 
-class Snapshot:
-    """Read access to one committed state."""
+    def touched(self, table: str, rows: DataFrame) -> list[int]:
+        """The buckets of ``table`` that the keys of ``rows`` fall into: as many numbers as there are buckets at most."""
+        found = rows.select(LAYOUTS[table].bucket(self.buckets).alias("bucket")).distinct()
+        return sorted(r[0] for r in found.collect())
 
-    def __init__(self, tables: Tables, last: Commit):
-        self.tables = tables
-        self.last = last
+    def begin(self, feed: str, feed_batch: str, in_place: bool = False) -> Load | None:
+        """A load of one batch of a feed; None if that batch is already in the log.
 
-    def _load(self, table: str, version: int, parts: list[int]) -> DataFrame:
-        schema = SCHEMAS[table]
-        spark = self.tables.spark
-        if not parts:
-            return spark.createDataFrame([], schema)
-        stored = T.StructType([*schema.fields, T.StructField("c", T.LongType())])
-        if table in PARTITIONED_BY_MONTH:
-            stored = T.StructType([*stored.fields, T.StructField(MONTH, T.IntegerType())])
-        frame = spark.read.schema(stored).parquet(self.tables.folder(table, version))
-        return frame.filter(F.col("c").isin(parts)).drop("c")
+        With ``in_place`` nothing is staged: a first load into empty tables writes them directly, and is run again if it breaks off.
+        """
+        last = self.last()
+        if exists(self.spark, self.staging(last.load)):
+            self.publish(last)
+        if not self.log().filter((F.col("feed") == feed) & (F.col("feed_batch") == feed_batch)).isEmpty():
+            return None
+        remove(self.spark, self.staging(last.load + 1))  # of an attempt that failed
+        return Load(self, last, feed, feed_batch, in_place)
+
+    def publish(self, load: Logged) -> None:
+        """Overwrite the partitions that a logged load has staged. May be repeated."""
+        for table in load.wrote:
+            staged = f"{self.staging(load.load)}/{table}"
+            if exists(self.spark, staged):
+                write(self.spark.read.schema(LAYOUTS[table].stored).parquet(staged), table, self.path(table))
+        remove(self.spark, self.staging(load.load))
+
+
+def write(df: DataFrame, table: str, path: str) -> None:
+    """Overwrite those partitions of ``path`` that occur in ``df``."""
+    layout = LAYOUTS[table]
+    if layout.order:
+        df = df.sortWithinPartitions(*layout.partitions, *layout.order)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layout.partitions).parquet(path)
+
+
+class Load:
+    """What one batch will change."""
+
+    def __init__(self, tables: Tables, last: Logged, feed: str, feed_batch: str, in_place: bool):
+        self.tables, self.last = tables, last
+        self.number = last.load + 1
+        self.feed, self.feed_batch, self.in_place = feed, feed_batch, in_place
+        self.rows: dict[str, int] = {}  #: rows written, by table or working set
+        self.measured: dict[str, dict] = {}  #: what else was measured on the way
+        self._wrote: list[str] = []
+        self._keys = dict(last.last_keys)
+
+    def _target(self, table: str) -> str:
+        return self.tables.path(table) if self.in_place else f"{self.tables.staging(self.number)}/{table}"
+
+    def _counted(self, name: str, df: DataFrame, save: Callable[[DataFrame], None], *measures: Column) -> None:
+        """Write and count in one job: the counters sit next to the writer, where a repeated task counts once."""
+        observed = Observation()
+        save(df.observe(observed, F.count(F.lit(1)).alias("rows"), *measures))
+        self.measured[name] = observed.get or {}
+        self.rows[name] = self.measured[name].get("rows") or 0
+
+    def stage(self, name: str, df: DataFrame, *measures: Column) -> DataFrame:
+        """Write a working set and read it back: computed once, counted, and not lost with an executor."""
+        path = f"{self.tables.staging(self.number)}/working/{name}"
+        self._counted(name, df, lambda d: d.write.mode("overwrite").parquet(path), *measures)
+        return self.tables.spark.read.schema(df.schema).parquet(path)
 
-    def stored(self, table: str, parts: list[int] | None = None) -> DataFrame:
-        """The table, or some parts of its current version, as stored: including its partition column."""
-        held = self.last.parts.get(table, [])
-        return self._load(table, self.last.versions.get(table, 0), held if parts is None else [p for p in held if p in parts])
+    def write(self, table: str, df: DataFrame) -> None:
+        """The rows of a load, or, of a merged table, whole buckets as they shall be."""
+        if table in self._wrote:
+            raise ValueError(f"{table} is already written in load {self.number}")
+        layout = LAYOUTS[table]
+        df = df.select(*layout.schema.fieldNames())
+        if layout.bucket:
+            # gathers each bucket into few files, and splits one too large for a task
+            df = df.withColumn("bucket", layout.bucket(self.tables.buckets)).hint("rebalance", "bucket")
+        if not layout.merged:
+            df = df.withColumn("load", F.lit(self.number).cast("long"))
+        self._counted(table, df, lambda d: write(d, table, self._target(table)))
+        self._wrote.append(table)
 
-    def read(self, table: str) -> DataFrame:
-        return self.stored(table).select(*SCHEMAS[table].fieldNames())
+    def add(self, table: str, rows: DataFrame) -> None:
+        """New rows, of keys that are not there yet. Of a merged table only the buckets they fall into are written anew."""
+        if LAYOUTS[table].merged and not self.tables.read(table).isEmpty():
+            rows = self.stage(f"added/{table}", rows)
+            before = self.tables.read(table, self.tables.touched(table, rows))
+            added = self.rows[f"added/{table}"]
+            if added:
+                self.write(table, before.unionByName(rows))
+            self.rows[table] = added
+        else:
+            self.write(table, rows)
 
-    def dim_customer(self) -> DataFrame:
-        """All versions of all customers."""
-        return self.read("gold/dim_customer_current").unionByName(self.read("gold/dim_customer_closed"))
+    def written(self, table: str) -> DataFrame:
+        """What this load has written to ``table``."""
+        layout = LAYOUTS[table]
+        rows = read_or_empty(self.tables.spark, self._target(table), layout.stored)
+        if not layout.merged:
+            rows = rows.filter(F.col("load") == self.number)
+        return rows.select(*layout.schema.fieldNames())
 
     def last_key(self, key: str) -> int:
         """Highest surrogate key handed out so far, without reading the table."""
-        return self.last.last_keys.get(key, 0)
-
-
-class Transaction(Snapshot):
-    """Writes of one batch. Reads see the committed state; ``written`` reads what this transaction wrote."""
+        return self._keys.get(key, 0)
 
-    def __init__(self, tables: Tables, last: Commit, feed: str, feed_batch: str):
-        super().__init__(tables, last)
-        self.number = last.commit + 1
-        self.part = uuid.uuid4().int >> 65
-        self.feed, self.feed_batch = feed, feed_batch
-        self._wrote: list[str] = []
-        self._parts = {table: list(parts) for table, parts in last.parts.items()}
-        self._versions = dict(last.versions)
-        self._last_keys = dict(last.last_keys)
-
-    def _write(self, table: str, df: DataFrame) -> None:
-        df = df.select(*SCHEMAS[table].fieldNames())
-        path = f"{self.tables.folder(table, self._versions.get(table, 0))}/c={self.part}"
-        if table in PARTITIONED_BY_MONTH:
-            # Rebalancing gathers each month into few files and splits a month too large for one task.
-            df = df.withColumn(MONTH, month_of(F.col("sale_timestamp"))).hint("rebalance", MONTH)
-            df.sortWithinPartitions(MONTH, "sale_timestamp").write.mode("overwrite").partitionBy(MONTH).parquet(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
-        self._wrote.append(table)
-        self._parts.setdefault(table, []).append(self.part)
-
-    def append(self, table: str, df: DataFrame) -> None:
-        if table in self._wrote:
-            raise ValueError(f"{table} is already written in commit {self.number}")
-        self._write(table, df)
+    def advance_key(self, key: str, by: int) -> None:
+        """``by`` further keys, without gaps, have been handed out."""
+        self._keys[key] = self.last_key(key) + by
 
-    def replace(self, table: str, df: DataFrame) -> None:
-        if table in self._wrote:
-            raise ValueError(f"{table} is already written in commit {self.number}")
-        self._versions[table], self._parts[table] = self.number, []
-        self._write(table, df)
-
-    def stage(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a working set and read it back: computed once, and not lost with an executor."""
-        path = f"{self.tables.root}/staging/{name}/c={self.part}"
-        df.write.mode("overwrite").parquet(path)
-        return self.tables.spark.read.schema(df.schema).parquet(path)
+    def commit(self, committed_at: datetime | None = None) -> Logged:
+        made = self.decide(committed_at)
+        self.tables.publish(made)
+        return made
 
-    def written(self, table: str) -> DataFrame:
-        part = self._load(table, self._versions.get(table, 0), [self.part])
-        return part.select(*SCHEMAS[table].fieldNames())
-
-    def count(self, table: str) -> int:
-        """Rows this transaction wrote to ``table``, from the Parquet footers."""
-        return self.written(table).count()
-
-    def advance_key(self, table: str, key: str) -> None:
-        """Remember the highest key in the part just written, so that nobody has to scan the table for it."""
-        highest = self.written(table).agg(F.max(key)).first()[0]
-        self._last_keys[key] = max(highest or 0, self._last_keys.get(key, 0))
-
-    def commit(self, committed_at: datetime | None = None) -> Commit:
-        made = replace(
-            self.last, commit=self.number, feed=self.feed, feed_batch=self.feed_batch,
-            committed_at=committed_at or datetime.now(timezone.utc).replace(tzinfo=None), part=self.part,
-            wrote=tuple(self._wrote), parts=self._parts, versions=self._versions, last_keys=self._last_keys,
-        )
-        row = tuple(getattr(made, f) for f in COMMIT_SCHEMA.fieldNames())
-        marker = self.tables.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
+    def decide(self, committed_at: datetime | None = None) -> Logged:
+        """Put the load into the log: from here on it is done, whether or not its publication breaks off."""
+        at = committed_at or datetime.now(timezone.utc).replace(tzinfo=None)
+        made = Logged(self.number, self.feed, self.feed_batch, at, tuple(self._wrote), self._keys)
+        row = tuple(getattr(made, f) for f in LOADS.fieldNames() if f != "load")
+        marker = self.tables.spark.createDataFrame([row], T.StructType(LOADS.fields[1:])).coalesce(1)
         try:
-            marker.write.mode("errorifexists").parquet(f"{self.tables.commits_path}/n={self.number}")
+            marker.write.mode("errorifexists").parquet(f"{self.tables.log_path}/load={self.number}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
-            raise ConflictingCommit(f"commit {self.number} was made by another writer; begin again") from error
+            raise ConflictingLoad(f"load {self.number} was made by another writer; begin again") from error
         return made

@@ -69,14 +69,36 @@ def test_latest_is_limited_per_task_before_the_shuffle(raw, spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_keys_are_dense_and_continue(spark):
+def test_keys_are_dense_and_continue(spark, stored):
     rows = spark.range(0, 5000, 1, 5).select(F.concat(F.lit("K"), F.col("id").cast("string")).alias("nk"))
-    first = assign_keys(rows, "sk", ["nk"])
+    first = assign_keys(rows, "sk")
     keys = sorted(r["sk"] for r in first.collect())
     assert keys == list(range(1, 5001))
-    # The same rows get the same keys however they are spread over tasks.
-    assert assign_keys(rows.repartition(3), "sk", ["nk"]).exceptAll(first).count() == 0
-    more = assign_keys(spark.createDataFrame([("A",), ("B",)], "nk string"), "sk", ["nk"], after=first)
-    assert rows_of(more, "sk") == [(5001,), (5002,)]
-    assert rows_of(assign_keys(spark.createDataFrame([("A",)], "nk string"), "sk", ["nk"], after=7), "sk") == [(8,)]
-    assert assign_keys(rows.limit(0), "sk", ["nk"], after=first).count() == 0
+    # The same written rows get the same keys whenever they are read, and however the files are cut into tasks.
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    again = {r["nk"]: r["sk"] for r in first.collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        assert {r["nk"]: r["sk"] for r in first.collect()} == again
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    more = assign_keys(spark.createDataFrame([("A",), ("B",)], "nk string"), "sk", after=first)
+    assert sorted(r["sk"] for r in more.collect()) == [5001, 5002]
+    assert rows_of(assign_keys(spark.createDataFrame([("A",)], "nk string"), "sk", after=7), "sk") == [(8,)]
+    assert assign_keys(rows.limit(0), "sk", after=first).count() == 0
+
+
+def test_numbering_reads_its_input_once(spark):
+    """The rows are evaluated when they are staged; after that only files are read, and nothing but their counts is shuffled."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(0, 1000, 1, 4).mapInPandas(count, "id long")
+    keyed = assign_keys(rows, "sk")
+    assert keyed.count() == 1000 and keyed.agg(F.max("sk")).first()[0] == 1000 and seen.value == 1000
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "rangepartitioning" not in plan

@@ -106,13 +106,12 @@ def test_scd1(raw, stored):
             {"product_id": "P2", "unit_price": "ABC"},
         )
     ))
-    for staged in (False, True):
-        after = dimensions.scd1_upsert(products, changes, staged=staged)
-        assert rows_of(after, "product_id", "unit_price", "is_inferred") == [
-            (p, pytest.approx(v) if v else v, False) for p, v in (("P1", 12), ("P2", 10), ("P3", 3), ("P9", 9))
-        ]
-        found = {r["product_id"]: r["product_key"] for r in after.collect()}
-        assert {p: found[p] for p in keys} == keys and found["P3"] == max(keys.values()) + 1
+    after = dimensions.scd1_upsert(products, changes)
+    assert rows_of(after, "product_id", "unit_price", "is_inferred") == [
+        (p, pytest.approx(v) if v else v, False) for p, v in (("P1", 12), ("P2", 10), ("P3", 3), ("P9", 9))
+    ]
+    found = {r["product_id"]: r["product_key"] for r in after.collect()}
+    assert {p: found[p] for p in keys} == keys and found["P3"] == max(keys.values()) + 1
 
 
 def test_inferred_members_are_single(raw, dim, stored):
@@ -121,11 +120,10 @@ def test_inferred_members_are_single(raw, dim, stored):
         raw("sales", {"sale_id": "S2", "customer_id": "C7", "product_id": "P7"}, batch="BATCH_01", file="y.csv")
     )
     sales = stored(changes_of(silver.valid_sales, two_files))
-    for staged in (False, True):
-        found = dimensions.infer_customers(sales, dim, staged=staged)
-        assert rows_of(found, "customer_id", "customer_name", "email", "region", "_source_file", "_batch_id") == [
-            ("C7", "UNKNOWN", None, "UNKNOWN", "y.csv", "BATCH_01")
-        ]
+    found = dimensions.infer_customers(sales, dim)
+    assert rows_of(found, "customer_id", "customer_name", "email", "region", "_source_file", "_batch_id") == [
+        ("C7", "UNKNOWN", None, "UNKNOWN", "y.csv", "BATCH_01")
+    ]
 
 
 def test_calendar(spark):

@@ -124,7 +124,7 @@ _REASONS = {
     },
 }
 _RECENCY = {"customers": "updated_at", "products": "updated_at", "stores": "opened_date", "sales": "sale_timestamp"}
-_META = "_source_file, _batch_id, _loaded_at"
+META = "_source_file, _batch_id, _loaded_at"
 
 
 def columns(entity: str) -> str:
@@ -144,7 +144,7 @@ for _entity, _names in schemas.BUSINESS_COLUMNS.items():
     _payload = ", ".join(f"'{c}', {c}" for c in sorted(_names))
     _part(
         f"typed_{_entity}",
-        f"SELECT {_exprs}, json_object({_payload}) AS payload, {_META}, _row_number FROM raw_{_entity}",
+        f"SELECT {_exprs}, json_object({_payload}) AS payload, {META}, _row_number FROM raw_{_entity}",
     )
     _initial = _REASONS[_entity]["initial"].replace("BAD_MAIL", _BAD_MAIL)
     _batch = _REASONS[_entity].get("batch", _REASONS[_entity]["initial"]).replace("BAD_MAIL", _BAD_MAIL)
@@ -160,14 +160,14 @@ def _of(batch: str | None) -> str:
 
 def latest_valid(entity: str, batch: str | None = None) -> str:
     key = schemas.KEYS[entity]
-    return f"""SELECT {columns(entity)}, {_META} FROM (
+    return f"""SELECT {columns(entity)}, {META} FROM (
         SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {_newest_first(entity)}) AS rn
         FROM assessed_{entity} WHERE {_of(batch)} AND reason_initial IS NULL) WHERE rn = 1"""
 
 
 def valid_latest(entity: str, batch: str | None, by_timestamp: bool) -> str:
     key = schemas.KEYS[entity]
-    return f"""SELECT {columns(entity)}, {_META} FROM (
+    return f"""SELECT {columns(entity)}, {META} FROM (
         SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {_newest_first(entity, by_timestamp)}) AS rn
         FROM assessed_{entity} WHERE {_of(batch)} AND {key} IS NOT NULL) WHERE rn = 1 AND reason_batch IS NULL"""
 
@@ -182,11 +182,11 @@ _PRODUCT = "product_id, product_name, category, brand, unit_price, created_at, u
 _part(
     "dim_customer_0",
     f"""SELECT customer_id, {_ATTRIBUTES}, created_at AS effective_start_date,
-        timestamp '9999-12-31 23:59:59' AS effective_end_date, true AS is_current, false AS is_inferred, {_META}
+        timestamp '9999-12-31 23:59:59' AS effective_end_date, true AS is_current, false AS is_inferred, {META}
         FROM customers_0""",
 )
-_part("dim_product_0", f"SELECT {_PRODUCT}, false AS is_inferred, {_META} FROM products_0")
-_part("dim_store", f"SELECT {columns('stores')}, false AS is_inferred, {_META} FROM stores_0")
+_part("dim_product_0", f"SELECT {_PRODUCT}, false AS is_inferred, {META} FROM products_0")
+_part("dim_store", f"SELECT {columns('stores')}, false AS is_inferred, {META} FROM stores_0")
 
 
 def _fact(sales: str, customers: str, products: str) -> str:
@@ -275,7 +275,7 @@ for _n in (1, 2):
     _part(
         f"priced_{_n}",
         f"""SELECT * FROM {_products_before} WHERE product_id NOT IN (SELECT product_id FROM product_changes_{_n})
-            UNION ALL SELECT {_PRODUCT}, false, {_META} FROM product_changes_{_n}""",
+            UNION ALL SELECT {_PRODUCT}, false, {META} FROM product_changes_{_n}""",
     )
     _part(f"valid_sales_{_n}", valid_latest("sales", _b, False))
     _part(

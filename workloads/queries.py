@@ -20,6 +20,7 @@ from ledgerline.plans import incremental
 from ledgerline.session import scratch_dir
 from ledgerline.sources import landing, raw as raw_layer
 from ledgerline.streaming import feeds
+from ledgerline.streaming.tables import Tables
 from workloads import oracle, retail, warehouse
 from workloads.oracle import statement
 
@@ -42,11 +43,11 @@ def _query(name: str, sql: str | None = None):
 
 
 def _landed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return retail.raw(spark, sf_dir, entity)
+    return warehouse.landed(spark, sf_dir, entity)
 
 
 def _assessed(spark: SparkSession, sf_dir: str, entity: str, path: str = "initial", batch_id: str | None = None) -> DataFrame:
-    return silver.assessed(retail.raw(spark, sf_dir, entity, batch_id), entity, path)
+    return silver.assessed(warehouse.landed(spark, sf_dir, entity, batch_id), entity, path)
 
 
 def _silver(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -125,11 +126,8 @@ def _natural(rows: DataFrame, customers: DataFrame, products: DataFrame, stores:
 
 @_query("fact_sales_initial")
 def fact_sales_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As the load does it: the joined rows are written, then numbered."""
     dims = _initial_dims(spark, sf_dir)
-    rows, path = fact.fact_rows(_silver(spark, sf_dir, "sales"), *dims), scratch_dir(spark, "fact_rows")
-    rows.write.parquet(path)
-    return _natural(fact.numbered(spark.read.schema(rows.schema).parquet(path)), *dims).drop("version_start")
+    return _natural(fact.build_fact(_silver(spark, sf_dir, "sales"), *dims), *dims).drop("version_start")
 
 
 ORACLE["fact_sales_initial"] = _landed_sql("SELECT * FROM f_all")
@@ -284,7 +282,7 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = _silver(spark, sf_dir, "sales").select("sale_id")
-    return assign_keys(sales, "sale_key", ["sale_id"]).agg(
+    return assign_keys(sales, "sale_key").agg(
         F.count(F.lit(1)).alias("row_count"), F.min("sale_key").alias("first_key"),
         F.max("sale_key").alias("last_key"), F.countDistinct("sale_key").alias("distinct_keys"),
     )
@@ -324,7 +322,7 @@ _VERSIONS = ("customer_id", "customer_name", "email", "phone", "region", "segmen
 
 @_query("scd2_apply", f"SELECT {', '.join(_VERSIONS)} FROM versions_1")
 def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Initial members, then one batch of changes: as one plan, nothing stored in between."""
+    """Initial members, then one batch of changes."""
     initial = silver.load_silver(_assessed(spark, sf_dir, "customers", batch_id="INITIAL"), "customers")
     changes = silver.customer_changes(_assessed(spark, sf_dir, "customers", "batch", "BATCH_01"))
     now = F.lit(retail.LOADED_AT["BATCH_01"]).cast("timestamp_ntz")
@@ -443,16 +441,15 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         )
 
-    before = warehouse.state(spark, sf_dir)
-    tables = before.tables
-    label = f"replay-{tables.last().commit}"
+    tables = warehouse.state(spark, sf_dir)
+    before, label = sizes(tables).collect(), f"replay-{tables.last().load}"  # seven counts
     for entity, process in (
         ("customers", incremental.process_customers), ("products", incremental.process_products),
         ("sales", incremental.process_sales),
     ):
         batch = raw_layer.read_raw(spark, tables.root, entity, "BATCH_02")
         process(tables, batch, label, entity, lambda: datetime(2002, 4, 1))
-    return checks.rerun_comparison(sizes(before), sizes(tables.snapshot()))
+    return checks.rerun_comparison(spark.createDataFrame(before, "check_name string, value long"), sizes(tables))
 
 
 # --- reports and masking ------------------------------------------------------------------------------------------
@@ -737,17 +734,33 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer dimension after its feed has run once more on a trigger: nothing new, nothing changed."""
     tables = warehouse.built(spark, sf_dir)
-    feeds.start(tables, "customers", availableNow=True).awaitTermination()
-    return tables.snapshot().dim_customer().select(*_VERSIONS)
+    feeds.start(tables, ("customers",), availableNow=True).awaitTermination()
+    return tables.dim_customer().select(*_VERSIONS)
 
 
 @_query("stream_sales_feed", "SELECT * FROM fact_2")
 def stream_sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact after the sales feed has run once more on a trigger."""
     tables = warehouse.built(spark, sf_dir)
-    feeds.start(tables, "sales", availableNow=True).awaitTermination()
-    state = tables.snapshot()
-    return _natural(state.read("gold/fact_sales"), state.dim_customer(), state.read("gold/dim_product"), state.read("gold/dim_store"))
+    feeds.start(tables, ("sales",), availableNow=True).awaitTermination()
+    return _natural(tables.read("gold/fact_sales"), tables.dim_customer(), tables.read("gold/dim_product"), tables.read("gold/dim_store"))
+
+
+@_query(
+    "feed_on_a_trigger",
+    f"""SELECT {', '.join(_VERSIONS)}, 'customer' AS member FROM dim_customer_1
+        UNION ALL SELECT product_id, product_name, NULL, NULL, NULL, NULL, updated_at, NULL, is_active, is_inferred, {oracle.META}, 'product' FROM dim_product_1""",
+)
+def feed_on_a_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales, products and customers land together while the one feed runs on a trigger: customers and products come first, and
+    nobody is inferred whose row has landed."""
+    tables = warehouse.on_a_trigger(spark, sf_dir)
+    customers = tables.dim_customer().select(*_VERSIONS, F.lit("customer").alias("member"))
+    none, never = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+    products = tables.read("gold/dim_product").select(
+        "product_id", "product_name", none, none, none, none, "updated_at", never, "is_active", "is_inferred", *oracle.META.split(", "), F.lit("product"),
+    )
+    return customers.union(products)
 
 
 @_query(
@@ -759,7 +772,7 @@ def stream_sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def feed_batch_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch of sales that landed over several triggers ends like one that landed at once."""
-    state = warehouse.in_pieces(spark, sf_dir).snapshot()
+    state = warehouse.in_pieces(spark, sf_dir)
     none, rejects = F.lit(None).cast("string"), _rejects_out(state.read("silver/rejected_records"))
 
     def sold(layer: str, df: DataFrame) -> DataFrame:
@@ -868,9 +881,13 @@ def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     "feed_inserts_only",
-    "SELECT sale_id, quantity FROM raw_sales WHERE _batch_id = 'BATCH_01'",
+    f"SELECT sale_id, quantity, unit_price, _batch_id FROM ({oracle.valid_latest('sales', 'BATCH_01', False)})",
 )
 def feed_inserts_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A change feed with an action column: only what was inserted goes on."""
-    action = F.when(F.col("_batch_id") == "BATCH_01", "INSERT").when(F.col("_batch_id") == "INITIAL", "DELETE")
-    return raw_layer.inserted(_landed(spark, sf_dir, "sales").withColumn("_action", action)).select("sale_id", "quantity")
+    """Sales through a change feed with an action column: only what was inserted reaches silver."""
+    tables, sales = Tables(spark, scratch_dir(spark, "actions")), _landed(spark, sf_dir, "sales")
+    action = F.when(F.col("_batch_id") == "BATCH_01", "INSERT").otherwise("DELETE")
+    actions = sales.withColumn("_action", action).withColumn("_batch_id", F.lit("BATCH_01"))
+    raw_layer.append_raw(actions, tables.root, "sales")
+    feeds.run_available(tables, ("sales",), lambda: retail.LOADED_AT["BATCH_01"])
+    return tables.read("silver/sales").select("sale_id", "quantity", "unit_price", "_batch_id")

@@ -145,7 +145,7 @@ WITH rows_all AS (
          l_partkey + 1 AS _row_number, l_quantity
   FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 ),
-reloaded AS (SELECT *, false AS again FROM rows_all UNION ALL SELECT *, true FROM rows_all WHERE l_quantity = 3)
+reloaded AS (SELECT * FROM rows_all JOIN (VALUES (false), (true)) twice(again) ON NOT again OR l_quantity = 3)
 SELECT sale_id, sale_timestamp, customer_id, product_id, store_id, quantity, unit_price, discount_amount, payment_method,
        'sales_' || lower(_batch_id) || '.csv' AS _source_file,
        CASE WHEN again THEN """ + _LOADED + """ + INTERVAL '1' DAY ELSE """ + _LOADED + """ END AS _loaded_at, _batch_id, _row_number

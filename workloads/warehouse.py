@@ -7,26 +7,43 @@ from datetime import date, datetime
 from functools import partial
 
 from pyspark.errors import PySparkException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline import schemas
 from ledgerline.plans.incremental import process_customers
 from ledgerline.plans.initial_load import run_initial_load
 from ledgerline.session import scratch_dir, together
 from ledgerline.sources.raw import append_raw, complete_batch, read_raw
-from ledgerline.streaming.feeds import run_available
+from ledgerline.streaming.feeds import run_available, start
 from ledgerline.streaming.refresh import refresh_daily_summary
-from ledgerline.streaming.tables import Snapshot, Tables
+from ledgerline.streaming.tables import LAYOUTS, Tables
 from workloads import retail
 
-_built: dict[tuple[str, str, str], Tables] = {}
+_built: dict[tuple[str, ...], object] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, entity: str, batch_id: str | None = None) -> DataFrame:
+    """All raw rows of ``entity``, or one of its batches: derived once per application and written, as a landing is."""
+
+    def write() -> str:
+        path = scratch_dir(spark, f"landed-{entity}")
+        rows = retail.raw(spark, sf_dir, entity)
+        rows.hint("rebalance").write.parquet(path)  # files of one size, whatever the tables they come from
+        return path
+
+    rows = spark.read.schema(schemas.RAW[entity]).parquet(_once(spark, write, sf_dir, entity))
+    return rows if batch_id is None else rows.filter(rows["_batch_id"] == batch_id)
 
 
 def _land(tables: Tables, sf_dir: str, batch_id: str, *entities: str) -> None:
+    """Land one batch of several entities, and declare them complete together."""
+
     def land(entity: str) -> None:
-        append_raw(retail.raw(tables.spark, sf_dir, entity, batch_id), tables.root, entity)
+        append_raw(retail.raw(tables.spark, sf_dir, entity, batch_id), tables.root, entity, complete=False)
 
     together(*(partial(land, entity) for entity in entities))
+    complete_batch(tables.spark, tables.root, batch_id, *entities)
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> tuple[date, int]:
@@ -66,11 +83,27 @@ def fail_batch(tables: Tables, batch_id: str) -> None:
 def load_all(spark: SparkSession, sf_dir: str) -> Tables:
     tables = load_initial(spark, sf_dir)
     for batch_id in retail.BATCHES[1:]:
+        keep_state(tables)
         load_batch(tables, sf_dir, batch_id)
     fail_batch(tables, retail.BATCHES[-1])
     return tables
 
 
+def keep_state(tables: Tables) -> None:
+    """Copy the tables as they are between two batches: the lake itself holds the present only."""
+    batch_id = retail.BATCHES[len(_states(tables))]
+    copy = Tables(tables.spark, f"{tables.root}/as_of/{batch_id}", tables.buckets)
+    load = copy.begin("copy", batch_id, in_place=True)
+    together(*(partial(load.write, table, tables.read(table)) for table in LAYOUTS))
+    load.commit(retail.LOADED_AT[batch_id])
+    _states(tables)[batch_id] = copy
+
+
+def _states(tables: Tables) -> dict[str, Tables]:
+    """Earlier states of a lake, by the batch they are from."""
+    return _built.setdefault(("states", tables.root), {})
+
+
 def load_in_pieces(spark: SparkSession, sf_dir: str) -> Tables:
     """The first batch of sales lands in three appends, and the feeds run after each; it is complete with the last."""
     tables, batch_id = load_initial(spark, sf_dir), retail.BATCHES[1]
@@ -80,33 +113,51 @@ def load_in_pieces(spark: SparkSession, sf_dir: str) -> Tables:
     for piece in range(3):
         append_raw(rows.filter(F.pmod("_row_number", F.lit(3)) == piece), tables.root, "sales", complete=False)
         run_available(tables, clock=lambda: now)
-    complete_batch(spark, tables.root, "sales", batch_id)
+    complete_batch(spark, tables.root, batch_id, "sales")
     run_available(tables, clock=lambda: now)
     return tables
 
 
+def load_on_a_trigger(spark: SparkSession, sf_dir: str) -> Tables:
+    """The first batch lands while the feed runs on a trigger: sales first, and all three become complete together."""
+    tables, batch_id = load_initial(spark, sf_dir), retail.BATCHES[1]
+    query = start(tables, clock=lambda: retail.LOADED_AT[batch_id], processingTime="1 second")
+    try:
+        for entity in ("sales", "products", "customers"):
+            append_raw(landed(spark, sf_dir, entity, batch_id), tables.root, entity, complete=False)
+        complete_batch(spark, tables.root, batch_id, "sales", "products", "customers")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return tables
+
+
 def built(spark: SparkSession, sf_dir: str) -> Tables:
     """The loaded tables, built once per application: reports and checks read them as they would in production."""
-    return _once(spark, sf_dir, load_all)
+    return _once(spark, lambda: load_all(spark, sf_dir), sf_dir, "all")
 
 
 def in_pieces(spark: SparkSession, sf_dir: str) -> Tables:
-    return _once(spark, sf_dir, load_in_pieces)
+    return _once(spark, lambda: load_in_pieces(spark, sf_dir), sf_dir, "pieces")
+
+
+def on_a_trigger(spark: SparkSession, sf_dir: str) -> Tables:
+    return _once(spark, lambda: load_on_a_trigger(spark, sf_dir), sf_dir, "trigger")
 
 
-def _once(spark: SparkSession, sf_dir: str, load: Callable[[SparkSession, str], Tables]) -> Tables:
-    key = (spark.sparkContext.applicationId, sf_dir, load.__name__)
+def _once(spark: SparkSession, make: Callable[[], object], *name: str):
+    key = (spark.sparkContext.applicationId, *name)
     if key not in _built:
-        _built[key] = load(spark, sf_dir)
+        _built[key] = make()
     return _built[key]
 
 
 def use(spark: SparkSession, sf_dir: str, tables: Tables) -> None:
     """Let reports read tables already loaded."""
-    _built[(spark.sparkContext.applicationId, sf_dir, load_all.__name__)] = tables
+    _built[(spark.sparkContext.applicationId, sf_dir, "all")] = tables
 
 
-def state(spark: SparkSession, sf_dir: str, batch_id: str = "BATCH_02") -> Snapshot:
+def state(spark: SparkSession, sf_dir: str, batch_id: str = "BATCH_02") -> Tables:
     """The tables as they were after ``batch_id``."""
     tables = built(spark, sf_dir)
-    return tables.snapshot(until=retail.LOADED_AT[batch_id])
+    return _states(tables).get(batch_id, tables)
