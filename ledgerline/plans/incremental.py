@@ -111,7 +111,7 @@ def _sales(load: Load, batch: DataFrame, run: audit.Run, now: Column) -> None:
 
     def add_members(table: str, key: str, infer, dim: DataFrame) -> DataFrame:
         inferred = load.stage(f"inferred_{key}", infer(new, dim, load.last_key(key), load.stage))
-        load.add(table, inferred)
+        load.add(table, inferred, f"inferred_{key}")
         load.advance_key(key, load.rows[f"inferred_{key}"])
         return inferred
 

@@ -67,6 +67,8 @@ def together(*writes: Callable[[], object]) -> list:
     Spark shares the cluster between their jobs, so the last tasks of one write do not keep the others waiting. The
     first failure is raised.
     """
+    if not writes:
+        return []
     session = SparkSession.getActiveSession()
     carry = inheritable_thread_target(session) if session else lambda write: write  # job groups and cancellation reach them
     with ThreadPoolExecutor(len(writes)) as pool:

@@ -1,4 +1,4 @@
-"""The raw layer: append-only text tables, one folder per batch, never changed.
+"""The raw layer: append-only text tables, one folder per batch and load, never changed.
 
 A batch is the unit that feeds process. It may land in several appends; the feed sees it once it is declared complete. Entities
 declared together become visible together.
@@ -6,6 +6,8 @@ declared together become visible together.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,17 +33,27 @@ def complete_path(root: str) -> str:
     return f"{root}/raw_complete"
 
 
-def append_raw(rows: DataFrame, root: str, entity: str, complete: bool = True) -> None:
-    """Append rows of one or more batches. Pass ``complete=False`` for a piece of a batch of which more is to come.
+#: Partition column that tells the loads of a batch apart.
+LOAD = "_load"
+
 
-    An ``_action`` column, if there is one, is kept for the feed.
+def append_raw(rows: DataFrame, root: str, entity: str, complete: bool = True, load: str | None = None) -> int:
+    """Append rows of one or more batches; returns how many. Pass ``complete=False`` for a piece of a batch of which more is to come.
+
+    A ``load`` of the same name overwrites what it wrote before, so a step that is repeated adds nothing; without a name every call
+    is a load of its own. An ``_action`` column, if there is one, is kept for the feed.
     """
     action = [ACTION] if ACTION in rows.columns else []
     observed = Observation()
-    ordered = rows.select(*schemas.RAW[entity].fieldNames(), *action).observe(observed, F.collect_set("_batch_id").alias("batches"))
-    ordered.write.mode("append").partitionBy("_batch_id").parquet(raw_path(root, entity))
+    ordered = rows.select(*schemas.RAW[entity].fieldNames(), *action).withColumn(LOAD, F.lit(load or uuid.uuid4().hex)).observe(
+        observed, F.collect_set("_batch_id").alias("batches"), F.count(F.lit(1)).alias("rows")
+    )
+    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_batch_id", LOAD).parquet(raw_path(root, entity))
+    found = observed.get or {}
     if complete:
-        _declare(rows.sparkSession, root, [(entity, batch) for batch in sorted((observed.get or {}).get("batches") or [])])
+        _declare(rows.sparkSession, root, [(entity, batch) for batch in sorted(found.get("batches") or [])])
+    return found.get("rows") or 0
 
 
 def complete_batch(spark: SparkSession, root: str, batch_id: str, *entities: str) -> None:

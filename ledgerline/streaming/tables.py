@@ -17,6 +17,7 @@ import threading
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas
-from ledgerline.session import exists, remove
+from ledgerline.session import exists, remove, together
 from ledgerline.sources.raw import read_or_empty
 
 #: Buckets of a new lake: choose so that one bucket of the largest table fits a task. A lake keeps the number it was made with.
@@ -174,10 +175,13 @@ class Tables:
 
     def publish(self, load: Logged) -> None:
         """Overwrite the partitions that a logged load has staged. May be repeated."""
-        for table in load.wrote:
+
+        def overwrite(table: str) -> None:
             staged = f"{self.staging(load.load)}/{table}"
             if exists(self.spark, staged):
                 write(self.spark.read.schema(LAYOUTS[table].stored).parquet(staged), table, self.path(table))
+
+        together(*(partial(overwrite, table) for table in load.wrote))
         remove(self.spark, self.staging(load.load))
 
 
@@ -231,13 +235,16 @@ class Load:
         self._counted(table, df, lambda d: write(d, table, self._target(table)))
         self._wrote.append(table)
 
-    def add(self, table: str, rows: DataFrame) -> None:
-        """New rows, of keys that are not there yet. Of a merged table only the buckets they fall into are written anew."""
+    def add(self, table: str, rows: DataFrame, staged: str | None = None) -> None:
+        """New rows, of keys that are not there yet, or the working set ``staged`` of such rows. Of a merged table only the buckets they
+        fall into are written anew."""
         if LAYOUTS[table].merged and not self.tables.read(table).isEmpty():
-            rows = self.stage(f"added/{table}", rows)
-            before = self.tables.read(table, self.tables.touched(table, rows))
-            added = self.rows[f"added/{table}"]
+            if staged is None:
+                staged = f"added/{table}"
+                rows = self.stage(staged, rows)
+            added = self.rows[staged]
             if added:
+                before = self.tables.read(table, self.tables.touched(table, rows))
                 self.write(table, before.unionByName(rows))
             self.rows[table] = added
         else:

@@ -76,3 +76,36 @@ def test_raw_tables_append_and_report_loads(spark, tmp_path, raw):
     history = raw_layer.load_history(raw_layer.read_raw(spark, root, "stores"), AT())
     assert rows_of(history, "_source_file", "_batch_id", "row_count") == [("a.csv", "INITIAL", 4), ("b.csv", "BATCH_01", 1)]
     assert raw_layer.load_history(raw_layer.read_raw(spark, root, "stores"), AT() + F.expr("INTERVAL 1 DAY")).count() == 0
+
+
+def test_a_stream_loads_each_file_once(spark, tmp_path):
+    """Files seen before are skipped, new ones are added, a forced load adds copies, and a repeated trigger adds nothing."""
+    where, root = tmp_path / "in", str(tmp_path / "lake")
+
+    def offer():
+        landing.start_landing(spark, str(where), root, "stores", "BATCH_01", AT()).awaitTermination()
+        return rows_of(raw_layer.read_raw(spark, root, "stores", "BATCH_01"), "store_id", "_row_number")
+
+    _write(where / "a", "stores_batch_01.csv", "ST1,a,b,c,d,e,f\nST2,a,b,c,d,e,f\n")
+    _write(where / "a", "stores_initial.csv", "ST9,a,b,c,d,e,f\n")  # another batch
+    assert offer() == [("ST1", 1), ("ST2", 2)]
+    assert offer() == [("ST1", 1), ("ST2", 2)]
+    _write(where / "b", "stores_batch_01.csv.gz", "ST3,a,b,c,d,e,f\n")
+    assert offer() == [("ST1", 1), ("ST2", 2), ("ST3", 1)]
+    complete = spark.read.schema(raw_layer.COMPLETE).parquet(raw_layer.complete_path(root))
+    assert rows_of(complete, "entity", "batch_id") == [("stores", "BATCH_01")] * 2
+    forced = landing.ingest_csv(spark, str(where), "stores", "BATCH_01", AT())
+    assert raw_layer.append_raw(forced, root, "stores") == 3
+    assert raw_layer.read_raw(spark, root, "stores").count() == 6
+    for _ in range(2):
+        raw_layer.append_raw(forced, root, "stores", load="named")
+    assert raw_layer.read_raw(spark, root, "stores").count() == 9
+
+
+def test_seven_days_of_load_history(spark, raw):
+    now = F.localtimestamp()
+    rows = raw("stores", {}, {"store_id": "ST2"}, {"store_id": "ST3"})
+    aged = rows.withColumn("_loaded_at", F.when(F.col("store_id") == "ST1", now - F.expr("INTERVAL 6 DAYS"))
+                           .when(F.col("store_id") == "ST2", now - F.expr("INTERVAL 1 DAYS")).otherwise(now - F.expr("INTERVAL 8 DAYS")))
+    history = raw_layer.load_history(aged.withColumn("_source_file", F.col("store_id"))).collect()
+    assert [(r["_source_file"], r["row_count"]) for r in history] == [("ST2", 1), ("ST1", 1)]  # newest first

@@ -828,6 +828,33 @@ def ingest_csv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded[0].unionByName(loaded[1])
 
 
+@_query(
+    "ingest_stream_sales",
+    f"""SELECT {oracle.columns('sales')}, _batch_id, 'once' AS load FROM raw_sales
+        UNION ALL SELECT {oracle.columns('sales')}, _batch_id, 'forced' FROM raw_sales WHERE _batch_id = 'BATCH_01'""",
+)
+def ingest_stream_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files of all batches, plain and compressed, through streams that load each file once. The landing is offered twice, which
+    adds nothing; then one batch is loaded again by force, which adds a copy of it."""
+    path, root = scratch_dir(spark, "landing"), scratch_dir(spark, "lake")
+    for batch_id, compression in zip(retail.BATCHES, ("none", "gzip", "none")):
+        texts = warehouse.landed(spark, sf_dir, "sales", batch_id).select(*schemas.BUSINESS_COLUMNS["sales"])
+        texts.write.options(**_CSV, compression=compression).csv(f"{path}/{batch_id}")
+    kinds = "*.csv{,.gz}"
+    for _ in range(2):
+        running = [
+            landing.start_landing(spark, f"{path}/{b}", root, "sales", b, _now(), kinds, complete=False) for b in retail.BATCHES
+        ]
+        for query in running:
+            query.awaitTermination()
+    again = landing.ingest_csv(spark, f"{path}/BATCH_01", "sales", "BATCH_01", _now() + F.expr("INTERVAL 1 DAY"), kinds)
+    raw_layer.append_raw(again, root, "sales", complete=False)
+    loaded = raw_layer.read_raw(spark, root, "sales")
+    return loaded.select(
+        *schemas.BUSINESS_COLUMNS["sales"], "_batch_id", F.when(F.col("_loaded_at") == _now(), "once").otherwise("forced").alias("load")
+    )
+
+
 @_query(
     "csv_row_numbers",
     "SELECT count(*) AS row_count, count(*) AS distinct_positions, true AS dense FROM raw_sales",
