@@ -76,19 +76,22 @@ def fact_orphans(
 ) -> DataFrame:
     """Fact rows per dimension whose key the dimension lacks.
 
-    The fact is counted per key first, so the anti join handles keys instead of sales.
+    One scan counts the fact per key of every dimension (grouping sets), so one anti join handles keys instead of sales.
     """
     sides = {"customer_key": dim_customer, "product_key": dim_product, "store_key": dim_store}
     if dim_date is not None:
         sides["date_key"] = dim_date
-
-    def orphans(key: str, dim: DataFrame) -> DataFrame:
-        per_key = fact.groupBy(key).agg(_rows().alias("_n"))
-        missing = per_key.join(dim.select(key), key, "left_anti")
-        total = F.coalesce(F.sum("_n"), F.lit(0)).alias("orphans")
-        return missing.agg(total).select(F.lit(key).alias("dimension"), "orphans")
-
-    return stack([orphans(key, dim) for key, dim in sides.items()])
+    names = list(sides)
+    keys = fact.select(*(F.col(name).cast("long").alias(name) for name in names))
+    # a grouping set's number has a bit for each column left out, the first column's the highest
+    dimension = F.coalesce(*(F.when(F.col("_set") == (1 << len(names)) - 1 - (1 << len(names) - 1 - i), name) for i, name in enumerate(names)))
+    counted = keys.groupingSets([[name] for name in names], *names).agg(_rows().alias("_n"), F.grouping_id().alias("_set")).select(
+        dimension.alias("dimension"), F.coalesce(*names).alias("_key"), "_n"
+    )
+    members = stack([dim.select(F.lit(name).alias("dimension"), F.col(name).cast("long").alias("_key")) for name, dim in sides.items()])
+    missing = counted.join(members, ["dimension", "_key"], "left_anti").select("dimension", "_n")
+    none = fact.sparkSession.createDataFrame([(name, 0) for name in names], "dimension string, _n long")
+    return missing.unionByName(none).groupBy("dimension").agg(F.sum("_n").alias("orphans"))
 
 
 def batch_rows(raw: Mapping[str, DataFrame], batch_id: str | None = None) -> DataFrame:

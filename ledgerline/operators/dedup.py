@@ -3,7 +3,7 @@
 ``latest`` filters ``row_number() = 1``; Spark turns that into a per-task group limit before the shuffle, so a key that
 holds a third of all rows sends one row per task instead of its whole group. ``superseded`` needs every row but the
 winner: the winner of a key is a maximum, which tasks aggregate before the shuffle, and the other rows are found by a join
-with the winners, whose hot keys Spark splits.
+with the winners, whose hot keys Spark splits. Rows are told apart by their place in the files they are read from.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
+from ledgerline.operators.keys import Stage, in_scratch
 from ledgerline.operators.rules import REASON, valid
 
 _RECENCY = {"customers": "updated_at", "products": "updated_at", "stores": "opened_date", "sales": "sale_timestamp"}
@@ -40,21 +41,17 @@ def latest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return numbered.filter(F.col("_rn") == 1).drop("_rn")
 
 
-def superseded(df: DataFrame, key: str, rank: Column) -> DataFrame:
-    """Every row with a non-null key but the one that ranks highest (a struct that tells all but identical rows apart).
+def superseded(df: DataFrame, key: str, rank: list[Column], stage: Stage = in_scratch) -> DataFrame:
+    """Every row with a non-null key but one: the one that ranks highest, or, of equal ones, one of them.
 
-    Copies of the winner are counted: all but one of them come back.
+    ``stage`` writes the rows and reads them back; rows that are read from files already need no other.
     """
-    ranked = df.filter(F.col(key).isNotNull()).withColumn("_rank", rank)
+    rows = stage("ranked", df)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    ranked = rows.filter(F.col(key).isNotNull()).select("*", F.struct(*rank, place.alias("place")).alias("_rank"))
     winners = ranked.groupBy(F.col(key).alias("_key")).agg(F.max("_rank").alias("_best"))
     placed = ranked.join(winners, F.col(key) == F.col("_key"))
-    older = placed.filter(F.col("_rank") < F.col("_best")).select(*df.columns)
-    copies = (
-        placed.filter(F.col("_rank") == F.col("_best")).groupBy("_key")
-        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*df.columns)).alias("_row")).filter("_n > 1")
-        .select("_row", F.explode(F.sequence(F.lit(2), F.col("_n")))).select("_row.*")
-    )
-    return older.unionByName(copies)
+    return placed.filter(F.col("_rank") < F.col("_best")).select(*df.columns)
 
 
 def latest_valid(assessed: DataFrame, entity: str) -> DataFrame:

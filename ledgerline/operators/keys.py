@@ -25,6 +25,11 @@ def in_scratch(name: str, df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def as_read(_: str, df: DataFrame) -> DataFrame:
+    """For rows that are read from files already."""
+    return df
+
+
 def assign_keys(df: DataFrame, key: str, after: int | DataFrame = 0, stage: Stage = in_scratch) -> DataFrame:
     """Add ``key``, dense and continuing after ``after``: the last key, or a frame whose highest ``key`` it is.
 

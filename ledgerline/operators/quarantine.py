@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.operators.cleanse import ORIGINAL
 from ledgerline.operators.dedup import recency_columns, superseded
+from ledgerline.operators.keys import Stage, in_scratch
 from ledgerline.operators.rules import DUPLICATE_SALE, ENTITY_TAGS, REASON, invalid
 
 _GUARD = ["source_file", "entity_name", "business_key", "batch_id", "rejection_reason"]
@@ -30,11 +31,10 @@ def rejected(assessed: DataFrame, entity: str, now: Column) -> DataFrame:
     return _record(invalid(assessed), entity, F.col(REASON), now)
 
 
-def duplicate_sales(cleaned: DataFrame, now: Column) -> DataFrame:
-    """Sales superseded within their batch, whether or not they are valid."""
+def duplicate_sales(cleaned: DataFrame, now: Column, stage: Stage = in_scratch) -> DataFrame:
+    """Sales superseded within their batch, whether or not they are valid. ``stage`` as for ``superseded``."""
     original = F.to_json(F.to_variant_object(F.col(ORIGINAL))).alias("original")  # copies that differ in spelling only
-    rank = F.struct(*recency_columns("sales", by_timestamp=False), original)
-    losers = superseded(cleaned, "sale_id", rank)
+    losers = superseded(cleaned, "sale_id", [*(F.col(c) for c in recency_columns("sales", by_timestamp=False)), original], stage)
     return _record(losers, "sales", F.lit(DUPLICATE_SALE), now)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.operators import audit, cleanse, dimensions, fact, quarantine, rules, silver
+from ledgerline.operators.keys import as_read
 from ledgerline.session import together
 from ledgerline.sources.raw import read_or_empty
 from ledgerline.streaming.tables import Load, Tables
@@ -94,7 +95,7 @@ def _products(load: Load, batch: DataFrame, run: audit.Run, now: Column) -> None
 
 def _sales(load: Load, batch: DataFrame, run: audit.Run, now: Column) -> None:
     assessed = _assess(load, batch, "sales", run, keep_all_originals=True)
-    rejects = quarantine.duplicate_sales(assessed, now).unionByName(quarantine.rejected(assessed, "sales", now))
+    rejects = quarantine.duplicate_sales(assessed, now, as_read).unionByName(quarantine.rejected(assessed, "sales", now))
     _, valid = together(
         lambda: _quarantine(load, rejects, run), lambda: load.stage("valid_sales", silver.valid_sales(assessed))
     )

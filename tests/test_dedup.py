@@ -55,7 +55,7 @@ def test_superseded_is_the_exact_complement_for_a_hot_key(spark):
     )
     order = [F.col("_row_number").desc(), F.col("quantity").desc()]
     winners = dedup.latest(rows, "sale_id", order)
-    losers = dedup.superseded(rows, "sale_id", F.struct("_row_number", "quantity"))
+    losers = dedup.superseded(rows, "sale_id", [F.col("_row_number"), F.col("quantity")])
     assert winners.count() == rows.select("sale_id").distinct().count()
     assert winners.unionByName(losers).exceptAll(rows).count() == 0
     assert rows.exceptAll(winners.unionByName(losers)).count() == 0

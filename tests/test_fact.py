@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.operators import analytics, checks, dimensions, fact, merge, silver
+from ledgerline.operators import analytics, audit, checks, dimensions, fact, merge, silver
 from tests.conftest import changes_of, rows_of, silver_of
 
 
@@ -94,6 +94,27 @@ def test_versions_that_overlap_or_are_empty(spark, stored):
     assert starts == {d: at(max(some)) for d, some in valid.items() if some}
 
 
+def test_orphans_are_counted_in_one_scan(spark, stored):
+    fact_ = stored(spark.range(100).select(*(F.col("id").alias(k) for k in ("customer_key", "product_key", "store_key")), F.col("id").cast("int").alias("date_key")))
+    dims = [stored(spark.range(n).select(F.col("id").alias(k))) for k, n in (("customer_key", 90), ("product_key", 100), ("store_key", 0))]
+    found = checks.fact_orphans(fact_, *dims, spark.range(50).select(F.col("id").cast("int").alias("date_key")))
+    assert dict(rows_of(found)) == {"customer_key": 10, "product_key": 0, "store_key": 100, "date_key": 50}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Relation") == 4  # the fact and three dimensions read from files
+
+
+def test_reports_come_in_order(spark):
+    fact_ = spark.createDataFrame([(1, 5), (2, 9), (3, 7)], "customer_key long, net_amount int")
+    dim = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "customer_key long, region string")
+    assert [r["region"] for r in analytics.revenue_by_region(fact_, dim).collect()] == ["B", "C", "A"]
+    days = spark.createDataFrame([(date(2026, 1, d), d) for d in (3, 1, 2)], "sale_date date, net_sales int")
+    assert [r["net_sales"] for r in analytics.daily_revenue(days).collect()] == [1, 2, 3]
+    rejects = spark.createDataFrame([("B", "x"), ("A", "y"), ("A", "x")], "entity_name string, rejection_reason string")
+    assert [tuple(r)[:2] for r in checks.rejects_by_reason(rejects).collect()] == [("A", "x"), ("A", "y"), ("B", "x")]
+    runs = spark.createDataFrame([(datetime(2026, 1, d),) for d in (1, 3, 2)], "started_at timestamp")
+    assert [r["started_at"].day for r in audit.latest_runs(runs).collect()] == [3, 2, 1]
+
+
 def test_merges(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     source = spark.createDataFrame([("b", 20), ("c", 30)], "k string, v int")
