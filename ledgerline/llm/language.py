@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import by_slices, prepare, saved, slices, texts
+from ledgerline.llm.native import fresh
 
 #: Words and n-grams of each length that are broadcast, longest n-gram, smoothing, words a task keeps at a time.
 WORDS, GRAMS, LONGEST, SMOOTHING, KEPT = 100_000, 40_000, 4, 0.5, 100_000
@@ -204,10 +205,11 @@ def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
         )
 
     # equal texts have equal answers: a digest of the text names them
-    docs = docs.withColumn("_key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    own_key = fresh("_key", docs)
+    docs = docs.withColumn(own_key, F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     schema = "_key binary, total array<double>, letters boolean, rest array<string>, times array<long>"
-    drawn = docs.select("_key", "text").mapInArrow(by_slices(work, "text"), schema).where("letters")
-    drawn = saved(saved(drawn, "drawn").dropDuplicates(["_key"]), "texts")
+    drawn = docs.select(F.col(own_key).alias("_key"), "text").mapInArrow(by_slices(work, "text"), schema).where("letters")
+    drawn = saved(drawn.dropDuplicates(["_key"]), "texts")
     entries = drawn.select("_key", F.explode(F.arrays_zip("rest", "times")).alias("e")).select("_key", "e.rest", "e.times")
     entries = entries.withColumnRenamed("rest", "word")
     logs = saved(_looked_up(entries.select("word").distinct(), model, shared), "looked-up")
@@ -218,5 +220,5 @@ def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
     first = F.array(*map(F.lit, model.languages))[F.array_position("total", F.col("best")).cast("int") - 1]
     spread = F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("best")))
     answers = saved(summed.select("_key", first.alias("lang_pred"), (1 / spread).alias("score")), "answers")
-    answered = docs.join(answers, "_key", "left").drop("_key")
+    answered = docs.join(answers.withColumnRenamed("_key", own_key), own_key, "left").drop(own_key)
     return answered.withColumn("lang_pred", F.coalesce("lang_pred", unknown[0])).withColumn("score", F.coalesce("score", unknown[1]))

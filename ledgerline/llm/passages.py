@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import by_slices, prepare, row_key, saved, texts
@@ -88,13 +89,13 @@ def _anchors(window: int) -> Callable:
     cover = np.array(cover)
 
     def entries(part: pa.RecordBatch):
-        for doc, text in zip(part.column("doc_id").to_pylist(), texts(part, "text")):
+        for doc, text, shift in zip(part.column("doc_id").to_pylist(), texts(part, "text"), part.column("shift").to_pylist()):
             words = text.split()
             if len(words) >= window:
                 starts = (np.arange(0, len(words), period)[:, None] + cover).ravel()
                 starts = starts[starts + width <= len(words)]
                 hashes = _ROLLING[0].of(_words.of(words), starts, width)
-                yield hashes, np.empty(0, np.uint32), np.full(len(starts), doc, np.int64), starts.astype(np.int32)
+                yield hashes, np.empty(0, np.uint32), np.full(len(starts), doc, np.int64), (starts + shift).astype(np.int32)
 
     return entries
 
@@ -103,7 +104,8 @@ def _extended(window: int) -> Callable:
     reach = window - cover_of(window)[2]
 
     def entries(part: pa.RecordBatch):
-        for doc, text, places in zip(part.column("doc_id").to_pylist(), texts(part, "text"), part.column("places")):
+        columns = part.column("doc_id").to_pylist(), texts(part, "text"), part.column("places"), part.column("shift").to_pylist()
+        for doc, text, places, shift in zip(*columns):
             words = text.split()
             held = np.zeros(len(words) + 2, np.int32)
             places = places.values.to_numpy()
@@ -113,7 +115,7 @@ def _extended(window: int) -> Callable:
             if len(starts):
                 hashes = _words.of(words)
                 second = (_ROLLING[1].of(mix(hashes), starts, window) >> np.uint64(32)).astype(np.uint32)
-                yield _ROLLING[0].of(hashes, starts, window), second, np.full(len(starts), doc, np.int64), starts.astype(np.int32)
+                yield _ROLLING[0].of(hashes, starts, window), second, np.full(len(starts), doc, np.int64), (starts + shift).astype(np.int32)
 
     return entries
 
@@ -148,8 +150,9 @@ def repeated_passages(docs: DataFrame, counts: DataFrame, window: int = 50) -> D
     with a smaller ``doc_id``; windows are judged on the input. ``removed`` lists spans of word numbers (end exclusive), ``text``
     the kept words joined by one space. ``counts`` is ``word_counts(docs)``, written. Documents not returned keep all words.
 
-    Null and blank texts have no words. Rows without an id take no part. If an id comes with several texts, the one with the
-    smallest key takes part; repeated rows are one document, returned once.
+    Null and blank texts have no words. Rows without an id take no part. All texts of an id take part, as texts of one document:
+    their places are counted on, in the order of their keys (fewer than 2^31 words of one id); repeated rows are returned once.
+    An empty table gives an empty one.
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), "text")
@@ -157,25 +160,42 @@ def repeated_passages(docs: DataFrame, counts: DataFrame, window: int = 50) -> D
     # an exact copy of a whole document loses all its words; the first of the copies stands for them
     # (written, so that the join has shuffles of its own, whose hot keys Spark can split)
     firsts = saved(long_enough.groupBy("f1", "f2").agg(F.min("doc_id").alias("first")), "firsts")
-    one_text = long_enough.groupBy("doc_id").agg(F.min("row_key").alias("row_key"))
     copies = saved(
-        long_enough.join(firsts, ["f1", "f2"]).where("doc_id > first").select("doc_id", "row_key", "n_words").distinct()
-        .join(one_text, ["doc_id", "row_key"]),
-        "copies",
+        long_enough.join(firsts, ["f1", "f2"]).where("doc_id > first").select("doc_id", "row_key", "n_words").distinct(), "copies"
     )
+    before = F.sum("n_words").over(W.partitionBy("doc_id").orderBy("row_key").rowsBetween(W.unboundedPreceding, -1))
+    each = long_enough.groupBy("doc_id", "row_key").agg(F.max("n_words").alias("n_words"))
+    each = saved(each.withColumn("shift", F.coalesce(before, F.lit(0))), "shifts")
+    # only further texts of an id are shifted: mostly none, so the documents need not be shuffled for it
+    shifted = saved(each.where("shift > 0").select("doc_id", "row_key", "shift"), "shifted")
+    own = docs.where("doc_id IS NOT NULL").join(shifted, ["doc_id", "row_key"], "left").select(
+        "doc_id", "row_key", "text", F.coalesce("shift", F.lit(0)).alias("shift")
+    )
+
+    def in_own_text(places: DataFrame, texts_: DataFrame) -> DataFrame:
+        """Places of an id as places in each of its texts."""
+        inside = F.filter("places", lambda p: (p >= F.col("shift")) & (p < F.col("shift") + F.col("n_words")))
+        here = F.transform(inside, lambda p: (p - F.col("shift")).cast("int"))
+        return places.join(texts_, "doc_id").withColumn("places", here).where(F.size("places") > 0)
+
     period, cover, _ = cover_of(window)
     words = long_enough.agg(F.sum("n_words")).first()[0] or 0
-    candidates = places_by_document(
-        docs.where("doc_id IS NOT NULL").select("doc_id", "text"), groups_for(docs, words * len(cover) // period),
-        wide=False, earliest=False, text="text", entries=_anchors(window),
-    ).join(copies, "doc_id", "left_anti").join(one_text, "doc_id")
+    candidates = in_own_text(
+        places_by_document(
+            own.select("doc_id", "text", "shift"), groups_for(docs, words * len(cover) // period),
+            wide=False, earliest=False, text="text", entries=_anchors(window),
+        ), each,
+    ).join(copies, ["doc_id", "row_key"], "left_anti")
     involved = saved(docs.join(candidates, ["doc_id", "row_key"]).dropDuplicates(["doc_id", "row_key"]), "involved")
     windows = involved.agg(F.sum(F.size("places").cast("long"))).first()[0] or 0
-    removed = places_by_document(
-        involved.select("doc_id", "text", "places"), groups_for(docs, windows * 5), wide=True, earliest=True, text="text", entries=_extended(window),
-    )
+    removed = in_own_text(
+        places_by_document(
+            involved.select("doc_id", "text", "places", "shift"), groups_for(docs, windows * 5), wide=True, earliest=True, text="text",
+            entries=_extended(window),
+        ), involved.select("doc_id", "row_key", "n_words", "shift"),
+    ).select("doc_id", "row_key", "places")
     changed = (
-        involved.drop("places").join(removed, "doc_id")
+        involved.select("doc_id", "row_key", "text").join(removed, ["doc_id", "row_key"])
         .mapInArrow(by_slices(_cleaned(window), "text"),
                     "doc_id long, row_key long, n_removed long, removed array<struct<start: int, end: int>>, text string")
     )

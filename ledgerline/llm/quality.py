@@ -3,8 +3,8 @@
 A document is a sparse vector x. Its score is the logistic of w0 + sum w_i x_i + sum over pairs <v_i, v_j> x_i x_j, and the pairs
 cost no more than the features: per factor half of (sum v_i x_i)^2 - sum (v_i x_i)^2.
 
-Training takes at most ``SAMPLE_ROWS`` labelled rows, those whose id hashes lowest, and runs on the driver over their feature
-vectors. Every row is scored where it lies, with the model as a broadcast of fixed size.
+Training takes at most ``SAMPLE_ROWS`` labelled texts, those whose id hashes lowest, with at most ``SAMPLE_VALUES`` features, and
+runs on the driver over their feature vectors. Every row is scored where it lies, with the model as a broadcast of fixed size.
 """
 
 from __future__ import annotations
@@ -14,14 +14,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import by_slices, prepare, texts
+from ledgerline.llm.common import by_slices, prepare, row_key, saved, texts
 from ledgerline.llm.native import fresh
 from ledgerline.llm.shingles import WordHashes
 
 #: Labelled rows that a model is fitted on, buckets for words, factors of a pair.
 SAMPLE_ROWS, WORD_BUCKETS, FACTORS = 12_000, 1 << 16, 8
+#: Features of all rows that a model is fitted on, 12 bytes each on the driver.
+SAMPLE_VALUES = 20_000_000
 #: Each statistic falls into one of so many steps.
 STEPS = 24
 
@@ -127,29 +130,41 @@ def held_out(key="doc_id"):
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> FactorisationMachine:
     """A model of ``labels.quality``; held-out ids, null ids and null labels are not used. Without any label the score is 0.5.
 
-    An id with several labels has their largest; an id with several texts is used with each of them.
+    An id with several labels has their largest. Rows with the same id and text count once, and of all texts of labelled ids at most
+    ``sample_rows`` are used, those whose id hashes lowest; of these, as many as hold ``SAMPLE_VALUES`` features together (12 bytes each).
+    So the driver never holds more, whatever a label or an id occurs with.
     """
     prepare(docs.sparkSession)
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    # a random subset by hash, then the rows that hash lowest: at most sample_rows
+    # a random subset by hash: the ids that hash lowest, then of their texts those that do
     drawn = (
         known.where(~held_out()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     )
-    rows = docs.select("doc_id", "text", _recorded(docs).alias("recorded")).join(F.broadcast(drawn), "doc_id")
+    place = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("key")]
+    rows = docs.select("doc_id", row_key().alias("key"), "text", _recorded(docs).alias("recorded"))
+    labelled = rows.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "key").agg(
+        F.max("quality").alias("quality"), F.max("recorded").alias("recorded"))
+    chosen = saved(labelled.orderBy(*place).limit(sample_rows), "sample")
+    rows = rows.drop("recorded").join(F.broadcast(chosen), ["doc_id", "key"])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [features(t, n) for t, n in zip(texts(batch, "text"), batch.column("recorded").to_pylist())]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("quality"), pa.array([i.astype(np.int32).tobytes() for i, _ in found], pa.binary()),
-             pa.array([v.tobytes() for _, v in found], pa.binary())],
-            ["doc_id", "quality", "index", "value"],
+            [batch.column("doc_id"), batch.column("key"), batch.column("quality"),
+             pa.array([i.astype(np.int32).tobytes() for i, _ in found], pa.binary()),
+             pa.array([v.tobytes() for _, v in found], pa.binary()), pa.array([len(v) for _, v in found], pa.int64())],
+            ["doc_id", "key", "quality", "index", "value", "n"],
         )
 
-    made = rows.select(F.col("doc_id").cast("long"), F.col("quality").cast("int"), "text", "recorded").mapInArrow(
-        by_slices(work, "text"), "doc_id long, quality int, index binary, value binary"
+    made = rows.select(F.col("doc_id").cast("long"), "key", F.col("quality").cast("int"), "text", "recorded").mapInArrow(
+        by_slices(work, "text"), "doc_id long, key long, quality int, index binary, value binary, n long"
     )
-    table = made.toArrow().sort_by([("doc_id", "ascending"), ("index", "ascending"), ("value", "ascending")])
+    # at most sample_rows rows from here on (rows repeat with their id and text: one of each)
+    made = saved(made.dropDuplicates(["doc_id", "key"]), "features")
+    upto = made.select("doc_id", "key", F.sum("n").over(W.orderBy(*place)).alias("upto")).where(F.col("upto") <= SAMPLE_VALUES)
+    table = made.join(upto, ["doc_id", "key"]).select("doc_id", "quality", "index", "value").toArrow().sort_by(
+        [("doc_id", "ascending"), ("index", "ascending"), ("value", "ascending")])
     index = [np.frombuffer(b, np.int32).astype(np.int64) for b in table.column("index").to_pylist()]
     value = [np.frombuffer(b, np.float32) for b in table.column("value").to_pylist()]
     label = table.column("quality").to_numpy().astype(np.float64) > 0

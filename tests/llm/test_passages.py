@@ -71,8 +71,8 @@ def test_repeated_rows_and_rows_without_id(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(1, text), (1, text), (2, text), (2, text), (None, text), (2, "another text " + text)]
     found = run(spark, rows, 50)
-    assert sorted((i or 0, n, gone) for i, n, gone, _ in found if n == 60) == [(0, 60, 0), (1, 60, 0), (1, 60, 0)] + [(2, 60, f[2]) for f in found if f[:2] == (2, 60)]
-    assert len(found) == 6
+    known = [(i, t) for i, t in rows if i is not None]
+    assert sorted(f for f in found if f[0] is not None) == brute(known, 50) and [f[2] for f in found if f[0] is None] == [0]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert run(spark, [(1, "short")], 50)[0][2] == 0 and passages.word_counts(empty).collect() == []
 
@@ -83,3 +83,16 @@ def test_cleaned_tables_keep_their_columns(spark):
     found = passages.without_repeats(frame)
     assert found.columns == frame.columns
     assert sorted(tuple(r) for r in found.collect()) == [(1, text, "a"), (2, "x y", "b"), (3, "left  as it is", "c")]
+
+
+def test_every_text_of_an_id_takes_part(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(1, a), (1, b), (2, b), (3, f"start here {b} end here"), (4, c), (4, f"{c} {a}"), (4, "short"), (5, f"x {c} y"), (5, f"{b} z {a}")]
+    assert sorted(run(spark, rows, 50)) == brute(rows, 50)
+
+
+def test_random_ids_with_several_texts(spark, monkeypatch):
+    monkeypatch.setattr(meeting, "GATHERED", 2000)
+    draw = random.Random(77)
+    rows = [(draw.randint(0, 40), t) for t in corpus(draw, 20)]
+    assert sorted(run(spark, rows, 20)) == brute(rows, 20)

@@ -46,6 +46,21 @@ def test_the_sample_is_bounded_and_fixed(spark):
     assert one.bias == two.bias and np.array_equal(one.weights, two.weights) and np.array_equal(one.factors, two.factors)
 
 
+def test_an_id_with_very_many_texts_does_not_break_the_bound(spark, monkeypatch):
+    fitted = []
+    real = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda index, value, label: fitted.append([len(v) for v in value]) or real(index, value, label))
+    docs = spark.range(3000).selectExpr("2L AS doc_id", "concat('text ', id % 700) AS text").union(spark.createDataFrame([(1, "other")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(2, 1), (1, 0)], "doc_id long, quality int")
+    quality.train(docs, labels, sample_rows=10)
+    assert len(fitted[0]) == 10
+    quality.train(docs, labels)
+    assert len(fitted[1]) == 701  # each text once
+    monkeypatch.setattr(quality, "SAMPLE_VALUES", 200)
+    quality.train(docs, labels)
+    assert 0 < sum(fitted[2]) <= 200
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
