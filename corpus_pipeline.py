@@ -7,18 +7,16 @@ one adds the token ids. Null texts count as empty; rows without an id pass where
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.llm import quality
-from ledgerline.llm.common import read, row_key, saved
+from ledgerline.llm.common import read, saved
 from ledgerline.llm.decontaminate import without_contaminated
 from ledgerline.llm.minhash import near_duplicates
 from ledgerline.llm.native import fresh
 from ledgerline.llm.pieces import encode_texts
 from ledgerline.llm.queries import tokenizer_file
 from ledgerline.llm.secrets import redacted
-from ledgerline.operators.keys import assign_keys
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,23 +29,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
 
-    Rows that repeat an id and its text are one document. Further texts of an id are documents of their own, with numbers beyond all
-    ids; mostly there are none, and no other row is moved for their sake.
+    Rows go by their id: of an id that comes with several texts all rows go if one of them is a copy of a smaller document.
     """
-    node, key, gone = (fresh(name, docs) for name in ("_node", "_text_key", "_gone"))
-    keyed = docs.withColumn(key, row_key())
-    known = docs.where("doc_id IS NOT NULL")
-    several = saved(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "several")
-    again = saved(keyed.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", key]), "again")
-    place = F.row_number().over(W.partitionBy("doc_id").orderBy(key)).alias("place")
-    further = again.select("doc_id", key, place).where("place > 1").drop("place")
-    numbered = assign_keys(further, node, known.select(F.max("doc_id").alias(node)), lambda purpose, rows: saved(rows, purpose))
-    single = keyed.join(several, "doc_id", "left_anti").withColumn(node, F.col("doc_id"))
-    more = again.join(numbered, ["doc_id", key], "left").withColumn(node, F.coalesce(node, "doc_id"))
-    rows = single.unionByName(more)
-    copies = near_duplicates(rows.select(F.col(node).alias("doc_id"), "text"), k=5, percent=80).where("NOT kept")
-    copies = copies.select(F.col("doc_id").alias(gone))
-    return rows.join(copies, F.col(node) == F.col(gone), "left_anti").select(docs.columns)
+    gone = near_duplicates(docs, k=5, percent=80).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
