@@ -20,10 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import by_slices, prepare, saved, texts
+from ledgerline.llm.common import by_slices, prepare, row_key, saved, texts
 from ledgerline.llm.components import connected_components
 from ledgerline.llm.meeting import groups_for, meeting_keys
 from ledgerline.llm.shingles import WordHashes, mix, shingle_set
+from ledgerline.operators.keys import assign_keys
 
 ROWS, BANDS = 6, 48
 #: Members of one hub that meet in one task.
@@ -65,7 +66,7 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """``doc_id, n_shingles, f1, f2, bands``: set size, 128-bit fingerprint of the set, hash of each band (null if empty)."""
+    """``doc_id, row_key, n_shingles, f1, f2, bands``: set size, 128-bit fingerprint of the set, hash of each band (none if empty)."""
     hashes = WordHashes()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -76,13 +77,13 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
             marks.append(np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64))
             bands.append(band_hashes(signature(shingles)) if len(shingles) else np.empty(0, np.uint64))
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array([m[0] for m in marks], pa.int64()),
+            [batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()), pa.array([m[0] for m in marks], pa.int64()),
              pa.array([m[1] for m in marks], pa.int64()), _lists(bands)],
-            ["doc_id", "n_shingles", "f1", "f2", "bands"],
+            ["doc_id", "row_key", "n_shingles", "f1", "f2", "bands"],
         )
 
-    schema = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(by_slices(work, "text"), schema)
+    schema = "doc_id long, row_key long, n_shingles long, f1 long, f2 long, bands array<long>"
+    return docs.select("doc_id", "row_key", "text").mapInArrow(by_slices(work, "text"), schema)
 
 
 def _full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -184,8 +185,8 @@ def _band_entries(batch: pa.RecordBatch):
     yield bands[offsets[0] : offsets[-1]], np.empty(0, np.uint32), doc, np.zeros(len(doc), np.int32)
 
 
-def _links(docs: DataFrame, reps: DataFrame, buckets: int, k: int, percent: int) -> DataFrame | None:
-    """Links between representatives that decide all components."""
+def _links(docs: DataFrame, nodes: DataFrame, reps: DataFrame, buckets: int, k: int, percent: int) -> DataFrame | None:
+    """Links between classes that decide all components."""
     members = saved(meeting_keys(reps.select("doc_id", "bands"), buckets, _band_entries).withColumnRenamed("key", "band"), "buckets")
     sizes = members.groupBy("band").agg(F.count("*").alias("n"))
     members = members.join(sizes, "band")
@@ -198,8 +199,9 @@ def _links(docs: DataFrame, reps: DataFrame, buckets: int, k: int, percent: int)
     )
     if stars.isEmpty():
         return None
-    involved = stars.select(F.col("hub").alias("doc_id")).union(stars.select("member")).distinct()
-    found = _full_sets(docs.join(involved.hint("merge"), "doc_id", "left_semi"), k)
+    involved = stars.select(F.col("hub").alias("node")).union(stars.select("member")).distinct().join(nodes, "node")
+    involved = involved.select("node", F.col("rep").alias("doc_id"), F.col("rep_key").alias("row_key"))
+    found = _full_sets(docs.join(involved.hint("merge"), ["doc_id", "row_key"]).select(F.col("node").alias("doc_id"), "text"), k)
     sets = saved(found.groupBy("doc_id").agg(F.min("shingles").alias("shingles")), "sets")
     size = F.size("shingles").cast("long")
     compared = saved(
@@ -222,35 +224,66 @@ def _links(docs: DataFrame, reps: DataFrame, buckets: int, k: int, percent: int)
     return first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more)
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``, other columns unused).
+def _classes(drawn: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The classes of equal sets: ``f1, f2, rep, rep_key, node``; and ``rep, rep_key, node`` of those not named by an id.
 
-    Words are split at ASCII white space with A-Z lower-cased; a set holds the distinct ``k``-word shingles, or the whole
-    sequence if there are fewer words. Two documents are linked if the Jaccard similarity of their sets is at least
-    ``percent`` / 100. ``component_id`` is the smallest id reachable over links; a row is kept if that is its own id.
+    A class is represented by its row of smallest id, and by its smallest text if that id has several. Its node is that id. If
+    an id represents several classes, all but one of them are numbered beyond all ids.
+    """
+    # written, so that the joins below have shuffles of their own, whose hot keys Spark can split
+    first = saved(
+        drawn.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "row_key")).alias("first"))
+        .select("f1", "f2", F.col("first.doc_id").alias("rep"), F.col("first.row_key").alias("rep_key")),
+        "first",
+    )
+    several = first.groupBy("rep").agg(F.min("rep_key").alias("named"), F.count("*").alias("n")).where("n > 1").drop("n")
+    further = first.join(saved(several, "several"), "rep").where("rep_key <> named").select("rep", "rep_key")
+    further = assign_keys(further, "node", drawn.select(F.max("doc_id").alias("node")), lambda purpose, rows: saved(rows, purpose))
+    further = saved(further, "further")
+    return first.join(further, ["rep", "rep_key"], "left").withColumn("node", F.coalesce("node", "rep")), further
 
-    Null or blank texts have an empty set and are linked with nothing. A row without an id is linked with nothing, has no
-    component and is kept. Repeated rows give repeated rows. If an id comes with several texts, each is grouped with its own exact
-    copies, and one of them (the smallest set) stands for the id in near links.
+
+def groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, row_key, n_shingles, component, component_id`` for every row of ``docs`` (``doc_id, text``, other columns unused).
+
+    ``row_key`` tells the texts of an id apart. ``component`` is one number for all rows of a group and for no others;
+    ``component_id`` is the smallest id of the group. Two groups have the same ``component_id`` if an id comes with texts of both.
+    Rows without an id or with an empty set have no ``component``. Numbers beyond the largest id must be left for further texts of
+    an id; if there are too few the job fails.
     """
     prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), "text")
     drawn = saved(sketches(docs, k), "sketches")
     alone = "doc_id IS NULL OR n_shingles = 0"
     taking_part = drawn.where(f"NOT ({alone})")
-    # written, so that the joins below have shuffles of their own, whose hot keys Spark can split
-    first = saved(taking_part.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "first")
-    classes = saved(taking_part.select("doc_id", "n_shingles", "f1", "f2").join(first, ["f1", "f2"]), "classes")
+    nodes, further = _classes(taking_part)
+    classes = saved(taking_part.drop("bands").join(nodes.drop("rep", "rep_key"), ["f1", "f2"]).drop("f1", "f2"), "classes")
     # one row for each class (repeated rows: one for each of them, which meet nothing new)
-    reps = drawn.where(f"NOT ({alone})").join(first, ["f1", "f2"]).where("doc_id = rep").select("doc_id", "bands")
-    links = _links(docs, reps, groups_for(docs, drawn.count() * BANDS), k, percent)
+    reps = taking_part.join(nodes, ["f1", "f2"]).where("doc_id = rep AND row_key = rep_key").select(F.col("node").alias("doc_id"), "bands")
+    links = _links(docs, nodes, reps, groups_for(docs, drawn.count() * BANDS), k, percent)
     if links is None:
-        named = classes.withColumn("component_id", F.col("rep"))
+        linked = docs.sparkSession.createDataFrame([], "node long, component long")
     else:
-        named = classes.join(connected_components(links).withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-            "component_id", F.coalesce("component", "rep")
-        )
-    result = named.select("doc_id", "n_shingles", "component_id").union(
-        drawn.where(alone).select("doc_id", "n_shingles", "doc_id")
+        linked = connected_components(links)
+    component = F.coalesce("component", "node").alias("component")
+    # a component is named by its smallest node: an id, unless a class numbered beyond the ids has a smaller one
+    lower = further.join(linked, "node", "left").select(component, "rep").groupBy("component").agg(F.min("rep").alias("lower"))
+    named = classes.join(linked, "node", "left").select("doc_id", "row_key", "n_shingles", component)
+    named = named.join(saved(lower, "lower"), "component", "left")
+    return named.select("doc_id", "row_key", "n_shingles", "component", F.least("component", "lower").alias("component_id")).union(
+        drawn.where(alone).select("doc_id", "row_key", "n_shingles", F.lit(None).cast("long"), "doc_id")
     )
-    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id, text``, other columns unused).
+
+    Words are split at ASCII white space with A-Z lower-cased; a set holds the distinct ``k``-word shingles, or the whole
+    sequence if there are fewer words. Two documents are linked if the Jaccard similarity of their sets is at least
+    ``percent`` / 100. ``component_id`` is the smallest id reachable over links; a row is kept if that is its own id.
+
+    Null or blank texts have an empty set and are linked with nothing. A row without an id is linked with nothing, has no
+    component and is kept. Repeated rows give repeated rows. If an id comes with several texts, each is a document of its own.
+    """
+    found = groups(docs, k, percent).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

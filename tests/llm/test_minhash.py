@@ -58,6 +58,15 @@ def test_groups_equal_all_pairs(spark):
         assert run(spark, rows, k) == brute(rows, k)
 
 
+def test_every_text_of_an_id_takes_part(spark):
+    draw = random.Random(13)
+    a, b, c, d = (family(draw, 6, 80, 4) for _ in range(4))
+    rows = [(1, a[0]), (1, b[0]), (1, c[0]), (2, b[1]), (2, c[1]), (3, c[2]), (4, a[1]), (5, d[0]), (5, d[1]), (5, a[2]), (6, d[2])]
+    rows += [(9, a[0]), (9, a[0]), (9, d[3]), (-4, d[4]), (-4, None), (7, b[0].upper()), (1, b[0])]
+    for k in (2, 5):
+        assert run(spark, rows, k) == brute(rows, k)
+
+
 def test_small_tiles_find_the_same(spark, monkeypatch):
     draw = random.Random(12)
     monkeypatch.setattr(minhash, "TILE", 7)
