@@ -16,8 +16,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``links`` (columns ``u``, ``v``); a component is named by its smallest node.
 
     Alternating star contraction: each round hangs every node's larger neighbours below its smallest one, then its smaller
-    ones. Minima are aggregated per task before the shuffle, so a node with very many links stays cheap; each round is a
-    written table, and only a count and a checksum reach the driver.
+    ones. Minima are aggregated per task before the shuffle and written before they are joined back, so that the links of a node
+    with very many come to the join by a shuffle of their own, which Spark can split. Each step is a written table, and only a
+    count and a checksum reach the driver.
     """
     edges = saved(
         links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"
@@ -25,9 +26,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     state = _fingerprint(edges)
     while state[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = saved(large.distinct(), "large")
+        least = saved(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = saved(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
         before, state = state, _fingerprint(edges)
