@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import quality
-from ledgerline.llm.common import read, saved
+from ledgerline.llm.common import read, row_key, saved
 from ledgerline.llm.decontaminate import without_contaminated
-from ledgerline.llm.minhash import near_duplicates
+from ledgerline.llm.minhash import groups
 from ledgerline.llm.native import fresh
 from ledgerline.llm.pieces import encode_texts
 from ledgerline.llm.queries import tokenizer_file
@@ -29,10 +29,20 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
 
-    Rows go by their id: of an id that comes with several texts all rows go if one of them is a copy of a smaller document.
+    If an id comes with several texts, each is a document of its own, and of those in one group one stays. Rows that repeat an id
+    and its text are one document. Rows without an id and texts without words stay.
     """
-    gone = near_duplicates(docs, k=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    key = fresh("_row_key", docs)
+    rows = saved(groups(docs, k=5, percent=80).where("component IS NOT NULL").select("doc_id", "row_key", "component"), "groups")
+    place = F.struct("doc_id", "row_key")
+    several = rows.groupBy("component").agg(F.min(place).alias("one"), F.count("*").alias("n")).where("n > 1").drop("n")
+    several = rows.join(saved(several, "several"), "component").groupBy("doc_id", "row_key").agg(
+        F.bool_or(place == F.col("one")).alias("stays"), F.count("*").alias("n")
+    )
+    several = saved(several.where("n > 1 OR NOT stays").withColumnRenamed("row_key", key), "leaving")  # mostly rows that go
+    keyed = docs.withColumn(key, row_key())
+    again = keyed.join(several.where("stays"), ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key])
+    return keyed.join(several, ["doc_id", key], "left_anti").unionByName(again).select(docs.columns)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
