@@ -6,8 +6,9 @@ coordinates meet in buckets; at the similarity of 0.8 a pair misses all of them
 
 A bucket is never expanded into its pairs. Its hub, the member that meets most others in all its buckets, is compared with
 each member on full sets. What the hub does not settle is finished by symmetric differences: if Dx is what sets x and h do
-not share, then |x ^ y| = |Dx ^ Dy|, so all members of one hub that are still in different components are compared exactly,
-tile by tile, and only links leave the task.
+not share, then |x ^ y| = |Dx ^ Dy|, so members of one hub that are still in different components are compared exactly and only
+links leave the task. Where a hub has more of them than a tile holds, those that share a rare enough element of their differences
+are found first, and each cluster of these is compared by itself, tile by tile if need be.
 """
 
 from __future__ import annotations
@@ -160,22 +161,80 @@ def _tile_links(percent: int):
     return work
 
 
-def _open_links(known: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one hub that are in different components, from what hub and member do not share."""
-    open_hubs = saved(
+def _shared_needed(percent: int):
+    """How many elements of what it does not share with its hub a member must have in common with any partner, at least.
+
+    With E = (100 - percent) and S = (100 + percent), sets are similar if S |x ^ y| <= E (|x| + |y|), and |x ^ y| = |Dx ^ Dy|. Of two
+    members in different components at least one, y, is not similar to the hub h: S |Dy| > E (|y| + |h|). So the overlap o of Dx and Dy has
+    2 S o > S |Dx| + E (|h| - |x|). If it is x that is not, y may be: from |y| <= |h| + |Dy| and |Dy| >= o follows
+    200 o >= S |Dx| - E (|x| + |h|), which is above 0.
+    """
+    apart, x, h = F.size("apart").cast("long"), F.col("n_member"), F.col("n_hub")
+    e, s = 100 - percent, 100 + percent
+    partner_open = F.floor((s * apart + e * (h - x)) / (2 * s)) + 1
+    itself_open = F.ceil((s * apart - e * (x + h)) / F.lit(200))
+    to_hub = _similar(h, x, apart, percent)
+    return F.greatest(F.lit(1), F.when(to_hub, partner_open).otherwise(F.least(partner_open, itself_open))).cast("int")
+
+
+def _clusters(crowded: DataFrame, percent: int) -> DataFrame:
+    """``hub, member, cluster`` of the members of crowded hubs that may have a link to another component.
+
+    Two similar members share one of the rarest elements of their differences (as many as may be missing from the overlap, and one
+    more). Members without such an element in common with another component drop out; the others form clusters over the elements.
+    """
+    elements = crowded.select("hub", "member", F.explode("apart").alias("element"))
+    often = saved(elements.groupBy("hub", "element").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    common = elements.join(often, ["hub", "element"]).groupBy("hub", "member").agg(
+        F.sort_array(F.collect_list(F.struct("n", "element"))).alias("common")  # of one member: not more than its own difference
+    )
+    rare = F.size("apart") - F.size("common")  # elements that no other member has come first, and meet nobody
+    room = F.greatest(F.size("apart") - _shared_needed(percent) + 1 - rare, F.lit(0))
+    first = crowded.join(common, ["hub", "member"]).select("hub", "member", "component", F.expr("common.element").alias("common"), room.alias("room"))
+    first = saved(first.select("hub", "member", "component", F.explode(F.slice("common", F.lit(1), F.col("room"))).alias("element")), "first")
+    mixed = first.groupBy("hub", "element").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+    met = first.join(saved(mixed.select("hub", "element"), "mixed"), ["hub", "element"])
+    # two nodes of the same hash would only make one cluster of two
+    met = saved(met.select("hub", "member", F.xxhash64(F.lit(0), "hub", "member").alias("u"), F.xxhash64(F.lit(1), "hub", "element").alias("v")), "met")
+    clusters = connected_components(met.select("u", "v")).select(F.col("node").alias("u"), F.col("component").alias("cluster"))
+    return met.select("hub", "member", "u").distinct().join(clusters, "u").drop("u")
+
+
+def _dealt(known: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``known`` dealt to groups ``hub, cluster, low, high`` in which members of different components are compared.
+
+    The members of a hub are one cluster if a tile holds them; those of a crowded hub are clustered first. A cluster larger than a tile
+    meets tile by tile.
+    """
+    hubs = saved(
         known.groupBy("hub").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
-        .where("a <> b").select("hub", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")),
+        .where("a <> b").select("hub", "n"),
         "open",
     )
-    spread = known.join(open_hubs, "hub").withColumn("tile", F.pmod(F.xxhash64("member"), F.col("tiles")).cast("int"))
+    kept = ["hub", "cluster", "member", "component", "n_member", "apart", "tiles"]
+    spread = known.join(hubs.where(F.col("n") <= TILE).select("hub"), "hub").withColumns({"cluster": F.lit(0).cast("long"), "tiles": F.lit(1)}).select(*kept)
+    if not hubs.where(F.col("n") > TILE).isEmpty():
+        crowded = saved(known.join(hubs.where(F.col("n") > TILE).select("hub"), "hub"), "crowded")
+        clusters = saved(_clusters(crowded, percent), "clusters")
+        sizes = clusters.groupBy("hub", "cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+        placed = clusters.join(saved(sizes, "sizes"), ["hub", "cluster"])
+        spread = spread.union(crowded.join(placed, ["hub", "member"]).select(*kept))
     # a member of tile t meets tiles t..last as first side and tiles 0..t as second side
+    spread = spread.withColumn("tile", F.pmod(F.xxhash64("member"), F.col("tiles")).cast("int"))
     each = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    each = each.select(
-        "hub", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
+    return each.select(
+        "hub", "cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
         (F.col("tile") <= F.col("other")).alias("first"), (F.col("tile") >= F.col("other")).alias("second"),
         "member", "component", "n_member", "apart",
     )
-    return each.groupBy("hub", "low", "high").applyInArrow(_tile_links(percent), "u long, v long")
+
+
+def _open_links(known: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one hub that are in different components, from what hub and member do not share.
+
+    ``known`` has ``hub, member, n_hub, n_member, apart, component``, one row for each hub and member.
+    """
+    return _dealt(known, percent).groupBy("hub", "cluster", "low", "high").applyInArrow(_tile_links(percent), "u long, v long")
 
 
 def _band_entries(batch: pa.RecordBatch):

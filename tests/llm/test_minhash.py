@@ -4,6 +4,8 @@ import random
 
 from ledgerline.llm import components, minhash
 
+KNOWN = "hub long, member long, n_hub long, n_member long, apart array<long>, component long"
+
 
 def sets_of(text, k):
     words = (text or "").encode().lower().split()
@@ -81,8 +83,8 @@ def test_tiles_lose_no_link(spark, monkeypatch):
     sets = {i: hub ^ set(range(10 * (i % 3), 10 * (i % 3) + 10)) ^ {1000 + 100 * i + j for j in range(12)} for i in range(12)}
     sets |= {100 + i: sets[i] ^ {5000 + 100 * i + j for j in range(20)} for i in (0, 1, 5, 10)}
     component = {i: 0 if i < 100 else i for i in sets}
-    rows = [(-1, i, len(s), sorted(s ^ hub), component[i]) for i, s in sets.items()]
-    known = spark.createDataFrame(rows, "hub long, member long, n_member long, apart array<long>, component long")
+    rows = [(-1, i, len(hub), len(s), sorted(s ^ hub), component[i]) for i, s in sets.items()]
+    known = spark.createDataFrame(rows, KNOWN)
     expected = {
         (a, b) for a in sets for b in sets
         if a < b and component[a] != component[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
@@ -91,6 +93,49 @@ def test_tiles_lose_no_link(spark, monkeypatch):
     assert len(expected) == 4 and sorted(found) == sorted(expected)
 
 
+def test_random_members_of_crowded_hubs(spark, monkeypatch):
+    # from every set similar to the hub to none; each known component is one that links to the hub imply
+    monkeypatch.setattr(minhash, "TILE", 3)
+    for percent, seed in ((80, 1), (80, 2), (60, 3), (95, 4)):
+        draw = random.Random(seed)
+        rows, sets = [], {}
+        for hub_id in (-1, -2):
+            hub = set(range(draw.randint(30, 120)))
+            for i in range(40):
+                changed = draw.randint(1, 50)
+                if sets.get((hub_id, i - 1)) and draw.random() < 0.5:
+                    s = set(sets[hub_id, i - 1]) ^ set(draw.sample(range(200, 400), draw.randint(1, 12)))
+                else:
+                    s = hub ^ set(draw.sample(range(150), min(changed, 100)))
+                sets[hub_id, i] = s
+                near_hub = 100 * len(s & hub) >= percent * len(s | hub)
+                rows.append((hub_id, i, len(hub), len(s), sorted(s ^ hub), -9 if near_hub else i))
+        component = {(r[0], r[1]): r[5] for r in rows}
+        expected = {
+            (h, a, b) for h in (-1, -2) for a in range(40) for b in range(a + 1, 40)
+            if component[h, a] != component[h, b] and 100 * len(sets[h, a] & sets[h, b]) >= percent * len(sets[h, a] | sets[h, b])
+        }
+        rows = [(h, 1000 * -h + m, *rest) for h, m, *rest in rows]
+        links = minhash._open_links(spark.createDataFrame(rows, KNOWN), percent).collect()
+        found = {(-(min(r) // 1000), min(r) % 1000, max(r) % 1000) for r in links}
+        assert expected and found == expected
+
+
+def test_a_hub_of_unlike_members_deals_few_rows(spark):
+    # one template, 20,000 pages at a similarity of about 0.5, of which a few are near copies of each other
+    template, n = list(range(40)), 20_000
+    sets = {i: template + [1_000_000 + 20 * i + j for j in range(20)] for i in range(n)}
+    for i in range(0, 60, 2):
+        sets[i + 1] = sets[i][:-2] + sets[i + 1][-2:]
+    hub = set(template) | set(range(100, 120))
+    rows = [(-1, i, len(hub), len(s), sorted(hub ^ set(s)), i) for i, s in sets.items()]
+    known = spark.createDataFrame(rows, KNOWN)
+    dealt = minhash._dealt(known, 80)
+    assert dealt.count() == 60  # against 20,000 members in 40 tiles each
+    links = minhash._open_links(known, 80).collect()
+    assert sorted((min(r), max(r)) for r in links) == [(i, i + 1) for i in range(0, 60, 2)]
+
+
 def test_tables_without_groups(spark):
     assert run(spark, [(1, "a b c"), (2, "d e f")], 2) == [(1, 2, 1, True), (2, 2, 2, True)]
     empty = spark.createDataFrame([], "doc_id long, text string")
