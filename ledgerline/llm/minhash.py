@@ -177,11 +177,11 @@ def _shared_needed(percent: int):
     return F.greatest(F.lit(1), F.when(to_hub, partner_open).otherwise(F.least(partner_open, itself_open))).cast("int")
 
 
-def _clusters(crowded: DataFrame, percent: int) -> DataFrame:
-    """``hub, member, cluster`` of the members of crowded hubs that may have a link to another component.
+def _sharing(crowded: DataFrame, percent: int) -> DataFrame:
+    """``hub, member, element``: the members of crowded hubs that may have a link to another component, and what they meet in.
 
     Two similar members share one of the rarest elements of their differences (as many as may be missing from the overlap, and one
-    more). Members without such an element in common with another component drop out; the others form clusters over the elements.
+    more). Members without such an element in common with another component drop out.
     """
     elements = crowded.select("hub", "member", F.explode("apart").alias("element"))
     often = saved(elements.groupBy("hub", "element").agg(F.count("*").alias("n")).where("n > 1"), "often")
@@ -193,18 +193,27 @@ def _clusters(crowded: DataFrame, percent: int) -> DataFrame:
     first = crowded.join(common, ["hub", "member"]).select("hub", "member", "component", F.expr("common.element").alias("common"), room.alias("room"))
     first = saved(first.select("hub", "member", "component", F.explode(F.slice("common", F.lit(1), F.col("room"))).alias("element")), "first")
     mixed = first.groupBy("hub", "element").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    met = first.join(saved(mixed.select("hub", "element"), "mixed"), ["hub", "element"])
+    return first.join(saved(mixed.select("hub", "element"), "mixed"), ["hub", "element"]).select("hub", "member", "element")
+
+
+def _placed(met: DataFrame) -> DataFrame:
+    """``hub, member, cluster, tiles``: the members of a hub are one cluster if a tile holds them, else they form clusters over the elements."""
+    members = saved(met.select("hub", "member").distinct(), "members")
+    if members.groupBy("hub").agg(F.count("*").alias("n")).where(F.col("n") > TILE).isEmpty():
+        return members.withColumns({"cluster": F.lit(0).cast("long"), "tiles": F.lit(1)})
     # two nodes of the same hash would only make one cluster of two
-    met = saved(met.select("hub", "member", F.xxhash64(F.lit(0), "hub", "member").alias("u"), F.xxhash64(F.lit(1), "hub", "element").alias("v")), "met")
-    clusters = connected_components(met.select("u", "v")).select(F.col("node").alias("u"), F.col("component").alias("cluster"))
-    return met.select("hub", "member", "u").distinct().join(clusters, "u").drop("u")
+    node = F.xxhash64(F.lit(0), "hub", "member")
+    clusters = connected_components(met.select(node.alias("u"), F.xxhash64(F.lit(1), "hub", "element").alias("v")))
+    named = saved(members.withColumn("node", node).join(clusters, "node").select("hub", "member", F.col("component").alias("cluster")), "clusters")
+    sizes = named.groupBy("hub", "cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    return named.join(saved(sizes, "sizes"), ["hub", "cluster"])
 
 
 def _dealt(known: DataFrame, percent: int) -> DataFrame:
     """The rows of ``known`` dealt to groups ``hub, cluster, low, high`` in which members of different components are compared.
 
-    The members of a hub are one cluster if a tile holds them; those of a crowded hub are clustered first. A cluster larger than a tile
-    meets tile by tile.
+    The members of a hub are one cluster if a tile holds them; of a crowded hub only those that share a rare element take part, in
+    clusters if they are still too many. A cluster larger than a tile meets tile by tile.
     """
     hubs = saved(
         known.groupBy("hub").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
@@ -215,9 +224,7 @@ def _dealt(known: DataFrame, percent: int) -> DataFrame:
     spread = known.join(hubs.where(F.col("n") <= TILE).select("hub"), "hub").withColumns({"cluster": F.lit(0).cast("long"), "tiles": F.lit(1)}).select(*kept)
     if not hubs.where(F.col("n") > TILE).isEmpty():
         crowded = saved(known.join(hubs.where(F.col("n") > TILE).select("hub"), "hub"), "crowded")
-        clusters = saved(_clusters(crowded, percent), "clusters")
-        sizes = clusters.groupBy("hub", "cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-        placed = clusters.join(saved(sizes, "sizes"), ["hub", "cluster"])
+        placed = _placed(saved(_sharing(crowded, percent), "met"))
         spread = spread.union(crowded.join(placed, ["hub", "member"]).select(*kept))
     # a member of tile t meets tiles t..last as first side and tiles 0..t as second side
     spread = spread.withColumn("tile", F.pmod(F.xxhash64("member"), F.col("tiles")).cast("int"))
