@@ -121,21 +121,6 @@ def test_random_members_of_crowded_hubs(spark, monkeypatch):
         assert expected and found == expected
 
 
-def test_a_hub_of_unlike_members_deals_few_rows(spark):
-    # one template, 20,000 pages at a similarity of about 0.5, of which a few are near copies of each other
-    template, n = list(range(40)), 20_000
-    sets = {i: template + [1_000_000 + 20 * i + j for j in range(20)] for i in range(n)}
-    for i in range(0, 60, 2):
-        sets[i + 1] = sets[i][:-2] + sets[i + 1][-2:]
-    hub = set(template) | set(range(100, 120))
-    rows = [(-1, i, len(hub), len(s), sorted(hub ^ set(s)), i) for i, s in sets.items()]
-    known = spark.createDataFrame(rows, KNOWN)
-    dealt = minhash._dealt(known, 80)
-    assert dealt.count() == 60  # against 20,000 members in 40 tiles each
-    links = minhash._open_links(known, 80).collect()
-    assert sorted((min(r), max(r)) for r in links) == [(i, i + 1) for i in range(0, 60, 2)]
-
-
 def test_tables_without_groups(spark):
     assert run(spark, [(1, "a b c"), (2, "d e f")], 2) == [(1, 2, 1, True), (2, 2, 2, True)]
     empty = spark.createDataFrame([], "doc_id long, text string")
