@@ -63,6 +63,19 @@ def test_superseded_is_the_exact_complement_for_a_hot_key(spark):
     assert {r["sale_id"]: r["_row_number"] for r in winners.collect()} == best
 
 
+def test_superseded_works_out_the_whole_rank_for_ties_only(spark, stored):
+    """Row numbers decide but for T and N; to work out the rest of another row's rank would fail."""
+    rows = stored(spark.createDataFrame(
+        [("A", 1, "-"), ("A", 2, "-"), ("B", 1, "-"), ("T", 5, "x"), ("T", 5, "y"), ("T", 4, "-"), ("N", None, "v"),
+         ("N", None, "w"), ("N", None, "w"), ("M", None, "-"), ("M", 3, "-"), (None, 1, "-")],
+        "sale_id string, _row_number long, text string",
+    ))
+    costly = F.when(F.col("text") == "-", F.raise_error(F.lit("not needed")).cast("string")).otherwise(F.col("text"))
+    losers = dedup.superseded(rows, "sale_id", [F.col("_row_number"), costly], lambda _, df: df)
+    assert rows_of(losers) == sorted([("A", 1, "-"), ("T", 5, "x"), ("T", 4, "-"), ("N", None, "v"), ("N", None, "w"), ("M", None, "-")],
+                                     key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
 def test_latest_is_limited_per_task_before_the_shuffle(raw, spark):
     frame = raw("customers", {}, {})
     plan = silver_of(frame, "customers")._jdf.queryExecution().executedPlan().toString()
