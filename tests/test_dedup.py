@@ -1,8 +1,12 @@
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from tests.conftest import changes_of, rows_of, silver_of
 from pyspark.sql import functions as F
 
 from ledgerline.operators import cleanse, dedup, quarantine, silver
 from ledgerline.operators.keys import assign_keys
+from workloads import retail
 
 
 def test_initial_keeps_older_valid_row_and_batch_drops_the_key(raw):
@@ -115,3 +119,36 @@ def test_numbering_reads_its_input_once(spark):
     assert keyed.count() == 1000 and keyed.agg(F.max("sk")).first()[0] == 1000 and seen.value == 1000
     plan = keyed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "rangepartitioning" not in plan
+
+
+def test_superseded_shuffles_whole_rows_once_and_ties_from_the_contested_only(spark, stored):
+    rows = stored(spark.createDataFrame(
+        [("A", 1, "x"), ("A", 2, "y"), ("B", 1, "z"), ("T", 5, "x"), ("T", 5, "y"), ("T", 5, "y"), ("T", 4, "w"), (None, 1, "v")],
+        "sale_id string, _row_number long, text string",
+    ))
+    staged = {}
+
+    def contest(name, df):
+        staged[name] = stored(df)
+        return staged[name]
+
+    losers = dedup.superseded(rows, "sale_id", [F.col("_row_number"), F.col("text")], lambda _, df: df, contest)
+    assert rows_of(staged["contested"], *rows.columns) == [("A", 1, "x"), ("T", 4, "w"), ("T", 5, "x"), ("T", 5, "y"), ("T", 5, "y")]
+    assert rows_of(losers) == [("A", 1, "x"), ("T", 4, "w"), ("T", 5, "x"), ("T", 5, "y")]
+    assert set(losers.inputFiles()) == set(staged["contested"].inputFiles())
+
+
+def test_a_landed_batch_is_written_without_a_sort(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.sql(
+        "SELECT id AS l_orderkey, 1 AS l_linenumber, 1L AS l_partkey, 1L AS l_suppkey, 3D AS l_quantity, 5000D AS l_extendedprice, 0.1D AS l_discount, "
+        "'A' AS l_returnflag, 'F' AS l_linestatus, timestamp '1997-06-01' + make_interval(id) AS l_shipdate FROM range(4)"
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.sql("SELECT id AS o_orderkey, id AS o_custkey FROM range(4)").write.parquet(f"{folder}/orders.parquet")
+    whole = retail.raw(spark, folder, "sales")
+    parts = {b: retail.raw(spark, folder, "sales", b) for b in retail.BATCHES}
+    assert [part.count() for part in parts.values()] == [2, 4, 2]
+    assert rows_of(whole) == rows_of(reduce(DataFrame.unionByName, parts.values())) and all(p.columns == whole.columns for p in parts.values())
+    for part in parts.values():
+        ordered = part.orderBy("_batch_id")  # what a write partitioned by the batch asks for
+        assert "Sort" not in ordered._jdf.queryExecution().optimizedPlan().toString()

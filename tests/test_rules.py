@@ -87,6 +87,14 @@ def test_guard_drops_only_what_is_known(raw):
     assert quarantine.unseen(other, first).count() == 1
 
 
+def test_first_rejects_of_a_batch_are_not_shuffled(raw):
+    first = quarantine.rejected(silver.assessed(raw("sales", {"sale_id": ""}, {"sale_id": ""}, {"unit_price": "x\n\"y"}), "sales"), "sales", NOW())
+    new, twice = quarantine.unseen(first, first.limit(0)), quarantine.unseen(first.union(first), first)
+    assert "Exchange" not in new._jdf.queryExecution().executedPlan().toString()
+    text = [*(c for c in first.columns if c != "raw_record"), F.to_json("raw_record").alias("raw_record")]
+    assert rows_of(new, *text) == rows_of(first, *text) == rows_of(twice, *text)
+
+
 def test_cleaning_normalises_case_and_space(raw):
     row = cleanse.clean_customers(raw("customers", {"customer_id": " C7 ", "email": " Ann@Example.COM ", "region": "north "})).first()
     assert (row["customer_id"], row["email"], row["region"], row["segment"]) == ("C7", "ann@example.com", "NORTH", "VIP")
