@@ -74,3 +74,9 @@ def test_landing_files_go_once_they_are_loaded(spark, shop):
     sales = rows_of(retail.raw(spark, shop, "sales"), "sale_id", "quantity", "unit_price")
     for source in ("plain", "gzip"):
         assert rows_of(loaded.filter(F.col("source") == source), "sale_id", "quantity", "unit_price") == sales
+
+
+def test_numbered_rows_outlive_their_landing_files(spark, shop):
+    before = scratch(spark, "*.csv*")
+    assert rows_of(QUERIES["csv_row_numbers"](spark, shop)) == [(9, 9, True)]
+    assert not {f for f in scratch(spark, "*.csv*") - before if f.is_file()}
