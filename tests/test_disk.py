@@ -6,7 +6,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators.keys import in_scratch
+from ledgerline.operators import cleanse, quarantine
+from ledgerline.operators.keys import as_read, in_scratch
 from ledgerline.session import shuffles_removed, size_of
 from tests.conftest import rows_of
 from workloads import retail, warehouse
@@ -80,3 +81,29 @@ def test_numbered_rows_outlive_their_landing_files(spark, shop):
     before = scratch(spark, "*.csv*")
     assert rows_of(QUERIES["csv_row_numbers"](spark, shop)) == [(9, 9, True)]
     assert not {f for f in scratch(spark, "*.csv*") - before if f.is_file()}
+
+
+def test_duplicates_move_only_their_text_and_stage_only_what_may_lose(spark, raw, stored):
+    """Ties in the row number are decided by typed values, which are parsed from the text again."""
+    same = {"_row_number": 7}
+    frame = stored(raw(
+        "sales", {"quantity": "9", **same}, {"quantity": "10", **same}, {"quantity": " 10 ", **same}, {"sale_id": "S2"},
+        {"sale_id": " S3 ", "unit_price": "9.00", **same}, {"sale_id": "S3", "unit_price": "10", **same}, {"sale_id": "S3", "_row_number": 1}, {"sale_id": None},
+    ))
+    staged = {}
+
+    def contest(name, df):
+        staged[name] = stored(df)
+        return staged[name]
+
+    losers = quarantine.duplicate_sales(cleanse.clean_sales(frame), F.lit(None).cast("timestamp_ntz"), as_read, contest)
+    found = losers.select("business_key", F.expr("variant_get(raw_record, '$.quantity', 'string')"), F.expr("variant_get(raw_record, '$.unit_price', 'string')"))
+    assert rows_of(found) == [("S1", " 10 ", "10.00"), ("S1", "9", "10.00"), ("S3", "2", "10.00"), ("S3", "2", "9.00")]
+    assert staged["contested"].columns == ["sale_id", *cleanse.META, cleanse.ORIGINAL, "_leads"]
+    assert rows_of(staged["repeated_keys"], "_key", "_rows", "_tied") == [("S1", 3, 3), ("S3", 3, 2)]
+
+
+def test_the_duplicates_of_what_landed_are_not_staged_whole(spark, shop):
+    before = scratch(spark, "ranked-*")
+    assert QUERIES["sales_batch_duplicates"](spark, shop).count() == 1
+    assert scratch(spark, "ranked-*") == before
